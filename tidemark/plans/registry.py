@@ -25,4 +25,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
 
 
 def load_all() -> None:
-    from tidemark.plans import company, entities, ingest, sentiment, vectors, words  # noqa: F401
+    from tidemark.plans import company, entities, ingest, sentiment, streams, vectors, words  # noqa: F401
