@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, functions as F
 
 # Character classes removed from texts, and the prefixes masked or dropped.
@@ -16,19 +18,41 @@ PIECE = r"[\p{L}\p{N}']+|[^\p{L}\p{N}']+"
 
 
 def mask_tokens(text: Column) -> Column:
-    """Mask user mentions and links; a token is what lies between single spaces."""
-    masked = F.regexp_replace(text, "(^| )@[^ ]+", f"$1{USER_MASK}")
-    return F.regexp_replace(masked, "(^| )http[^ ]*", f"$1{LINK_MASK}")
+    """Mask user mentions and links; a token is what lies between single spaces.
+
+    The patterns begin with their literal and look back for the space, so the matcher skips
+    ahead quickly; a text without the literal is not matched at all.
+    """
+    users = F.regexp_replace(text, "@(?<![^ ]@)[^ ]+", USER_MASK)
+    masked = F.when(text.contains("@"), users).otherwise(text)
+    links = F.regexp_replace(masked, "http(?<![^ ]http)[^ ]*", LINK_MASK)
+    return F.when(text.contains("http"), links).otherwise(masked)
+
+
+def whole_word(words: Sequence[str]) -> str:
+    """Pattern for any of the words, not inside a longer word."""
+    return rf"(?<![\p{{L}}\p{{N}}'])(?:{'|'.join(map(_quoted, words))})(?![\p{{L}}\p{{N}}'])"
+
+
+def _quoted(word: str) -> str:
+    return "".join(c if c.isalnum() else f"\\{c}" for c in word)
+
 
+def strip_symbols(text: Column, made_from: Column | None = None) -> Column:
+    """Delete emoji and symbol characters, newlines and tabs (nothing is put in their place).
 
-def strip_symbols(text: Column) -> Column:
-    """Delete emoji and symbol characters, newlines and tabs (nothing is put in their place)."""
-    return F.regexp_replace(text.cast("string"), f"[{SYMBOL_CLASS}\\n\\t]+", "")
+    Only texts with a character as high as the lowest symbol are searched for symbols. The test
+    may look at the text this one was made from, so that ``text`` is computed in one place only.
+    """
+    plain = F.replace(F.replace(text, F.lit("\n"), F.lit("")), F.lit("\t"), F.lit(""))
+    has_high = (text if made_from is None else made_from).rlike(r"[\x{200d}-\x{10ffff}]")
+    return F.when(has_high, F.regexp_replace(plain, f"[{SYMBOL_CLASS}]+", "")).otherwise(plain)
 
 
 def clean_text(text: Column) -> Column:
     """Mask first, then strip: text glued to a link by a newline goes with the link."""
-    return strip_symbols(mask_tokens(text.cast("string")))
+    text = text.cast("string")
+    return strip_symbols(mask_tokens(text), made_from=text)
 
 
 def strip_wide(text: Column) -> Column:

@@ -7,17 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 
-def _balanced_sum(terms: list[Column]) -> Column:
-    # A balanced tree keeps the expression depth at log2(n) for long vectors.
-    while len(terms) > 1:
-        paired = [terms[i] + terms[i + 1] for i in range(0, len(terms) - 1, 2)]
-        terms = paired + terms[len(paired) * 2 :]
-    return terms[0]
-
-
-def dot_with(vector: Column, values: Sequence[float]) -> Column:
-    """Dot product with a known vector, unrolled so it stays in generated code."""
-    return _balanced_sum([F.get(vector, F.lit(i)).cast("double") * F.lit(float(v)) for i, v in enumerate(values)])
+def dot_with(vector: str, values: Sequence[float]) -> Column:
+    """Dot product of an array column with a known vector."""
+    constant = F.expr(f"array({', '.join(f'{float(v)!r}D' for v in values)})")
+    return dot(F.col(vector), constant)
 
 
 def dot(u: Column, v: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -13,16 +13,15 @@ from tidemark.operators import words as wd
 MICRO_CLUSTERS = 1000  # bound on what the Ward step sees
 
 
-def _matrix(column) -> np.ndarray:
-    return np.array(column.tolist(), dtype="float64")
-
-
 def unit_vectors(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return vectors.select(key, vx.unit(F.col(vector)).alias("unit")).where(F.col("unit").isNotNull())
 
 
 def gram_matrix(units: DataFrame, vector: str, dim: int) -> np.ndarray:
-    """dim x dim matrix of summed products; each task sends one dim x dim block."""
+    """dim x dim matrix of summed products; each task sends one dim x dim block.
+
+    Functions that run on the executors use nothing of this package, so it need not be installed there.
+    """
 
     def partial(batches: Iterator) -> Iterator:
         import pandas as pd
@@ -30,12 +29,12 @@ def gram_matrix(units: DataFrame, vector: str, dim: int) -> np.ndarray:
         total = np.zeros((dim, dim))
         for pdf in batches:
             if len(pdf):
-                m = _matrix(pdf[vector])
+                m = np.array(pdf[vector].tolist())
                 total += m.T @ m
         yield pd.DataFrame({"i": np.arange(dim), "row": list(total)})
 
     rows = units.select(vector).mapInPandas(partial, "i int, row array<double>")
-    sums = rows.groupBy("i").agg(F.array(*[F.sum(F.get("row", F.lit(j))) for j in range(dim)]).alias("row"))
+    sums = rows.groupBy("i").agg(F.expr(f"array({', '.join(f'sum(get(row, {j}))' for j in range(dim))})").alias("row"))
     gram = np.zeros((dim, dim))
     for r in sums.collect():  # dim rows, whatever the table size
         gram[r["i"]] = r["row"]
@@ -58,19 +57,19 @@ def similarity_space(vectors: DataFrame, key: str, vector: str, dim: int) -> Dat
 
         for pdf in batches:
             if len(pdf):
-                yield pd.DataFrame({key: pdf[key], "features": list(_matrix(pdf["unit"]) @ root)})
+                yield pd.DataFrame({key: pdf[key], "features": list(np.array(pdf["unit"].tolist()) @ root)})
 
     return units.mapInPandas(project, f"{key} {vectors.schema[key].dataType.simpleString()}, features array<double>")
 
 
-def kmeans(features: DataFrame, key: str, column: str, k: int = 20, seed: int = 42, keep: Sequence[str] = (), iterations: int = 20):
+def kmeans(features: DataFrame, key: str, column: str, k: int = 20, seed: int = 42, **params):
     """(model, rows with ``cluster``) of Spark ML k-means over an array column."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    data = features.select(key, *keep, array_to_vector(column).alias("_f"))
-    model = KMeans(k=k, seed=seed, featuresCol="_f", predictionCol="cluster", maxIter=iterations).fit(data)
-    return model, model.transform(data).drop("_f")
+    data = features.select(key, array_to_vector(column).alias("_f"))
+    model = KMeans(k=k, seed=seed, featuresCol="_f", predictionCol="cluster", **params).fit(data)
+    return model, model.transform(data).select(key, "cluster")
 
 
 def ward_labels(centres: np.ndarray, sizes: np.ndarray, threshold: float) -> np.ndarray:
@@ -124,7 +123,8 @@ def agglomerative(
 
     Up to ``micro`` vectors this is exact Ward clustering. Beyond that, k-means first
     condenses the vectors to ``micro`` weighted centres, and Ward merges those; only the centres
-    reach the driver, and the small centre-to-cluster map goes back as a broadcast.
+    reach the driver, and the small centre-to-cluster map goes back as a broadcast. Centres start
+    from random rows, as picking a thousand good starts would cost more than it gains here.
     """
     units = unit_vectors(vectors, key, vector)
     key_type = units.schema[key].dataType.simpleString()
@@ -134,12 +134,11 @@ def agglomerative(
         labels = ward_labels(centres, np.ones(len(few)), threshold) if few else []
         rows = [(r[key], int(c)) for r, c in zip(few, labels)]
         return units.sparkSession.createDataFrame(rows, f"{key} {key_type}, cluster int")
-    model, assigned = kmeans(units, key, "unit", k=micro, seed=seed, iterations=10)
+    model, assigned = kmeans(units, key, "unit", k=micro, seed=seed, initMode="random", maxIter=10)
     assigned = assigned.withColumnRenamed("cluster", "micro")
-    counts = {r["micro"]: r["count"] for r in assigned.groupBy("micro").count().collect()}
-    used = sorted(counts)
-    centres = np.array([model.clusterCenters()[m] for m in used])
-    labels = ward_labels(centres, np.array([counts[m] for m in used]), threshold)
+    sizes, centres = np.array(model.summary.clusterSizes), np.array(model.clusterCenters())
+    used = np.flatnonzero(sizes)
+    labels = ward_labels(centres[used], sizes[used], threshold)
     mapping = units.sparkSession.createDataFrame(
         [(int(m), int(c)) for m, c in zip(used, labels)], "micro int, cluster int"
     )

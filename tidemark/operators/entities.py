@@ -49,48 +49,61 @@ def orgs(text: Column, gazetteer: Sequence[str] = ORGANISATIONS) -> Column:
     return F.array_distinct(mentions(text, gazetteer))
 
 
+def docs_with_orgs(df: DataFrame, id_col: str, text: Column, gazetteer: Sequence[str] = ORGANISATIONS) -> DataFrame:
+    """(id, orgs) of the texts that name an organisation.
+
+    The test sits inside a generator. As a filter on the list it would be pushed to the scan
+    and every text would be searched twice.
+    """
+    found = F.array(F.struct(F.col(id_col), orgs(text, gazetteer).alias("orgs")))
+    return df.select(F.inline(F.filter(found, lambda d: F.size(d["orgs"]) > 0)))
+
+
 def entity_spans(text: Column, gazetteer: Sequence[str] = ORGANISATIONS, label: str = LABEL) -> Column:
     """array<struct<text,label,start,end>>: hits with 0-based character offsets.
 
     One fold over the words and gaps of the text carries the running offset and the last
-    words seen, so a text is walked once and nothing is shuffled.
+    words seen, so nothing is shuffled. Texts without a hit are left out before the fold.
     """
-    width = _width(gazetteer)
-    names = list(gazetteer)
-    span = "struct<text:string,label:string,start:int,end:int>"
-    word = "struct<word:string,start:int>"
-    start = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast(f"array<{word}>").alias("last"),
-        F.array().cast(f"array<{span}>").alias("spans"),
-    )
+    folded = _fold_spans(text, list(gazetteer), _width(gazetteer), label)
+    return F.when(F.size(mentions(text, gazetteer)) > 0, folded)
 
-    def step(acc: Column, piece: Column) -> Column:
-        at, end = acc["at"], acc["at"] + F.length(piece)
-        # The words read so far, the current one last; gaps leave them as they are.
-        last = F.concat(acc["last"], F.array(F.struct(piece.alias("word"), at.alias("start"))))
-        found = []
+
+def _fold_spans(text: Column, names: list[str], width: int, label: str) -> Column:
+    span = "struct<text:string,label:string,start:int,end:int>"
+    none = F.array().cast(f"array<{span}>")
+
+    def spans_of(name: Column, start: Column, end: Column) -> Column:
+        found = F.struct(name.alias("text"), F.lit(label).alias("label"), start.alias("start"), end.alias("end"))
+        return F.when(name.isin(names), F.array(found)).otherwise(none)
+
+    def one_word(acc: Column, piece: Column) -> Column:
+        end = acc["at"] + F.length(piece)
+        spans = F.when(piece.isin(names), F.concat(acc["spans"], spans_of(piece, acc["at"], end)))
+        return F.struct(end.alias("at"), F.coalesce(spans, acc["spans"]).alias("spans"))
+
+    def more_words(acc: Column, piece: Column) -> Column:
+        end = acc["at"] + F.length(piece)
+        # The words up to this one, newest last; a gap leaves words and spans as they are.
+        words = F.concat(acc["words"], F.array(F.struct(piece.alias("word"), acc["at"].alias("start"))))
+        runs = []
         for n in range(1, width + 1):
-            run = F.slice(last, F.size(last) - n + 1, n)
+            run = F.slice(words, F.size(words) - n + 1, n)
             name = F.array_join(F.transform(run, lambda w: w["word"]), " ")
-            hit = F.struct(name.alias("text"), F.lit(label).alias("label"), run[0]["start"].alias("start"), end.alias("end"))
-            found.append(F.when((F.size(last) >= n) & name.isin(names), F.array(hit)))
-        if width == 1:
-            hit = F.struct(piece.alias("text"), F.lit(label).alias("label"), at.alias("start"), end.alias("end"))
-            spans = F.when(piece.isin(names), F.concat(acc["spans"], F.array(hit))).otherwise(acc["spans"])
-            kept = acc["last"]
-        else:
-            is_word = piece.rlike(r"^[\p{L}\p{N}']")
-            none = F.array().cast(f"array<{span}>")
-            new = F.concat(*[F.coalesce(f.cast(f"array<{span}>"), none) for f in found])
-            spans = F.when(is_word, F.concat(acc["spans"], new)).otherwise(acc["spans"])
-            recent = F.when(F.size(last) > width - 1, F.slice(last, F.size(last) - width + 2, width - 1)).otherwise(last)
-            kept = F.when(is_word, recent).otherwise(acc["last"])
+            runs.append(F.when(F.size(words) >= n, spans_of(name, F.get(run, F.lit(0))["start"], end)).otherwise(none))
+        recent = F.when(F.size(words) >= width, F.slice(words, F.size(words) - width + 2, width - 1)).otherwise(words)
+        is_word = piece.rlike(r"^[\p{L}\p{N}']")
         return F.struct(
-            end.alias("at"), kept.cast(f"array<{word}>").alias("last"), spans.cast(f"array<{span}>").alias("spans")
+            end.alias("at"),
+            F.when(is_word, F.concat(acc["spans"], *runs)).otherwise(acc["spans"]).alias("spans"),
+            F.when(is_word, recent).otherwise(acc["words"]).alias("words"),
         )
 
-    return F.aggregate(tx.pieces(text), start, step, lambda acc: acc["spans"])
+    start = [F.lit(0).alias("at"), none.alias("spans")]
+    if width > 1:
+        start.append(F.array().cast("array<struct<word:string,start:int>>").alias("words"))
+    step = one_word if width == 1 else more_words
+    return F.aggregate(tx.pieces(text), F.struct(*start), step, lambda acc: acc["spans"])
 
 
 def match_table(

@@ -78,19 +78,21 @@ def comments_by_post(comments: DataFrame, pattern: str) -> DataFrame:
 
 def follows_rule(text: Column, lang: Column, keyword: str, any_of: Sequence[str], wanted_lang: str = "en") -> Column:
     """keyword AND (a OR b ..), in one language, no repost, no mention. Cheap tests come first."""
-    words = tx.tokens(text)
+    lowered = F.lower(text)
     return (
         (lang == wanted_lang)
         & ~text.startswith("RT @")
-        & ~text.rlike(r"(^|[ \n\r\t])@[A-Za-z0-9_]")
-        & F.array_contains(words, keyword.lower())
-        & F.arrays_overlap(words, F.array(*[F.lit(w.lower()) for w in any_of]))
+        & lowered.contains(keyword.lower())
+        & ~text.rlike(r"@(?<![^ \n\r\t]@)[A-Za-z0-9_]")
+        & lowered.rlike(tx.whole_word([keyword.lower()]))
+        & lowered.rlike(tx.whole_word([w.lower() for w in any_of]))
     )
 
 
 def mentioning(df: DataFrame, text: Column, user: str, order: Column, limit: int = MENTION_LIMIT) -> DataFrame:
     """The latest rows that mention ``@user`` as a whole name."""
-    found = df.where(text.rlike(rf"(^|[^A-Za-z0-9_@])@{user}([^A-Za-z0-9_]|$)"))
+    whole_name = rf"@{user}(?<![A-Za-z0-9_@]@{user})(?![A-Za-z0-9_])"
+    found = df.where(text.contains(f"@{user}") & text.rlike(whole_name))
     return found.orderBy(order).limit(limit)
 
 

@@ -65,7 +65,8 @@ def as_struct(df: DataFrame, labels: Sequence[str] = sc.SENTIMENT_LABELS, name:
 def score_rows(df: DataFrame, labels: Sequence[str], label_map: DataFrame, *keys: str) -> DataFrame:
     """Score vector -> one row per label, the name looked up in the label map by index."""
     vector = F.array(*[F.col(label) for label in labels])
-    return df.select(*keys, F.posexplode(vector).alias("id", "score")).join(F.broadcast(label_map), "id")
+    rows = df.select(*keys, F.posexplode(vector).alias("label_id", "score"))
+    return rows.join(F.broadcast(label_map.withColumnRenamed("id", "label_id")), "label_id")
 
 
 def average_by_key(maps: Column, df: DataFrame) -> DataFrame:
@@ -110,20 +111,25 @@ def score_with_model(
 
 
 def train_spam_model(labelled: DataFrame, text_col: str, label_col: str, features: int = 1 << 14):
-    """HashingTF -> IDF -> logistic regression on the cleaned texts; returns the fitted pipeline."""
-    from pyspark.ml import Pipeline
+    """HashingTF -> IDF -> logistic regression on the cleaned texts; returns the fitted pipeline.
+
+    The term counts are kept while IDF and the regression pass over them, so texts are tokenized once.
+    """
+    from pyspark.ml import PipelineModel
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import IDF, HashingTF
 
     data = labelled.select(
         tx.tokens(tx.clean_text(F.col(text_col))).alias("tokens"), F.col(label_col).cast("double").alias("label")
     )
-    stages = [
-        HashingTF(inputCol="tokens", outputCol="tf", numFeatures=features),
-        IDF(inputCol="tf", outputCol="features"),
-        LogisticRegression(maxIter=10, regParam=0.01),
-    ]
-    return Pipeline(stages=stages).fit(data)
+    hashing = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=features)
+    counted = hashing.transform(data).select("tf", "label").persist()
+    try:
+        idf = IDF(inputCol="tf", outputCol="features").fit(counted)
+        regression = LogisticRegression(maxIter=10, regParam=0.01).fit(idf.transform(counted))
+    finally:
+        counted.unpersist()
+    return PipelineModel([hashing, idf, regression])
 
 
 def spam_scores(model, df: DataFrame, id_col: str, text_col: str) -> DataFrame:

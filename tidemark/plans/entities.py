@@ -24,7 +24,8 @@ def orgs_per_doc(spark: SparkSession, root: str) -> DataFrame:
 
 @query("docs_with_orgs", _LISTED)
 def docs_with_orgs(spark: SparkSession, root: str) -> DataFrame:
-    return orgs_per_doc(spark, root).where(F.col("orgs") != "")
+    named = en.docs_with_orgs(_documents(spark, root, "text"), "doc_id", F.col("text"))
+    return named.withColumn("orgs", F.array_join(F.array_sort("orgs"), ","))
 
 
 @query(

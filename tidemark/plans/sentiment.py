@@ -43,7 +43,7 @@ def emotion_scores(spark: SparkSession, root: str) -> DataFrame:
 @query(
     "label_map",
     " UNION ALL ".join(
-        f"SELECT doc_id, {i} AS id, '{label}' AS label, round({label}, 6) AS score FROM ({sq.SCORES})"
+        f"SELECT doc_id, {i} AS label_id, '{label}' AS label, round({label}, 6) AS score FROM ({sq.SCORES})"
         for i, label in enumerate(sc.SENTIMENT_LABELS)
     ),
 )
@@ -51,7 +51,7 @@ def label_lookup(spark: SparkSession, root: str) -> DataFrame:
     """Score vectors as rows, the label looked up by index."""
     scored = st.score_sentiment(_documents(spark, root, "text"), F.col("text"))
     rows = st.score_rows(scored, sc.SENTIMENT_LABELS, label_map(spark, sc.SENTIMENT_LABELS), "doc_id")
-    return rows.select("doc_id", "id", "label", F.round("score", 6).alias("score"))
+    return rows.select("doc_id", "label_id", "label", F.round("score", 6).alias("score"))
 
 
 @query(

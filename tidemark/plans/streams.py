@@ -9,16 +9,17 @@ from tidemark.functions import ids, scores as sc
 from tidemark.operators import company as co, entities as en, sentiment as st
 from tidemark.plans import snippets as sq
 from tidemark.plans.registry import query
-from tidemark.session import run_folder
+from tidemark.session import run_folder, spread
 from tidemark.sources import tables
 from tidemark.streaming import layers, sources, state
 
 BATCH_TIME = 1704067200.0
 
 
-def _stream(spark: SparkSession, root: str, name: str) -> DataFrame:
+def _stream(spark: SparkSession, root: str, name: str, *columns: str) -> DataFrame:
     # A pattern, as the file source takes a plain path for a folder; it matches a file or a folder.
-    return sources.landed_stream(spark, f"{root}/{{{name}.parquet}}", schemas.TABLES[name])
+    stream = sources.landed_stream(spark, f"{root}/{{{name}.parquet}}", schemas.TABLES[name]).select(*columns)
+    return spread(stream, columns[0], size_of=tables.load_table(spark, root, name).select(*columns))
 
 
 def _comment_records(spark: SparkSession, root: str) -> DataFrame:
@@ -28,7 +29,7 @@ def _comment_records(spark: SparkSession, root: str) -> DataFrame:
         F.col("text").alias("raw_text"),
         F.col("role").alias("author_name"),
     )
-    envelope = _stream(spark, root, "conversations").select(F.lit("raw_data").alias("key"), F.to_json(record).alias("value"))
+    envelope = _stream(spark, root, "conversations", "conv_id", "turn", "role", "text").select(F.lit("raw_data").alias("key"), F.to_json(record).alias("value"))
     return sources.parse_records(envelope).select("comment_id", "raw_text", "author_name")
 
 
@@ -88,7 +89,7 @@ def stream_sentiment(spark: SparkSession, root: str) -> DataFrame:
 def stream_word_count(spark: SparkSession, root: str) -> DataFrame:
     """Running totals kept as stream state; must equal the batch count."""
     folder = run_folder(spark, "words")
-    counted = state.running_word_count(_stream(spark, root, "documents"), F.col("text"))
+    counted = state.running_word_count(_stream(spark, root, "documents", "doc_id", "text"), F.col("text"))
     state.write_updates(counted, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     return state.latest(spark, f"{folder}/out", ["word"])
 
@@ -103,7 +104,7 @@ def stream_company_daily(spark: SparkSession, root: str) -> DataFrame:
     """Posts as a stream, their creation time from a stored table, rolled up per day of event time."""
     folder = run_folder(spark, "company")
     times = tables.post_times(spark, root).select(F.col("id").alias("doc_id"), ids.utc(F.col("created_utc")).alias("ts"))
-    scored = st.score_sentiment(_stream(spark, root, "documents").select("doc_id", "text"), F.col("text"))
+    scored = st.score_sentiment(_stream(spark, root, "documents", "doc_id", "text"), F.col("text"))
     pairs = scored.select("doc_id", F.explode(en.orgs(F.col("text"))).alias("company"), *co.LABELS).join(times, "doc_id")
     rolled = state.company_windows(pairs, "ts", "1 day")
     # The label leaves the stream as epoch seconds, so no session zone gets into it.
@@ -121,7 +122,7 @@ def stream_dedup(spark: SparkSession, root: str) -> DataFrame:
     """The event stream delivered twice; every event stays once."""
     folder = run_folder(spark, "dedup")
     once, again = (
-        _stream(spark, root, "events").select("event_id", "user_id", ids.utc(F.col("ts")).alias("ts")) for _ in range(2)
+        _stream(spark, root, "events", "event_id", "user_id", "ts").select("event_id", "user_id", ids.utc(F.col("ts")).alias("ts")) for _ in range(2)
     )
     unique = state.dedup(once.unionByName(again), "event_id", "ts", delay="60 days").select("event_id", "user_id")
     state.write_updates(unique, f"{folder}/out", f"{folder}/checkpoint", mode="append").awaitTermination()
@@ -136,7 +137,7 @@ def stream_dedup(spark: SparkSession, root: str) -> DataFrame:
 def stream_first_records(spark: SparkSession, root: str) -> DataFrame:
     """Events as topic rows (topic = event type); the first record per topic partition of the batch."""
     folder = run_folder(spark, "first")
-    envelope = _stream(spark, root, "events").select(
+    envelope = _stream(spark, root, "events", "event_id", "event_type", "props").select(
         F.lit("raw_data").alias("key"), F.col("props").alias("value"), F.col("event_type").alias("topic"),
         F.lit(0).alias("partition"), F.col("event_id").alias("offset"),
     )

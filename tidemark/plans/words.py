@@ -64,7 +64,7 @@ def word_map(spark: SparkSession, root: str) -> DataFrame:
 )
 def word_time_series(spark: SparkSession, root: str) -> DataFrame:
     posts = tables.posts(spark, root).select("id", "created_utc", "body")
-    return wd.word_time_series(spread(posts, "id"), F.col("body"), "id", "created_utc")
+    return wd.word_time_series(posts, F.col("body"), "id", "created_utc")
 
 
 @query(

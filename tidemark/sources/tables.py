@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import schemas
 from tidemark.functions import ids
+from tidemark.session import spread
 
 
 def load_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -31,7 +32,7 @@ def post_times(spark: SparkSession, root: str) -> DataFrame:
 
 def posts(spark: SparkSession, root: str) -> DataFrame:
     """posts(id, body, author, subreddit, created_utc)."""
-    documents = load_table(spark, root, "documents").select(
+    documents = spread(load_table(spark, root, "documents"), "doc_id").select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("body"),
         F.col("source").alias("author"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from tidemark import schemas
 
@@ -19,11 +18,12 @@ def topic_options(servers: str, topic: str, partition: int | None = None, starti
 def topic_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """Topic rows with key and value as text; needs Spark's Kafka connector on the class path."""
     raw = spark.readStream.format("kafka").options(**options).load()
-    return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.ENVELOPE])
+    texts = [F.col(c).cast("string").alias(c) for c in ("key", "value")]
+    return raw.select(*texts, "topic", "partition", "offset", "timestamp")
 
 
 def landed_stream(
-    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", max_files: int | None = None
+    spark: SparkSession, path: str, schema: str, fmt: str = "parquet", max_files: int | None = None
 ) -> DataFrame:
     """Files landed in a folder, oldest first, ``max_files`` per micro-batch."""
     reader = spark.readStream.format(fmt).schema(schema)
