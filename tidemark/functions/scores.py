@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
+from tidemark.functions.vectors import with_value
+
 # Label maps, index -> label.
 SENTIMENT_LABELS = ("negative", "neutral", "positive")
 EMOTION_LABELS = ("anger", "joy", "optimism", "sadness")
@@ -21,9 +23,13 @@ def softmax(logits: Sequence[Column]) -> list[Column]:
 
 def softmax_array(logits: Column) -> Column:
     """Stable softmax over an array column of any width."""
-    exps = F.transform(logits, lambda z: F.exp(z - F.array_max(logits)))
-    total = F.aggregate(exps, F.lit(0.0), lambda acc, e: acc + e)
-    return F.transform(exps, lambda e: e / total)
+    exps = with_value(F.array_max(logits), lambda top: F.transform(logits, lambda z: F.exp(z - top)))
+
+    def scaled(es: Column) -> Column:
+        total = F.aggregate(es, F.lit(0.0), lambda acc, e: acc + e)
+        return with_value(total, lambda t: F.transform(es, lambda e: e / t))
+
+    return with_value(exps, scaled)
 
 
 def normalized_score(positive: Column, negative: Column) -> Column:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
 
+def with_value(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Compute a value once and use it in an expression; inside a lambda it would be computed per element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def dot_with(vector: str, values: Sequence[float]) -> Column:
     """Dot product of an array column with a known vector."""
     constant = F.expr(f"array({', '.join(f'{float(v)!r}D' for v in values)})")
@@ -28,5 +33,8 @@ def cosine(u: Column, v: Column) -> Column:
 
 def unit(v: Column) -> Column:
     """L2-normalised copy; a zero vector becomes null, as its direction is undefined."""
-    length = norm(v)
-    return F.when(length > 0, F.transform(v, lambda x: x.cast("double") / length))
+
+    def scaled(length: Column) -> Column:
+        return F.when(length > 0, F.transform(v, lambda x: x.cast("double") / length))
+
+    return with_value(norm(v), scaled)

@@ -134,7 +134,7 @@ def agglomerative(
         labels = ward_labels(centres, np.ones(len(few)), threshold) if few else []
         rows = [(r[key], int(c)) for r, c in zip(few, labels)]
         return units.sparkSession.createDataFrame(rows, f"{key} {key_type}, cluster int")
-    model, assigned = kmeans(units, key, "unit", k=micro, seed=seed, initMode="random", maxIter=10)
+    model, assigned = kmeans(units, key, "unit", k=micro, seed=seed, initMode="random", maxIter=5)
     assigned = assigned.withColumnRenamed("cluster", "micro")
     sizes, centres = np.array(model.summary.clusterSizes), np.array(model.clusterCenters())
     used = np.flatnonzero(sizes)

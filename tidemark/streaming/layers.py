@@ -27,7 +27,9 @@ def word_layer(batch: DataFrame, now: float, folder: str, batch_id: int) -> None
     """Word counts per record as a time series, and their sum as the batch's change to the totals."""
     series = wd.word_time_series(batch, F.col("raw_text"), "comment_id").withColumn("timestamp", F.lit(now))
     write_batch(series, f"{folder}/{SERIES}", batch_id)
-    totals = wd.word_count(batch, F.col("raw_text")).withColumn("timestamp", F.lit(now))
+    # Summed from what was just written, so the texts are not taken apart a second time.
+    written = batch.sparkSession.read.parquet(f"{folder}/{SERIES}/batch_id={batch_id}")
+    totals = written.groupBy("word").agg(F.sum("count").alias("count"), F.max("timestamp").alias("timestamp"))
     write_batch(totals, f"{folder}/{DELTAS}", batch_id)
 
 
