@@ -14,12 +14,13 @@ from tidemark.sources import tables
 from tidemark.streaming import layers, sources, state
 
 BATCH_TIME = 1704067200.0
+KEYS = {"documents": ("doc_id",), "events": ("event_id",), "conversations": ("conv_id", "turn")}
 
 
 def _stream(spark: SparkSession, root: str, name: str, *columns: str) -> DataFrame:
     # A pattern, as the file source takes a plain path for a folder; it matches a file or a folder.
     stream = sources.landed_stream(spark, f"{root}/{{{name}.parquet}}", schemas.TABLES[name]).select(*columns)
-    return spread(stream, columns[0], size_of=tables.load_table(spark, root, name).select(*columns))
+    return spread(stream, *KEYS[name], size_of=tables.load_table(spark, root, name).select(*columns))
 
 
 def _comment_records(spark: SparkSession, root: str) -> DataFrame:

@@ -62,17 +62,17 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def spread(df: DataFrame, key: str, size_of: DataFrame | None = None) -> DataFrame:
+def spread(df: DataFrame, *key: str, size_of: DataFrame | None = None) -> DataFrame:
     """Spread a small input over all cores before CPU-heavy text work.
 
     A small Parquet file has one row group and would be read by one task. Inputs that
     fill the cluster anyway are returned as they are, so no shuffle is added there.
-    The split is by hash of ``key``, so a recomputed task sees the same rows again. For a
-    stream, ``size_of`` is the stored table it reads.
+    The split is by hash of ``key``, so a recomputed task sees the same rows again; the key
+    has to be unique per row, as a common value would put its rows into one task. For a stream, ``size_of`` is the stored table it reads.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if cores > 1 and estimated_bytes(df if size_of is None else size_of) < cores * SPLIT_BYTES:
-        return df.repartition(cores, key)
+        return df.repartition(cores, *key)
     return df
 
 
