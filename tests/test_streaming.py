@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import ids
-from tidemark.operators import company as co, ingest as ing, words as wd
+from tidemark.operators import company as co, ingest as ing
 from tidemark.sources import tables
 from tidemark.streaming import layers, replay, sources, state
 
