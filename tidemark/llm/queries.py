@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import near_dedup
-from tidemark.llm.common import table
+from tidemark.llm import fingerprints, language, mixing, near_dedup, packing, quality, secrets, sharding, token_counts, toxicity
+from tidemark.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,6 +24,86 @@ def query(name: str, sql: str | None = None) -> Callable:
     return register
 
 
+def byte_bpe() -> tuple[str, str, str]:
+    """Files and pattern of the public byte-level vocabulary."""
+    path = public_tokenizers.path
+    return path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@query("op1_token_counts")
+def op1(spark: SparkSession, root: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, root, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op2_mix_sources")
+def op2(spark: SparkSession, root: str) -> DataFrame:
+    return mixing.mix(table(spark, root, "documents")).select("doc_id", "source", "bytes", "block", "slot", "in_mix")
+
+
+@query("op3_best_fit_packing")
+def op3(spark: SparkSession, root: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, root, "documents"), *byte_bpe())
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, root: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    return toxicity.score(table(spark, root, "documents"), table(spark, root, "labels"), held_out)
+
+
+@query("op5_fingerprints")
+def op5(spark: SparkSession, root: str) -> DataFrame:
+    rows = fingerprints.compare_with_next(table(spark, root, "documents"))
+    own, edited, after = [(F.col(f"{p}_hi"), F.col(f"{p}_lo")) for p in "oen"]
+    compared = rows.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprints.digits(own).alias("fingerprint"),
+        fingerprints.digits(edited).alias("edited_fingerprint"),
+        fingerprints.likeness(own, edited).alias("near_edited"),
+        fingerprints.likeness(own, after).alias("near_next"),
+        own[0].alias("hi"),
+        own[1].alias("lo"),
+    )
+    return fingerprints.near_counts(compared, F.col("doc_id") % 100 == 0).drop("hi", "lo")
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, root: str) -> DataFrame:
+    return language.identify(table(spark, root, "documents"), remainder(F.col("doc_id"), 4) == 2)
+
+
+@query("op7_kd_shards")
+def op7(spark: SparkSession, root: str) -> DataFrame:
+    rows = sharding.kd_shards(table(spark, root, "documents"), shards=8)
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return rows.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+@query("op8_secret_scan")
+def op8(spark: SparkSession, root: str) -> DataFrame:
+    found = secrets.scan(table(spark, root, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    counts = [secrets.count_of(k) for k in range(4)]
+    return found.select(
+        "doc_id",
+        counts[0].alias("n_assign"),
+        counts[1].alias("n_access"),
+        counts[2].alias("n_hex"),
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"),
+        counts[3].alias("n_opaque"),
+        F.size(F.filter("spans", lambda s: s["example"])).cast("long").alias("n_example"),
+    )
+
+
+@query("op9_quality_rules")
+def op9(spark: SparkSession, root: str) -> DataFrame:
+    return quality.judged(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
 @query("op10_simhash_near_dedup")
 def op10(spark: SparkSession, root: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, root, "documents"))
