@@ -151,7 +151,12 @@ def identify(docs: DataFrame, held_out: Column) -> DataFrame:
 
 
 def accepted(docs: DataFrame, held_out: Column) -> DataFrame:
-    """``docs`` without the rows whose language is undetermined; all other rows and all columns stay."""
+    """``docs`` without the rows whose language is undetermined; all other rows and all columns stay.
+
+    Without any labelled row there is no language to tell, and only texts without a letter go.
+    """
     model = fit(docs, held_out)
+    if not model:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     rows = docs.select(F.struct("*").alias("_doc"), predicted(F.col("text"), model).alias("_p"))
     return rows.where(F.col("_p.lang") != UNDETERMINED).select("_doc.*")

@@ -18,21 +18,21 @@ PAIRS = 1 << 20
 MASK = (1 << 64) - 1
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): 64 bits voted by the XXH64 (seed 42) of every shingle of ``size`` lower-cased words.
+def fingerprints(docs: DataFrame, size: int = SHINGLE, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keys`` and fp: 64 bits voted by the XXH64 (seed 42) of every shingle of ``size`` lower-cased words.
 
     Repeats of a shingle vote each time; fewer words are one shingle; null or blank text has fingerprint 0.
     Rows are kept as they are, repeated ids as well.
     """
     rows = docs.select(
-        F.monotonically_increasing_id().alias("_row"), "doc_id", common.words(common.ascii_lower(F.col("text"))).alias("_words")
+        F.monotonically_increasing_id().alias("_row"), *keys, common.words(common.ascii_lower(F.col("text"))).alias("_words")
     )
-    rows = rows.select(common.shingle_rows(size, ["_row", "doc_id"], "_words"))
+    rows = rows.select(common.shingle_rows(size, ["_row", *keys], "_words"))
     parts = [F.col(f"w{k}") for k in range(size)]
     hashed = F.when(parts[0].isNotNull(), F.xxhash64(F.concat_ws(" ", *parts)))
-    votes = rows.select("_row", "doc_id", hashed.alias("_h")).groupBy("_row", "doc_id")
+    votes = rows.select("_row", *keys, hashed.alias("_h")).groupBy("_row", *keys)
     sums = votes.agg(*common.vote_sums(F.col("_h"), "_s"), F.count("_h").alias("_n"))
-    return sums.select("doc_id", F.coalesce(common.majority("_s", F.col("_n")), F.lit(0)).cast("long").alias("fp"))
+    return sums.select(*keys, F.coalesce(common.majority("_s", F.col("_n")), F.lit(0)).cast("long").alias("fp"))
 
 
 def _rotated(value: Column, by: int, width: int = 64) -> Column:
@@ -200,11 +200,29 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, distance: int = DISTAN
     takes part in links and is never the smallest unless its component has no other. An empty table gives no rows.
     """
     fps = cut_lineage(fingerprints(docs, size))
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("_least"))
-    roots = components(links(fps.select("fp").distinct(), distance))
-    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", F.coalesce("root", "fp").alias("_root"), "_least"
-    )
-    least = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    joined = fps.join(rooted.select("fp", "_root").join(least, "_root"), "fp")
+    rooted = _rooted(fps, distance)
+    least = rooted.join(fps.groupBy("fp").agg(F.min("doc_id").alias("_least")), "fp")
+    least = least.groupBy("_root").agg(F.min("_least").alias("component_id"))
+    joined = fps.join(rooted.join(least, "_root"), "fp")
     return joined.select("doc_id", common.hex64(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def _rooted(fps: DataFrame, distance: int) -> DataFrame:
+    """(fp, _root): each distinct fingerprint with the smallest one of its component."""
+    distinct = cut_lineage(fps.select("fp").distinct())
+    roots = components(links(distinct, distance))
+    return distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("_root"))
+
+
+def unique(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """One document of each component of near-duplicates, with all columns: the one with the smallest doc_id.
+
+    Rows without id come last; of rows of one id, the one with the smaller hash of its text stays, and one of equal
+    rows. Only ids and hashes take part in finding them; the texts are shuffled once, to pick them.
+    """
+    named = docs.select(F.struct("*").alias("_doc"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("_i"), F.xxhash64("text").alias("_x"), "text")
+    fps = cut_lineage(fingerprints(named, size, ("_i", "_x")))
+    owned = fps.join(_rooted(fps, distance), "fp")
+    first = owned.groupBy("_root").agg(F.min(F.struct("_i", "_x")).alias("_w")).select("_w.*").distinct()
+    kept = named.select("_doc", "_i", "_x").join(first, ["_i", "_x"], "left_semi")
+    return kept.groupBy("_i", "_x").agg(F.first("_doc").alias("_doc")).select("_doc.*")

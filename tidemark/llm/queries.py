@@ -42,7 +42,11 @@ def op2(spark: SparkSession, root: str) -> DataFrame:
 
 @query("op3_best_fit_packing")
 def op3(spark: SparkSession, root: str) -> DataFrame:
-    pieces = packing.token_pieces(table(spark, root, "documents"), *byte_bpe())
+    return packed(table(spark, root, "documents"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = packing.token_pieces(docs, *byte_bpe())
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 

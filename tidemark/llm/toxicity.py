@@ -30,31 +30,51 @@ def learn_terms(docs: DataFrame, labels: DataFrame, held_out: Column, max_labell
     Bounded sample, a documented parameter: at most about ``max_labelled`` labelled rows, by a hash of the id, whole
     texts. A word (or the first 4 to 6 letters of longer words) is a term if its rows are toxic far more often than
     all rows: the likelihood ratio must exceed what the best of all candidates reaches by chance, and
-    nine in ten of its rows must be toxic. At most MAX_TERMS of each kind, the strongest first.
+    nine in ten of its rows must be toxic. The same is asked of its distinct surroundings (the words before and
+    after), so that the words of one much copied toxic text are no terms. At most MAX_TERMS of each kind.
     """
     usable = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out)
     usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     n = usable.count()
     sample = usable.where(common.unit_hash("doc_id", F.lit(4)) < max_labelled / max(n, 1))
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # bounded by max_labelled
-    rows = rows.select("_toxic", F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("_words"))
-    stems = [_tagged("s", F.array_distinct(_stems(k))) for k in STEMS]
-    rows = rows.select("_toxic", F.concat(_tagged("w", F.col("_words")), *stems).alias("_terms"))
-    rows = cut_lineage(rows)
+    letters = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
+    rows = cut_lineage(rows.select("_toxic", letters.alias("_words")))
     size, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("_toxic"), F.lit(0))).first()
     if not toxic or toxic == size:
         return [], [], 0.0
-    counts = rows.select("_toxic", F.explode("_terms").alias("term")).groupBy("term").agg(F.sum("_toxic").alias("t"), F.count("*").alias("n"))
     prior = toxic / size
-    counts = cut_lineage(counts)
+    distinct = rows.select("_toxic", F.array_distinct("_words").alias("_words"))
+    stems = [F.array_distinct(_stems(k)) for k in STEMS]
+    terms = F.concat(_tagged("w", F.col("_words")), *[_tagged("s", x) for x in stems])
+    counts = cut_lineage(distinct.select("_toxic", F.explode(terms).alias("term")).groupBy("term").agg(F.sum("_toxic").alias("t"), F.count("*").alias("n")))
     least = math.log(max(counts.count(), 2)) + 2
+    strong = _strong(counts, prior, least).limit(4 * MAX_TERMS)
+    places = F.arrays_zip(F.col("_words").alias("w"), _shifted(-1).alias("b"), _shifted(1).alias("a"))
+    near = rows.select("_toxic", F.inline(places)).select("_toxic", "w", F.xxhash64("b", "a").alias("_place"))
+    keys = [F.concat(F.lit("w:"), "w"), *[F.when(F.char_length("w") > k, F.concat(F.lit("s:"), F.substring("w", 1, k))) for k in STEMS]]
+    near = near.select("_toxic", "_place", F.explode(F.array(*keys)).alias("term"))
+    near = near.join(F.broadcast(strong.select("term")), "term").groupBy("term", "_place").agg(F.max("_toxic").alias("_t"))
+    counts = near.groupBy("term").agg(F.sum("_t").alias("t"), F.count("*").alias("n"))
+    found = _strong(counts, prior, least).collect()
+    kinds = {k: [r["term"][2:] for r in found if r["term"][0] == k][:MAX_TERMS] for k in "ws"}
+    return kinds["w"], kinds["s"], prior
+
+
+def _strong(counts: DataFrame, prior: float, least: float) -> DataFrame:
+    """Terms seen ``t`` times in toxic rows of ``n`` times that pass the test, the strongest first."""
     share = F.col("t") / F.col("n")
     rest = F.when(share < 1, (F.col("n") - F.col("t")) * F.log((1 - share) / (1 - prior))).otherwise(0.0)
     ratio = F.col("t") * F.log(share / prior) + rest
-    strong = counts.where((F.col("t") >= 3) & (share >= 0.9)).withColumn("r", ratio).where(F.col("r") >= least)
-    found = strong.orderBy(F.desc("r"), "term").limit(2 * MAX_TERMS).collect()  # a top-k list
-    kinds = {k: [r["term"][2:] for r in found if r["term"][0] == k][:MAX_TERMS] for k in "ws"}
-    return kinds["w"], kinds["s"], prior
+    kept = counts.where((F.col("t") >= 3) & (share >= 0.9)).withColumn("r", ratio).where(F.col("r") >= least)
+    return kept.orderBy(F.desc("r"), "term")
+
+
+def _shifted(by: int) -> Column:
+    """The words one place before or after each word, null at the end."""
+    none = F.array(F.lit(None).cast("string"))
+    n = F.size("_words")
+    return F.concat(none, F.slice("_words", 1, F.greatest(n - 1, F.lit(0)))) if by < 0 else F.concat(F.slice("_words", 2, n), none)
 
 
 def _stems(k: int) -> Column:
@@ -125,7 +145,8 @@ def label_model(patterns: np.ndarray, counts: np.ndarray, prior: float, rounds:
     The generative model has a class prior, and per voter the chance to vote in either class (its accuracies), fitted by
     expectation maximisation until the posteriors stand still. Voters of a class are not independent: the mean
     correlation of a voter with the others, given the class, is estimated as well, and a vote's weight in the
-    posterior is divided by the number of voters that it stands for (1 + correlation * (voters - 1)).
+    posterior is divided by the number of voters that it stands for (1 + correlation * (voters - 1)). Lists
+    that are silent abstain where another list votes: a short toxic text has words of few lists.
     """
     n, v = counts.sum(), patterns.shape[1]
     if not n:
@@ -146,9 +167,10 @@ def label_model(patterns: np.ndarray, counts: np.ndarray, prior: float, rounds:
         shared = np.maximum(np.minimum(*weights), 1.0)
         share = float(np.clip(counts @ posterior / n, 1e-4, 0.5))
         odds = math.log(share / (1 - share))
-        yes = np.log(fire[1] / fire[0]) / shared
-        no = np.log((1 - fire[1]) / (1 - fire[0])) / shared
-        fresh = 1 / (1 + np.exp(-np.clip(odds + patterns @ yes + (1 - patterns) @ no, -30, 30)))
+        yes = patterns @ (np.log(fire[1] / fire[0]) / shared)
+        no = (1 - patterns) @ (np.log((1 - fire[1]) / (1 - fire[0])) / shared)
+        no[lexical > 0] = 0
+        fresh = 1 / (1 + np.exp(-np.clip(odds + yes + no, -30, 30)))
         moved = np.abs(fresh - posterior).max()
         posterior = fresh
         if moved < tolerance:
@@ -156,7 +178,7 @@ def label_model(patterns: np.ndarray, counts: np.ndarray, prior: float, rounds:
     return posterior
 
 
-def linear(x: np.ndarray, target: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
+def linear(x: np.ndarray, target: np.ndarray, weight: np.ndarray, ridge: float = 1e-6, rounds: int = 50) -> np.ndarray:
     """Coefficients (the last is the intercept) of a logistic regression on soft targets, by Newton's method."""
     x = np.c_[x, np.ones(len(x))]
     beta = np.zeros(x.shape[1])
@@ -192,10 +214,11 @@ def score(docs: DataFrame, labels: DataFrame, held_out: Column) -> DataFrame:
     patterns = np.array([r["_v"] for r in grouped], float)
     counts = np.array([r["count"] for r in grouped], float)
     posterior = label_model(patterns, counts, prior)
-    x = np.c_[patterns, [r["_sum"] / CAP for r in grouped]]
+    x = np.c_[patterns, [r["_sum"] / CAP for r in grouped], [r["_sum"] > 0 for r in grouped]]
     beta = linear(x, posterior, counts)
-    terms = [F.lit(float(b)) * F.col("_v")[k] for k, b in enumerate(beta[:-2])]
-    z = F.lit(float(beta[-1])) + F.lit(float(beta[-2])) * F.least(hits, F.lit(CAP)) / CAP
+    terms = [F.lit(float(b)) * F.col("_v")[k] for k, b in enumerate(beta[:-3])]
+    terms.append(F.lit(float(beta[-2])) * (hits > 0).cast("int"))
+    z = F.lit(float(beta[-1])) + F.lit(float(beta[-3])) * F.least(hits, F.lit(CAP)) / CAP
     for term in terms:
         z = z + term
     value = 1 / (1 + F.exp(-z))
