@@ -74,11 +74,11 @@ def token_pieces(
             yield frame(held)
 
     def frame(held: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(held, columns=["doc_id", "piece", "start", "length", "ids"])
-        return out.assign(doc_id=out["doc_id"].astype("Int64"))
+        return pd.DataFrame(held, columns=["doc_id", "piece", "start", "length", "ids"])
 
-    schema = "doc_id long, piece int, start long, length long, ids binary"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, schema)
+    schema = "doc_id string, piece int, start long, length long, ids binary"
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")  # pandas would round ids beside a null
+    return rows.mapInPandas(cut, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:

@@ -35,7 +35,48 @@ def op1(spark: SparkSession, root: str) -> DataFrame:
     return token_counts.token_counts(table(spark, root, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-@query("op2_mix_sources")
+MIX_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS m, COALESCE(strlen(text), 0) + 1 AS bytes FROM documents
+), sizes AS (SELECT source, SUM(bytes) AS b, COUNT(*) OVER () AS n FROM d GROUP BY source),
+shares AS (
+  SELECT source, n, pow(b, 0.9) / SUM(pow(b, 0.9)) OVER () * (1000 - n) AS x FROM sizes
+), dealt AS (
+  SELECT source, n, floor(x) AS w, ROW_NUMBER() OVER (ORDER BY round(x - floor(x), 9) DESC, source NULLS FIRST) AS r FROM shares
+), parts AS (
+  SELECT source, CAST(w + 1 + CASE WHEN r <= 1000 - n - SUM(w) OVER () THEN 1 ELSE 0 END AS BIGINT) AS p FROM dealt
+), l AS (
+  SELECT list(source ORDER BY source NULLS FIRST) AS ss, list(p ORDER BY source NULLS FIRST) AS ps, CAST(SUM(p) AS BIGINT) AS h
+  FROM parts
+), turns AS (
+  SELECT CAST(-1 AS BIGINT) AS slot, list_transform(ps, lambda p: CAST(0 AS BIGINT)) AS nxt, CAST(0 AS BIGINT) AS c FROM l
+  UNION ALL
+  SELECT slot + 1, list_transform(nxt, lambda v, i: v + CASE WHEN i = k THEN 1 ELSE 0 END), k
+  FROM (
+    SELECT slot, nxt, CAST(list_position(dues, list_min(dues)) AS BIGINT) AS k
+    FROM (
+      SELECT slot, nxt, list_transform(ps, lambda p, i: CASE WHEN nxt[i] < p AND (nxt[i] * h) // p <= slot + 1
+             THEN ((nxt[i] + 1) * h + p - 1) // p END) AS dues
+      FROM turns, l WHERE slot + 1 < h
+    )
+  )
+), slots AS (
+  SELECT ss[c] AS source, ps[c] AS p, h, slot, ROW_NUMBER() OVER (PARTITION BY c ORDER BY slot) - 1 AS nth
+  FROM turns, l WHERE slot >= 0
+), blocks AS (
+  SELECT doc_id, source, bytes, CAST(COALESCE(SUM(bytes) OVER (PARTITION BY source ORDER BY m
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) // 4096 AS block FROM d
+), ends AS (
+  SELECT MIN(((b - 1) // 4096 + 1) // p * h + slot) AS e
+  FROM (SELECT source, CAST(b AS BIGINT) AS b FROM sizes) z JOIN slots s
+    ON z.source IS NOT DISTINCT FROM s.source AND ((b - 1) // 4096 + 1) % p = nth
+)
+SELECT doc_id, b.source AS source, CAST(bytes AS BIGINT) AS bytes, block, block // p * h + slot AS slot, block // p * h + slot < e AS in_mix
+FROM blocks b JOIN slots s ON b.source IS NOT DISTINCT FROM s.source AND block % p = nth, ends
+"""
+
+
+@query("op2_mix_sources", MIX_SQL)
 def op2(spark: SparkSession, root: str) -> DataFrame:
     return mixing.mix(table(spark, root, "documents")).select("doc_id", "source", "bytes", "block", "slot", "in_mix")
 

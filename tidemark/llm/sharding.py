@@ -74,6 +74,8 @@ def _level(spark: SparkSession, rows: DataFrame, quotas: dict, n: int) -> tuple[
             axis = max(range(n), key=lambda k: wide[k])
             goal = size * (quotas[node][1] // 2) / quotas[node][1]
             cuts[node] = {"axis": axis, "prefix": 0, "left": goal, "size": size}
+    if not cuts:  # no rows in any node
+        return rows, {2 * node: (first, 1) for node, (first, _) in quotas.items()}
     hashed = F.shiftrightunsigned("_h", 32) * F.lit(1 << 15) + F.shiftrightunsigned("_t", 49)
     axes = _lookup(spark, [(k, c["axis"]) for k, c in cuts.items()], "_id int, _axis int")
     keyed = rows.join(F.broadcast(axes), F.col("_node") == F.col("_id"), "left").drop("_id")

@@ -93,8 +93,8 @@ def token_counts(docs: DataFrame, model_file: str) -> DataFrame:
                     known.update((w[1:], n) for w, n in found.items())
                 n_words += map(len, split)
                 n_tokens += [sum([known[w] for w in words]) for words in split]
-            ids = batch["doc_id"].astype("Int64")
-            yield pd.DataFrame({"doc_id": ids, "n_pretokens": n_words, "n_tokens": n_tokens})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_pretokens": n_words, "n_tokens": n_tokens})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInPandas(count, "doc_id long, n_pretokens long, n_tokens long")
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")  # pandas would round ids beside a null
+    counted = rows.mapInPandas(count, "doc_id string, n_pretokens long, n_tokens long")
+    return counted.withColumn("doc_id", F.col("doc_id").cast("long"))
