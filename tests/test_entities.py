@@ -83,3 +83,19 @@ def test_refined_names(spark):
 
 def test_empty_input_gives_empty_union(spark):
     assert en.distinct_orgs(frame(spark, []), F.col("text")).count() == 0
+
+
+def test_names_of_many_words(spark):
+    names = ["new york", "bank of new york", "the bank of new york mellon"]
+    df = spark.createDataFrame([(1, "the bank of new york fell"), (2, "the bank of new york mellon"), (3, "york new")], "id int, text string")
+    table = spark.createDataFrame([(n,) for n in names], "org string")
+    want = {(1, names[0]), (1, names[1]), (2, names[0]), (2, names[1]), (2, names[2])}
+    assert {tuple(r) for r in en.match_table(df, "id", F.col("text"), table).collect()} == want
+    listed = df.select("id", F.explode(en.orgs(F.col("text"), names)).alias("org"))
+    assert {tuple(r) for r in listed.collect()} == want
+
+
+def test_ngrams_are_in_reading_order(spark):
+    df = spark.createDataFrame([("a b c",), ("",)], "text string")
+    got = [r[0] for r in df.select(en.ngrams(F.expr("filter(split(text, ' '), x -> x <> '')"), 3)).collect()]
+    assert got == [["a", "a b", "a b c", "b", "b c", "c"], []]

@@ -86,8 +86,15 @@ def test_cap_equals_brute_force(spark, width):
 def test_pages_and_cap(spark):
     a = spark.createDataFrame([(1, 10), (2, 20)], "id int, t int")
     b = spark.createDataFrame([(2, 20), (3, 30)], "id int, t int")
-    assert rows(ing.dedup_pages([a, b], "id")) == [(1, 10), (2, 20), (3, 30)]
-    assert rows(ing.dedup_pages([a, b], "id", 2, F.desc("t"))) == [(2, 20), (3, 30)]
+    assert rows(ing.dedup_pages([a, b], "id", "t")) == [(1, 10), (2, 20), (3, 30)]
+    assert rows(ing.dedup_pages([a, b], "id", "t", 2)) == [(2, 20), (3, 30)]
+
+
+def test_newest_page_stays(spark):
+    a = spark.createDataFrame([(1, 7, 1), (2, 5, 3)], "id int, n int, t int")
+    b = spark.createDataFrame([(1, 9, 2), (2, 9, 2)], "id int, n int, t int")
+    for pages in ([a, b], [b, a]):
+        assert rows(ing.dedup_pages(pages, "id", "t")) == [(1, 9, 2), (2, 5, 3)]
 
 
 def test_dedup_texts(spark):
@@ -105,6 +112,9 @@ def test_incremental_copy(spark, tmp_path):
     fresh = str(tmp_path / "fresh")
     ing.incremental_copy(source, fresh, "id", ["id", "v"])
     assert spark.read.parquet(fresh).count() == 3
+    repeated = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "id int, v string")
+    ing.incremental_copy(repeated, str(tmp_path / "once"), "id", ["id", "v"])
+    assert rows(spark.read.parquet(str(tmp_path / "once"))) == [(1, "a"), (2, "c")]
 
 
 def tree(n, seed):
@@ -122,17 +132,16 @@ def test_depths_equal_brute_force(spark):
 
 
 def test_depths_of_chain_orphan_and_loop(spark):
-    chain = [("c0", "t3_p")] + [(f"c{i}", f"c{i - 1}") for i in range(1, 70)]
-    odd = [("o", "gone"), ("o2", "o"), ("l1", "l2"), ("l2", "l1")]
+    chain = [("c0", "t3_p")] + [(f"c{i}", f"c{i - 1}") for i in range(1, 3000)]
+    odd = [("o", "gone"), ("o2", "o"), ("n", None), ("l1", "l2"), ("l2", "l1"), ("under", "l1"), ("self", "self")]
     df = spark.createDataFrame(chain + odd, "id string, parent_id string")
-    assert dict(rows(ing.thread_depths(df, max_rounds=10))) == {f"c{i}": i for i in range(70)}
+    assert dict(rows(ing.thread_depths(df))) == {f"c{i}": i for i in range(3000)}
 
 
 def test_user_bundle(spark):
     df = spark.createDataFrame([("a", i, f"t{i}") for i in range(5)] + [("b", 1, "x")], "user string, o int, text string")
-    got = {r["user"]: r for r in ing.user_bundle(df, "user", "o", ["o", "text"], limit=3).collect()}
-    assert [tuple(r) for r in got["a"]["records"]] == [(4, "t4"), (3, "t3"), (2, "t2")]
-    assert got["a"]["n_records"] == 5 and got["b"]["n_records"] == 1
+    got = rows(ing.user_bundle(df, "user", "o", ["o", "text"]))
+    assert got == [("a", 5, i, f"t{i}") for i in range(5)] + [("b", 1, 1, "x")]
 
 
 def test_envelope_and_comment_record(spark):

@@ -121,20 +121,14 @@ def agglomerative(
 ) -> DataFrame:
     """(key, cluster) by Ward linkage with a distance threshold and no fixed number of clusters.
 
-    Up to ``micro`` vectors this is exact Ward clustering. Beyond that, k-means first
-    condenses the vectors to ``micro`` weighted centres, and Ward merges those; only the centres
-    reach the driver, and the small centre-to-cluster map goes back as a broadcast. Centres start
-    from random rows, as picking a thousand good starts would cost more than it gains here.
+    One way for every size: k-means condenses the vectors to at most ``micro`` weighted centres, and Ward merges
+    those. With fewer distinct vectors than ``micro`` each of them is a centre of its own, so the result is that of
+    Ward over the vectors. Only the centres reach the driver; no rows give no rows.
     """
     units = unit_vectors(vectors, key, vector)
-    key_type = units.schema[key].dataType.simpleString()
-    few = units.limit(micro + 1).collect()
-    if len(few) <= micro:
-        centres = np.array([r["unit"] for r in few]).reshape(len(few), -1)
-        labels = ward_labels(centres, np.ones(len(few)), threshold) if few else []
-        rows = [(r[key], int(c)) for r, c in zip(few, labels)]
-        return units.sparkSession.createDataFrame(rows, f"{key} {key_type}, cluster int")
-    model, assigned = kmeans(units, key, "unit", k=micro, seed=seed, initMode="random", maxIter=5)
+    if units.isEmpty():
+        return units.select(key, F.lit(0).alias("cluster"))
+    model, assigned = kmeans(units, key, "unit", k=micro, seed=seed)
     assigned = assigned.withColumnRenamed("cluster", "micro")
     sizes, centres = np.array(model.summary.clusterSizes), np.array(model.clusterCenters())
     used = np.flatnonzero(sizes)
@@ -151,7 +145,7 @@ def cluster_sizes(assigned: DataFrame) -> DataFrame:
 
 def with_sizes(members: DataFrame) -> DataFrame:
     """Member rows with the size of their cluster; clusters are never gathered into one row."""
-    return members.join(F.broadcast(cluster_sizes(members)), "cluster")
+    return members.join(cluster_sizes(members), "cluster")
 
 
 def cluster_top_words(counts: DataFrame, group: str, k: int = 10) -> DataFrame:

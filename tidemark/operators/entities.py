@@ -6,36 +6,37 @@ from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions import text as tx
+from tidemark.functions import text as tx, vectors as vx
 
 # The built-in gazetteer of organisation names.
 ORGANISATIONS = ("thing", "thble", "ering", "attion", "oning", "eriner", "estion", "blend")
 LABEL = "ORG"
-MAX_WORDS = 3
 
 
 def _width(gazetteer: Sequence[str]) -> int:
-    widest = max(len(name.split(" ")) for name in gazetteer)
-    if widest > MAX_WORDS:
-        raise ValueError(f"names may have at most {MAX_WORDS} words")
-    return widest
+    return max((len(name.split(" ")) for name in gazetteer), default=1)
 
 
 def ngrams(toks: Column, width: int) -> Column:
-    """All runs of 1..width tokens, ordered by where they start, then by length."""
+    """All runs of 1..width tokens, ordered by where they start, then by length.
+
+    The tokens are computed once; runs of n + 1 tokens are runs of n with the token that follows, so the work
+    is linear in the text for every width.
+    """
     if width == 1:
         return toks
 
-    def at(i: Column) -> Column:
-        runs = [
-            F.when(i + n <= F.size(toks), F.array_join(F.slice(toks, i + 1, n), " ")) for n in range(1, width + 1)
-        ]
-        return F.array_compact(F.array(*runs))
+    def grow(t: Column, runs: Column, found: Column, n: int) -> Column:
+        if n > width:
+            return F.flatten(found)
+        longer = F.zip_with(runs, F.slice(t, n, F.size(t)), lambda a, b: F.concat(a, F.lit(" "), b))
 
-    starts = F.when(F.size(toks) > 0, F.sequence(F.lit(0), F.size(toks) - 1)).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.flatten(F.transform(starts, at))
+        def append(g: Column) -> Column:
+            return F.zip_with(found, g, lambda some, run: F.when(run.isNull(), some).otherwise(F.array_append(some, run)))
+
+        return vx.with_value(longer, lambda g: vx.with_value(append(g), lambda more: grow(t, g, more, n + 1)))
+
+    return vx.with_value(toks, lambda t: grow(t, t, F.transform(t, lambda x: F.array(x)), 2))
 
 
 def mentions(text: Column, gazetteer: Sequence[str] = ORGANISATIONS, lowercase: bool = True) -> Column:
@@ -107,13 +108,16 @@ def _fold_spans(text: Column, names: list[str], width: int, label: str) -> Colum
 
 
 def match_table(
-    df: DataFrame, id_col: str, text: Column, gazetteer: DataFrame, width: int = MAX_WORDS, salts: int = 32
+    df: DataFrame, id_col: str, text: Column, gazetteer: DataFrame, width: int | None = None, salts: int = 32
 ) -> DataFrame:
     """(id, org) distinct hits against a gazetteer table (column ``org``) of any size.
 
     Texts are reduced to their distinct n-grams; a common n-gram is spread over ``salts``
-    keys, taken from a hash of the id so that a repeated task salts alike.
+    keys, taken from a hash of the id so that a repeated task salts alike. ``width`` defaults to the words of
+    the longest name of the table.
     """
+    if width is None:
+        width = gazetteer.agg(F.max(F.size(F.split("org", " ")))).first()[0] or 1
     grams = df.select(id_col, F.explode(F.array_distinct(ngrams(tx.tokens(text), width))).alias("org"))
     salted = grams.withColumn("salt", F.pmod(F.xxhash64(id_col), F.lit(salts)))
     names = gazetteer.select("org").distinct()

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
 from tidemark.functions import ids, text as tx
-from tidemark.session import cut_lineage
+from tidemark.session import run_folder
 
 # Author names with a meaning, the topic key, the page size of a mention search.
 DELETED_AUTHOR = "[deleted]"
@@ -91,7 +92,8 @@ def follows_rule(text: Column, lang: Column, keyword: str, any_of: Sequence[str]
 
 def mentioning(df: DataFrame, text: Column, user: str, order: Column, limit: int = MENTION_LIMIT) -> DataFrame:
     """The latest rows that mention ``@user`` as a whole name."""
-    whole_name = rf"@{user}(?<![A-Za-z0-9_@]@{user})(?![A-Za-z0-9_])"
+    name = "\\Q" + user.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+    whole_name = rf"@{name}(?<![A-Za-z0-9_@]@{name})(?![A-Za-z0-9_])"
     found = df.where(text.contains(f"@{user}") & text.rlike(whole_name))
     return found.orderBy(order).limit(limit)
 
@@ -128,13 +130,19 @@ def _hour(ts: Column) -> Column:
 # --- deduplication, caps, copies ----------------------------------------------------------
 
 
-def dedup_pages(pages: Sequence[DataFrame], key: str, max_rows: int | None = None, order: Column | None = None) -> DataFrame:
-    """Union of overlapping landed pages, one row per key; optionally only the latest ``max_rows``."""
+def dedup_pages(pages: Sequence[DataFrame], key: str, order: str, max_rows: int | None = None) -> DataFrame:
+    """Union of overlapping landed pages; of the rows of a key the one with the largest ``order`` stays.
+
+    Rows of equal order are compared as a whole, so the result does not depend on the order of the pages.
+    ``max_rows``: only so many of the newest.
+    """
     merged = pages[0]
     for page in pages[1:]:
         merged = merged.unionByName(page)
-    unique = merged.dropDuplicates([key])
-    return unique if max_rows is None else unique.orderBy(order).limit(max_rows)
+    rest = [c for c in merged.columns if c not in (key, order)]
+    newest = merged.groupBy(key).agg(F.max(F.struct(order, *rest)).alias("_row"))
+    unique = newest.select(key, "_row.*").select(*merged.columns)
+    return unique if max_rows is None else unique.orderBy(F.desc(order), key).limit(max_rows)
 
 
 def dedup_texts(df: DataFrame, id_col: str, text: Column) -> DataFrame:
@@ -176,13 +184,18 @@ def new_rows(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
 
 
 def incremental_copy(source: DataFrame, target_path: str, key: str, fields: Sequence[str], per_file: int | None = None) -> None:
-    """Append the rows of ``source`` the target folder lacks; a second run adds nothing."""
+    """Append the rows of ``source`` the target folder lacks; a second run adds nothing.
+
+    A key that the source holds several times is copied once: the smallest of its rows.
+    """
     spark = source.sparkSession
-    wanted = source.select(*fields)
+    rest = [f for f in fields if f != key] or [key]
+    once = source.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
+    wanted = once.select(*[F.col(key) if f == key else F.col("_row")[f].alias(f) for f in fields])
     try:
         wanted = new_rows(wanted, spark.read.schema(wanted.schema).parquet(target_path), key)
-    except Exception as missing:  # first run: no target yet
-        if "PATH_NOT_FOUND" not in str(missing):
+    except AnalysisException as missing:  # first run: no target yet
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
     writer = wanted.write.mode("append")
     if per_file:
@@ -201,48 +214,51 @@ def post_comments(posts: DataFrame, comments: DataFrame) -> DataFrame:
     return posts.join(per_post, "id")
 
 
-def thread_depths(comments: DataFrame, root_prefix: str = ids.SUBMISSION_PREFIX, max_rounds: int = 40) -> DataFrame:
+def thread_depths(comments: DataFrame, root_prefix: str = ids.SUBMISSION_PREFIX) -> DataFrame:
     """(id, depth): 0 for a direct answer to a post, else one more than its parent.
 
-    Every unresolved comment points to an ancestor and knows the distance. Each round lets it
-    take over what its ancestor knows, so a chain of n answers needs log2(n) rounds and as many
-    joins. A comment whose parent is missing, or that is its own ancestor, gets no depth.
+    Every open comment points to an ancestor and knows the distance. Each round lets it take over what its ancestor
+    knows, so a chain of n answers needs log2(n) rounds. A round is written to the shared folder and read back: a
+    comment is written as resolved once, and only the open ones are joined again. Comments under a missing parent
+    drop out when the gap is reached. While a comment that will be resolved or dropped is open, each round settles
+    one at least; a round that settles none leaves only cycles and what hangs below them, which get no depth.
     """
-    at_root = F.col("parent_id").startswith(root_prefix)
-    state = comments.select(
-        "id", F.when(~at_root, F.col("parent_id")).alias("up"), F.when(at_root, 0).otherwise(1).alias("steps")
+    spark = comments.sparkSession
+    folder = run_folder(spark, "thread-depths")
+    kind = comments.schema["id"].dataType.simpleString()
+    schema = f"id {kind}, up {kind}, steps bigint, depth bigint"
+    at_root = F.coalesce(F.col("parent_id").startswith(root_prefix), F.lit(False))
+    first = comments.select(
+        "id",
+        F.when(~at_root, F.col("parent_id")).alias("up"),
+        F.lit(1).cast("bigint").alias("steps"),
+        F.when(at_root, F.lit(0)).cast("bigint").alias("depth"),
     )
-    state = cut_lineage(state)
-    for _ in range(max_rounds):
-        if state.where(F.col("up").isNotNull()).isEmpty():
-            break
-        ancestor = state.select(
-            F.col("id").alias("up"), F.col("up").alias("next_up"), F.col("steps").alias("more")
-        )
-        moved = state.where(F.col("up").isNotNull()).join(ancestor, "up").select(
-            "id", F.col("next_up").alias("up"), (F.col("steps") + F.col("more")).alias("steps")
-        )
-        done = state.where(F.col("up").isNull())
-        state = cut_lineage(done.unionByName(moved))
-    return state.where(F.col("up").isNull()).select("id", F.col("steps").alias("depth"))
-
-
-def user_bundle(records: DataFrame, user: str, order: str, fields: Sequence[str], limit: int = MENTION_LIMIT) -> DataFrame:
-    """One row per user: number of records and the list of the newest ``limit`` of them.
-
-    Counting is a plain aggregate; the list is cut to ``limit`` rows per user in every task
-    before the shuffle, so a busy user costs no more than a quiet one.
+    first.write.parquet(f"{folder}/0")
+    rounds, before = [f"{folder}/0"], None
+    while True:
+        resolved = spark.read.schema(schema).parquet(*rounds).where("depth IS NOT NULL").select("id", "depth")
+        unsettled = spark.read.schema(schema).parquet(rounds[-1]).where("depth IS NULL")
+        left = unsettled.count()
+        if left in (0, before):
+            return resolved.select("id", F.col("depth").cast("int").alias("depth"))
+        before = left
+        above = unsettled.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"), "depth")
+        known = resolved.select(F.col("id").alias("up"), F.lit(None).cast(kind).alias("next"), F.lit(0).cast("bigint").alias("more"), "depth")
+        moved = unsettled.select("id", "up", "steps").join(above.unionByName(known), "up")
+        rounds.append(f"{folder}/{len(rounds)}")
+        steps = F.col("steps") + F.col("more")
+        moved.select("id", F.col("next").alias("up"), steps.alias("steps"), (F.col("depth") + F.col("steps")).alias("depth")).write.parquet(rounds[-1])
+
+
+def user_bundle(records: DataFrame, user: str, order: str, fields: Sequence[str]) -> DataFrame:
+    """(user, n_records, order, fields): every record beside the number of its user's records, none left out.
+
+    Records stay rows, so a busy user is spread like the others; the counts are partial aggregates.
     """
     totals = records.groupBy(user).agg(F.count(F.lit(1)).alias("n_records"))
-    newest = W.partitionBy(user).orderBy(F.desc(order))
-    listed = (
-        records.withColumn("_rank", F.row_number().over(newest))
-        .where(F.col("_rank") <= limit)
-        .groupBy(user)
-        .agg(F.array_sort(F.collect_list(F.struct("_rank", *fields))).alias("records"))
-        .withColumn("records", F.transform("records", lambda r: F.struct(*[r[f].alias(f) for f in fields])))
-    )
-    return totals.join(listed, user)
+    kept = dict.fromkeys([user, order, *fields])
+    return records.select(*kept).join(totals, user).select(user, "n_records", *[c for c in kept if c != user])
 
 
 def first_per_partition(df: DataFrame, keys: Sequence[str], order: Sequence[str], fields: Sequence[str]) -> DataFrame:

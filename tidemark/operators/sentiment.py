@@ -66,7 +66,7 @@ def score_rows(df: DataFrame, labels: Sequence[str], label_map: DataFrame, *keys
     """Score vector -> one row per label, the name looked up in the label map by index."""
     vector = F.array(*[F.col(label) for label in labels])
     rows = df.select(*keys, F.posexplode(vector).alias("label_id", "score"))
-    return rows.join(F.broadcast(label_map.withColumnRenamed("id", "label_id")), "label_id")
+    return rows.join(label_map.withColumnRenamed("id", "label_id"), "label_id")
 
 
 def average_by_key(maps: Column, df: DataFrame) -> DataFrame:
@@ -110,9 +110,11 @@ def score_with_model(
     return cleaned.mapInPandas(run, schema)
 
 
-def train_spam_model(labelled: DataFrame, text_col: str, label_col: str, features: int = 1 << 14):
+def train_spam_model(labelled: DataFrame, text_col: str, label_col: str, features: int = 1 << 14, max_iter: int = 100):
     """HashingTF -> IDF -> logistic regression on the cleaned texts; returns the fitted pipeline.
 
+    The regression runs until it converges; ``max_iter`` only bounds a fit that does not.
+
     The term counts are kept while IDF and the regression pass over them, so texts are tokenized once.
     """
     from pyspark.ml import PipelineModel
@@ -126,7 +128,7 @@ def train_spam_model(labelled: DataFrame, text_col: str, label_col: str, feature
     counted = hashing.transform(data).select("tf", "label").persist()
     try:
         idf = IDF(inputCol="tf", outputCol="features").fit(counted)
-        regression = LogisticRegression(maxIter=10, regParam=0.01).fit(idf.transform(counted))
+        regression = LogisticRegression(maxIter=max_iter, regParam=0.01).fit(idf.transform(counted))
     finally:
         counted.unpersist()
     return PipelineModel([hashing, idf, regression])

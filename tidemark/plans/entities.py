@@ -35,7 +35,7 @@ def docs_with_orgs(spark: SparkSession, root: str) -> DataFrame:
 def org_table_match(spark: SparkSession, root: str) -> DataFrame:
     """The same hits from a gazetteer kept as a table, by a salted join."""
     names = label_map(spark, en.ORGANISATIONS).select(F.col("label").alias("org"))
-    return en.match_table(_documents(spark, root, "text"), "doc_id", F.col("text"), names, width=1)
+    return en.match_table(_documents(spark, root, "text"), "doc_id", F.col("text"), names)
 
 
 _PIECES = r"regexp_extract_all(lower(text), '[\p{L}\p{N}'']+|[^\p{L}\p{N}'']+')"

@@ -84,15 +84,17 @@ def first_per_partition(spark: SparkSession, root: str) -> DataFrame:
 
 @query(
     "landed_pages_dedup",
-    """SELECT DISTINCT doc_id AS id, n_chars FROM (
-      SELECT d.doc_id, d.n_chars FROM documents d JOIN labels l ON d.doc_id = l.doc_id
-      UNION ALL SELECT doc_id, n_chars FROM documents)""",
+    """SELECT doc_id AS id, crawl, n_chars FROM (
+      SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY crawl DESC) AS rn FROM (
+        SELECT d.doc_id, 2 AS crawl, d.n_chars + 1 AS n_chars FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+        UNION ALL SELECT doc_id, 1 AS crawl, n_chars FROM documents)) WHERE rn = 1""",
 )
 def landed_pages_dedup(spark: SparkSession, root: str) -> DataFrame:
-    """A first crawl (the labelled documents) and a later full one overlap; one row per id stays."""
-    full = tables.load_table(spark, root, "documents").select(F.col("doc_id").alias("id"), "n_chars")
+    """A full crawl and a later one of the labelled documents, which have changed; the newer row of an id stays."""
+    documents = tables.load_table(spark, root, "documents").select(F.col("doc_id").alias("id"), "n_chars")
     labels = tables.load_table(spark, root, "labels").select(F.col("doc_id").alias("id"))
-    return ing.dedup_pages([full.join(labels, "id", "left_semi"), full], "id")
+    later = documents.join(labels, "id", "left_semi").select("id", F.lit(2).alias("crawl"), (F.col("n_chars") + 1).alias("n_chars"))
+    return ing.dedup_pages([later, documents.select("id", F.lit(1).alias("crawl"), "n_chars")], "id", "crawl")
 
 
 @query(
@@ -161,15 +163,11 @@ def active_posts(spark: SparkSession, root: str) -> DataFrame:
 
 @query(
     "user_bundle",
-    f"""SELECT source AS author, count(*) AS n_records,
-      string_agg(doc_id, ',' ORDER BY doc_id DESC) FILTER (WHERE rn <= {ing.MENTION_LIMIT}) AS newest
-    FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS rn FROM documents) GROUP BY source""",
+    "SELECT source AS author, count(*) OVER (PARTITION BY source) AS n_records, doc_id FROM documents",
 )
 def user_bundle(spark: SparkSession, root: str) -> DataFrame:
     records = tables.load_table(spark, root, "documents").select(F.col("source").alias("author"), "doc_id")
-    bundled = ing.user_bundle(records, "author", "doc_id", ["doc_id"])
-    newest = F.array_join(F.transform("records", lambda r: r["doc_id"].cast("string")), ",")
-    return bundled.select("author", "n_records", newest.alias("newest"))
+    return ing.user_bundle(records, "author", "doc_id", ["doc_id"])
 
 
 @query("project_fields", "SELECT doc_id, lang, source FROM documents")
@@ -233,6 +231,7 @@ def incremental_copy(spark: SparkSession, root: str) -> DataFrame:
     target = run_folder(spark, "incremental-copy")
     documents.join(labels, "doc_id", "left_semi").withColumn("had", F.lit(True)).select(*fields).write.parquet(target)
     source = documents.withColumn("had", F.lit(False))
+    source = source.unionByName(source)  # every id twice
     for _ in range(2):
         ing.incremental_copy(source, target, "doc_id", fields)
     return spark.read.schema(source.select(*fields).schema).parquet(target)

@@ -72,7 +72,7 @@ PAIRS = f"""
 SELECT s.doc_id, o.org AS company, s.negative, s.neutral, s.positive
 FROM ({SCORES}) s JOIN (SELECT DISTINCT doc_id, org FROM ({MENTIONS})) o ON s.doc_id = o.doc_id"""
 
-POST_TIMES = "SELECT event_id // 10 AS doc_id, ts AS created_utc FROM events WHERE event_id % 10 = 0"
+POST_TIMES = "SELECT event_id // 10 AS doc_id, min(ts) AS created_utc FROM events GROUP BY 1"
 
 ROLLUP = """round(avg(positive), 6) AS positive, round(avg(negative), 6) AS negative,
   round(avg(neutral), 6) AS neutral, round((avg(positive) - avg(negative) + 1) / 2, 6) AS normalize_score,

@@ -46,15 +46,10 @@ def noun_words(spark: SparkSession, root: str) -> DataFrame:
     return wd.noun_words(word_count(spark, root))
 
 
-@query(
-    "word_map",
-    f"""SELECT lang, word, count, rank FROM (
-      SELECT *, row_number() OVER (PARTITION BY lang ORDER BY count DESC, word)::INTEGER AS rank
-      FROM (SELECT lang, word, count(*) AS count FROM ({sq.DOC_WORDS}) GROUP BY lang, word)) WHERE rank <= 5""",
-)
+@query("word_map", f"SELECT lang, word, count(*) AS count FROM ({sq.DOC_WORDS}) GROUP BY lang, word")
 def word_map(spark: SparkSession, root: str) -> DataFrame:
-    counts = wd.word_time_series(_documents(spark, root, "text", "lang"), F.col("text"), "lang")
-    return wd.top_per_group(counts, "lang", 5)
+    """All words of every group with their counts."""
+    return wd.word_time_series(_documents(spark, root, "text", "lang"), F.col("text"), "lang")
 
 
 @query(
@@ -63,8 +58,9 @@ def word_map(spark: SparkSession, root: str) -> DataFrame:
     FROM ({sq.DOC_WORDS}) w JOIN ({sq.POST_TIMES}) t ON w.doc_id = t.doc_id GROUP BY 1, 2, 3""",
 )
 def word_time_series(spark: SparkSession, root: str) -> DataFrame:
-    posts = tables.posts(spark, root).select("id", "created_utc", "body")
-    return wd.word_time_series(posts, F.col("body"), "id", "created_utc")
+    """Words are counted where the texts lie; only counts meet the times."""
+    counts = wd.word_time_series(_documents(spark, root, "text"), F.col("text"), "doc_id").withColumnRenamed("doc_id", "id")
+    return counts.join(tables.post_times(spark, root), "id").select("id", "created_utc", "word", "count")
 
 
 @query(
@@ -73,16 +69,15 @@ def word_time_series(spark: SparkSession, root: str) -> DataFrame:
     FROM ({sq.DOC_WORDS}) w LEFT JOIN labels l ON w.doc_id = l.doc_id GROUP BY word""",
 )
 def word_freq_upsert(spark: SparkSession, root: str) -> DataFrame:
-    """State from the labelled documents, then the counts of all others added to it."""
-    documents = _documents(spark, root, "text")
-    labelled = tables.load_table(spark, root, "labels").select("doc_id")
+    """State from the labelled documents, then the counts of all others added to it. Texts are scanned once and not moved."""
+    counts = wd.word_time_series(_documents(spark, root, "text"), F.col("text"), "doc_id")
+    labelled = tables.load_table(spark, root, "labels").select("doc_id").distinct().withColumn("known", F.lit(True))
+    flagged = counts.join(labelled, "doc_id", "left")
 
-    def counted(part: DataFrame, at: float) -> DataFrame:
-        return wd.word_count(part, F.col("text")).withColumn("timestamp", F.lit(at))
+    def summed(part: DataFrame, at: float) -> DataFrame:
+        return part.groupBy("word").agg(F.sum("count").alias("count")).withColumn("timestamp", F.lit(at))
 
-    state = counted(documents.join(labelled, "doc_id", "left_semi"), STATE_TIME)
-    delta = counted(ing.new_rows(documents, labelled, "doc_id"), DELTA_TIME)
-    return wd.upsert_counts(state, delta)
+    return wd.upsert_counts(summed(flagged.where("known"), STATE_TIME), summed(flagged.where("known IS NULL"), DELTA_TIME))
 
 
 @query(
