@@ -42,7 +42,7 @@ def company_sentiment_batch(spark: SparkSession, root: str) -> DataFrame:
 def org_pairs(spark: SparkSession, root: str) -> DataFrame:
     """(company, scores, created_utc): texts are scored where they lie; only hits are joined."""
     pairs = _scored(spark, root).select("doc_id", F.explode(en.orgs(F.col("text"))).alias("company"), *co.LABELS)
-    times = tables.post_times(spark, root).withColumnRenamed("id", "doc_id")
+    times = tables.post_times(spark, root, ids.moment(END)).withColumnRenamed("id", "doc_id")
     return pairs.join(times, "doc_id")
 
 
@@ -77,7 +77,7 @@ def company_sentiment_sliding(spark: SparkSession, root: str) -> DataFrame:
 )
 def post_sentiment_orgs(spark: SparkSession, root: str) -> DataFrame:
     """Posts of a time range, their score record and their organisation record, joined by id."""
-    posts = ing.time_range(tables.post_times(spark, root), "created_utc", ids.moment(START), ids.moment(END))
+    posts = ing.time_range(tables.post_times(spark, root, ids.moment(END)), "created_utc", ids.moment(START), ids.moment(END))
     scored = st.score_sentiment(_documents(spark, root, "text"), F.col("text"))
     scores = scored.select(
         F.col("doc_id").alias("id"), F.md5("text").alias("text_md5"), *[F.round(c, 6).alias(c) for c in co.LABELS]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark import schemas
 from tidemark.functions import ids
@@ -22,9 +22,14 @@ def load_external(spark: SparkSession, fmt: str, **options: str) -> DataFrame:
     return spark.read.format(fmt).options(**options).load()
 
 
-def post_times(spark: SparkSession, root: str) -> DataFrame:
-    """(id, created_utc): ten events belong to a post, and the first of them tells when it was made."""
+def post_times(spark: SparkSession, root: str, before: Column | None = None) -> DataFrame:
+    """(id, created_utc): ten events belong to a post, and the first of them tells when it was made.
+
+    ``before``: only posts made before it; later events cannot be their first, so the scan skips them.
+    """
     events = load_table(spark, root, "events")
+    if before is not None:
+        events = events.where(F.col("ts") < before)
     return events.groupBy(F.expr("event_id DIV 10").alias("id")).agg(F.min("ts").alias("created_utc"))
 
 
