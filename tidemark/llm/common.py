@@ -8,10 +8,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 WHITE = " \t\n\x0b\x0c\r"
+TEXTS_PER_BATCH = 500
 ROWS_PER_BUCKET = 2_000
 LOW = 0xFFFFFFFF
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what a Python worker holds at once: rows are whole texts, and Spark's usual 10,000 of them are too many."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > TEXTS_PER_BATCH:
+        spark.conf.set(name, TEXTS_PER_BATCH)
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 

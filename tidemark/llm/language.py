@@ -25,6 +25,7 @@ def fit(docs: DataFrame, held_out: Column, sample_docs: int = SAMPLE_DOCS, sampl
     Bounded sample, documented parameters: about ``sample_docs`` whole documents a language, chosen by a hash of
     the id, and of their words the ``sample_words`` most frequent. Rows without text, letter or label are left out.
     """
+    common.small_batches(docs.sparkSession)
     usable = docs.where(~held_out & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     usable = usable.select(F.col("lang").cast("string").alias("lang"), "text", common.unit_hash("doc_id").alias("_u"))
     sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}

@@ -17,27 +17,36 @@ END = 2
 FLUSH = 8 << 20
 
 
-def encoder(tokenizer_path: str, ranks_path: str, pattern: str) -> Callable[[str], bytes]:
+def added_tokens(tokenizer_path: str) -> list[str]:
+    from tokenizers import Tokenizer
+
+    return [t.content for t in Tokenizer.from_file(tokenizer_path).get_added_tokens_decoder().values()]
+
+
+def encoder(tokenizer_path: str, ranks_path: str, pattern: str, added: list[str]) -> Callable[[str], bytes]:
     """A function from a text to its token ids as little-endian unsigned 32-bit bytes.
 
     ``ranks_path`` holds the vocabulary of ``tokenizer_path`` as ranks, ``pattern`` its cut into pre-tokens; the
-    ids are the same and made several times faster. A text with one of the tokenizer's added tokens goes to
-    the tokenizer itself.
+    ids are the same and made several times faster. A text with one of the tokenizer's ``added`` tokens goes to
+    the tokenizer itself, which is loaded only then.
     """
     import base64
 
     import tiktoken
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(tokenizer_path)
-    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    slow = None
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> bytes:
+        nonlocal slow
         if any(a in text for a in added):
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            if slow is None:
+                from tokenizers import Tokenizer
+
+                slow = Tokenizer.from_file(tokenizer_path)
+            return np.array(slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
     return encode
@@ -52,9 +61,10 @@ def token_pieces(
     fill a piece. Null text counts as empty: one piece with ``end_id`` alone. Texts are read whole.
     """
     last = np.array([end_id], "<u4").tobytes()
+    added = added_tokens(tokenizer_path)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer_path, ranks_path, pattern)
+        encode = encoder(tokenizer_path, ranks_path, pattern, added)
         held: list[tuple] = []
         size = 0
         for batch in batches:
@@ -76,6 +86,7 @@ def token_pieces(
     def frame(held: list[tuple]) -> pd.DataFrame:
         return pd.DataFrame(held, columns=["doc_id", "piece", "start", "length", "ids"])
 
+    common.small_batches(docs.sparkSession)
     schema = "doc_id string, piece int, start long, length long, ids binary"
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")  # pandas would round ids beside a null
     return rows.mapInPandas(cut, schema).withColumn("doc_id", F.col("doc_id").cast("long"))

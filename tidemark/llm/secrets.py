@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.llm import common
 from tidemark.session import cut_lineage
 
 # Base kinds in their order; OPAQUE is the kind that the method may add.
@@ -78,6 +79,7 @@ def _decided(hits: DataFrame) -> DataFrame:
 
 
 def _marked(docs: DataFrame, owner: str, repository: Column) -> DataFrame:
+    common.small_batches(docs.sparkSession)
     return docs.select(
         F.struct("*").alias("_doc"),
         F.col(owner).cast("string").alias("_owner"),

@@ -8,6 +8,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm import common
+
 CACHED = 500_000
 SPACE = "▁"
 
@@ -95,6 +97,7 @@ def token_counts(docs: DataFrame, model_file: str) -> DataFrame:
                 n_tokens += [sum([known[w] for w in words]) for words in split]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_pretokens": n_words, "n_tokens": n_tokens})
 
+    common.small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")  # pandas would round ids beside a null
     counted = rows.mapInPandas(count, "doc_id string, n_pretokens long, n_tokens long")
     return counted.withColumn("doc_id", F.col("doc_id").cast("long"))

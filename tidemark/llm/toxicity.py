@@ -202,6 +202,7 @@ def score(docs: DataFrame, labels: DataFrame, held_out: Column) -> DataFrame:
     hundred), and the classifier is fitted to its posteriors on capped hit counts, grouped likewise. Scores read the
     text alone. Empty and null texts are scored like texts without hits; without toxic labels all scores are 0.
     """
+    common.small_batches(docs.sparkSession)
     words, stems, prior = learn_terms(docs, labels, held_out)
     rows = docs.select("doc_id", held_out.alias("held_out"), voter_hits(F.col("text"), words, stems).alias("_h"))
     lexical = [F.least(F.col(f"_h.{v}"), F.lit(CAP)).cast("int") for v in VOTERS[: 2 * LISTS]]
