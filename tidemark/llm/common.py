@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 WHITE = " \t\n\x0b\x0c\r"
-TEXTS_PER_BATCH = 500
+TEXTS_PER_BATCH = 100
 ROWS_PER_BUCKET = 2_000
 LOW = 0xFFFFFFFF
 

@@ -14,7 +14,7 @@ from tidemark.llm import common
 
 SAMPLE_DOCS = 400
 SAMPLE_WORDS = 6_000
-CACHED = 400_000
+CACHED = 100_000
 UNDETERMINED = "und"
 LANE = 40
 
