@@ -109,6 +109,7 @@ def predicted(text: Column, model: dict[str, list[str]]) -> Column:
         runs = re.compile(r"[^\W\d_]+")
         mask = (1 << LANE) - 1
         known: dict[str, int] = {}
+        older: dict[str, int] = {}
 
         def lanes(token: str) -> int:
             total = 0
@@ -123,11 +124,12 @@ def predicted(text: Column, model: dict[str, list[str]]) -> Column:
             out = []
             for text in batch:
                 tokens = text.lower().split() if text else []
-                if len(known) > CACHED:
-                    known.clear()
+                if len(known) > CACHED // 2:
+                    known, older = {}, known  # words in use move on, the others go with the next change
                 for token in set(tokens):
                     if token not in known:
-                        known[token] = lanes(token)
+                        value = older.pop(token, None)
+                        known[token] = lanes(token) if value is None else value
                 total = sum([known[t] for t in tokens])
                 letters = total & mask
                 if not letters or not langs:
