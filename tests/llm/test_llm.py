@@ -241,6 +241,13 @@ def test_language(spark, data):
     assert np.mean(held) > 0.95
 
 
+def test_full_memo_changes_nothing(spark, data, monkeypatch):
+    table = spark.read.parquet(f"{data}/documents.parquet").coalesce(1)
+    most = language.identify(table, never()).orderBy("doc_id").collect()
+    monkeypatch.setattr(language, "CACHED", 400)
+    assert language.identify(table, never()).orderBy("doc_id").collect() == most
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text("abc", min_size=1, max_size=8), max_size=6), st.text("abcd", max_size=12))
 def test_phrases_are_longest_matches(words, text):
