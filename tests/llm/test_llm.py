@@ -138,6 +138,24 @@ def test_schedule_stays_within_one_block(spark):
             assert abs(seen[source] - (t + 1) * p / 20) < 1
 
 
+def sourced(spark, sizes):
+    """Documents of 2,000 bytes: ``sizes`` of (source, number of documents)."""
+    names = [source for source, n in sizes for _ in range(n)]
+    return spark.createDataFrame([(i, s, "x" * 1_999) for i, s in enumerate(names)], "doc_id long, source string, text string")
+
+
+def test_a_source_that_runs_out_does_not_end_the_pipeline_mix(spark):
+    sizes = [("a", 1_500), ("b", 1_500), ("c", 500), ("tiny", 1), (None, 1)]
+    df = sourced(spark, sizes)
+    rows = corpus_pipeline.mixed(spark, df, "").collect()
+    assert sorted(r.doc_id for r in rows) == list(range(3_502))
+    assert mixing.mix(df).where("in_mix").count() < 2_200  # where the first source ends
+    front = collections.Counter(r.source for r in rows[:1_000])
+    assert abs(front["a"] - front["b"]) <= 6 and 120 < front["c"] < 200
+    slots = [r.slot for r in mixing.in_order(mixing.mix(df).select("_doc.*", "slot")).collect()]
+    assert len(slots) == 3_502 and slots == sorted(slots)
+
+
 def check_packing(rows, texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
