@@ -156,6 +156,28 @@ def test_a_source_that_runs_out_does_not_end_the_pipeline_mix(spark):
     assert len(slots) == 3_502 and slots == sorted(slots)
 
 
+def test_mix_of_more_sources_than_the_period(spark):
+    sizes = [("hot", 6_000), *((f"host{k}", 1 + k % 3) for k in range(1_500)), (None, 2)]
+    df = sourced(spark, sizes)
+    weighed = df.groupBy("source").agg(F.sum(F.octet_length("text") + 1).alias("bytes"))
+    parts = {r.source: r.parts for r in mixing.tempered_parts(weighed).collect()}
+    assert len(parts) == 1_502 and min(parts.values()) >= 1 and parts["hot"] > 100 * parts["host2"]
+    h = sum(parts.values())
+    plan = sorted(mixing.schedule(spark.createDataFrame(list(parts.items()), "source string, parts long")).collect(), key=lambda r: r.slot)
+    assert [r.slot for r in plan] == list(range(h)) and {r.period for r in plan} == {h}
+    seen, kinds = collections.Counter(), len(set(parts.values()))
+    for r in plan:
+        assert r.nth == seen[r.source] and r.parts == parts[r.source]
+        assert r.nth * h / r.parts - kinds - 1 <= r.slot <= (r.nth + 1) * h / r.parts + kinds
+        seen[r.source] += 1
+    assert seen == parts
+    rows = mixing.mix(df).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(sum(n for _, n in sizes)))
+    assert all(r.slot is not None for r in rows) and any(r.in_mix for r in rows)
+    where = {r.slot: (r.source, r.block) for r in rows}
+    assert all(where[r.slot] == (r.source, r.block) for r in rows)
+
+
 def check_packing(rows, texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
