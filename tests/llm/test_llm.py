@@ -346,6 +346,16 @@ def test_widely_copied_opaque_strings_are_examples(spark):
     assert masked[1] == "key [secret] end" and copied in masked[10]
 
 
+def test_one_text_copied_to_many_owners_is_no_example(spark):
+    live = "Zx9Kq2LmP7vR4tYw8BnC"
+    rows = [(k, f"key {live} end", f"o{k}") for k in range(5)]
+    rows += [(10 + k, f"key {k} aB3dE5fG7hJ9kL1mN3pQ", f"o{k % 3}") for k in range(9)]  # many texts, three owners
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: [(s.kind, s.first, s.last) for s in r.spans] for r in secrets.scan(df).collect()}
+    assert all(found[k] == [(3, 4, 24)] for k in range(5)) and all(found[10 + k] == [(3, 6, 26)] for k in range(9))
+    assert {r.text for r in secrets.redact(df).where("doc_id < 5").collect()} == {"key [secret] end"}
+
+
 def test_redaction_keeps_columns(odd):
     masked = {r.doc_id: r for r in secrets.redact(odd).collect()}
     assert masked[7].text == '[secret]" x [secret] y' and masked[7].n_chars == len(masked[7].text)

@@ -66,13 +66,15 @@ def candidates(text: Column) -> Column:
 def _decided(hits: DataFrame) -> DataFrame:
     """(_row, _spans): the candidates of each hit in order of start and kind, with ``example`` set by the corpus.
 
-    A value is an example if it has at least EXAMPLE_OWNERS owners and EXAMPLE_REPOSITORIES repositories. Distinct
-    pairs are aggregated before owners are counted, so a value in a third of all rows is a few rows a task.
+    A value is an example if it has at least EXAMPLE_OWNERS owners and EXAMPLE_REPOSITORIES repositories, each
+    counted on its own over the whole corpus: one text copied to many owners is one repository. Distinct owners and
+    repositories are aggregated before they are counted, so a value in a third of all rows is a few rows a task.
     """
     each = hits.select("_row", "_owner", "_repository", F.inline("_cands"))
-    pairs = each.groupBy("value", "_owner", "_repository").agg(F.lit(1).alias("_one"))
-    owners = pairs.groupBy("value", "_owner").agg(F.count("*").alias("_repositories"))
-    spread = owners.groupBy("value").agg(F.count("*").alias("_owners"), F.sum("_repositories").alias("_repositories"))
+    sides = [F.struct(F.lit(c).alias("_side"), F.col(c).cast("string").alias("_name")) for c in ("_owner", "_repository")]
+    distinct = each.select("value", F.inline(F.array(*sides))).groupBy("value", "_side", "_name").agg(F.lit(1).alias("_one"))
+    owners, repositories = [F.count(F.when(F.col("_side") == c, 1)) for c in ("_owner", "_repository")]
+    spread = distinct.groupBy("value").agg(owners.alias("_owners"), repositories.alias("_repositories"))
     example = (F.col("_owners") >= EXAMPLE_OWNERS) & (F.col("_repositories") >= EXAMPLE_REPOSITORIES)
     judged = each.join(spread.select("value", example.alias("example")), "value")
     return judged.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("first", "kind", "last", "example"))).alias("_spans"))
