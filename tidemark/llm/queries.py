@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import fingerprints, language, mixing, near_dedup, packing, quality, secrets, sharding, token_counts, toxicity
+from tidemark.llm import (
+    conversations,
+    fingerprints,
+    jaccard,
+    language,
+    mixing,
+    near_dedup,
+    packing,
+    quality,
+    search,
+    secrets,
+    sharding,
+    token_counts,
+    toxicity,
+)
 from tidemark.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +166,41 @@ def op9(spark: SparkSession, root: str) -> DataFrame:
 @query("op10_simhash_near_dedup")
 def op10(spark: SparkSession, root: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, root, "documents"))
+
+
+SEARCH_SQL = r"""
+WITH d AS (
+  SELECT ROW_NUMBER() OVER () AS r, doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), b AS (
+  SELECT ROW_NUMBER() OVER () AS i, item_id, unnest(regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), q AS (SELECT i, item_id, term, COUNT(*) AS times FROM b GROUP BY ALL),
+corpus AS (SELECT COUNT(*) FILTER (len(terms) > 0) AS n, CAST(SUM(len(terms)) AS BIGINT) AS l FROM d),
+tf AS (
+  SELECT r, doc_id, size, term, COUNT(*) AS tf FROM (SELECT r, doc_id, len(terms) AS size, unnest(terms) AS term FROM d) GROUP BY ALL
+), w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, COUNT(*) AS df FROM tf GROUP BY term), corpus
+), scores AS (
+  SELECT i, item_id, r, doc_id, CAST(SUM(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * size * n) // l)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term), corpus GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 20
+"""
+
+
+@query("op11_ranked_search", SEARCH_SQL)
+def op11(spark: SparkSession, root: str) -> DataFrame:
+    return search.ranked(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, root: str) -> DataFrame:
+    return conversations.summaries(conversations.damage(table(spark, root, "conversations")), F.col("live"))
+
+
+@query("op13_ngram_jaccard")
+def op13(spark: SparkSession, root: str) -> DataFrame:
+    return jaccard.similar(table(spark, root, "documents"))
