@@ -24,7 +24,8 @@ WORDS_AT_ONCE = 1 << 16
 BLOCK_TOKENS = 1 << 20  # tokens of the sets that one request of the matrix holds
 BUCKET_TOKENS = 1 << 22  # tokens of the matrix that one task holds
 OWNER = np.uint64(20)
-NO_ID = (1 << 63) - 1
+CELL_SETS = 8
+BITMAP = 1 << 27  # bits, 16 MiB
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -206,52 +207,72 @@ def _open(requests: DataFrame, percent: int) -> DataFrame:
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the ``pairs`` (a, b) of sets that are linked, by their whole sets."""
-    a = sets.select(F.col("name").alias("a"), F.col("n").alias("an"), F.col("tokens").alias("at"))
-    b = sets.select(F.col("name").alias("b"), F.col("n").alias("bn"), F.col("tokens").alias("bt"))
+    a = sets.select(F.col("id").alias("a"), F.col("n").alias("an"), F.col("tokens").alias("at"))
+    b = sets.select(F.col("id").alias("b"), F.col("n").alias("bn"), F.col("tokens").alias("bt"))
     both = F.size(F.array_intersect("at", "bt")).cast("long")
     joined = pairs.join(a, "a").join(b, "b").withColumn("both", both)
     return joined.where(100 * F.col("both") >= percent * (F.col("an") + F.col("bn") - F.col("both"))).select("a", "b")
 
 
+def _pair(one: str, other: str) -> list[Column]:
+    return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
+
+
 def _leaders(sets: DataFrame) -> DataFrame:
     """(a, b): each set with the first and the last set that has a group key in common, so a pair or two for a key."""
-    keyed = sets.select("name", F.posexplode("keys").alias("turn", "key"))
-    ends = keyed.groupBy("turn", "key").agg(F.min("name").alias("low"), F.max("name").alias("high")).where("low <> high")
-    found = keyed.join(ends, ["turn", "key"]).select("name", F.explode(F.array("low", "high")).alias("other")).where("name <> other")
-    return found.select(F.least("name", "other").alias("a"), F.greatest("name", "other").alias("b")).distinct()
+    keyed = sets.select("id", F.posexplode("keys").alias("turn", "key"))
+    ends = keyed.groupBy("turn", "key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
+    found = keyed.join(ends, ["turn", "key"]).select("id", F.explode(F.array("low", "high")).alias("other")).where("id <> other")
+    return found.select(*_pair("id", "other")).distinct()
 
 
 def _across(sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of sets of different groups that have to be compared. ``sets`` has name, root, n and tokens.
+    """(a, b): links between sets of different groups. ``sets`` has id, root, n and tokens.
 
-    Tokens that only one group has come first in every set, then those of few groups. Two linked sets have a token in
-    common among the first of the larger and the first of the smaller one. It leads from a set to groups, not to sets;
-    a group whose union holds too few of the set's tokens stays closed.
+    Tokens that only one group has come first in every set, then those of few sets. Two linked sets have a token in
+    common among the first of the larger and the first of the smaller one. It leads from a set to cells of about
+    CELL_SETS sets of a group; a cell whose union holds too few of the set's tokens stays closed.
     """
-    tokens = sets.select("name", "root", "n", F.explode("tokens").alias("token"))
-    matrix = tokens.select("token", "root").distinct()
-    columns = matrix.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1")
-    shared = cut_lineage(tokens.join(columns, "token"))
+    tokens = sets.select("id", "root", F.col("n").cast("int").alias("n"), F.explode("tokens").alias("token"))
+    columns = tokens.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").cast("int").alias("sets"))
+    shared = tokens.join(columns.where("low <> high").select("token", "sets"), "token")
+    ordered = shared.groupBy("id", "root", "n").agg(F.array_sort(F.collect_list(F.struct("sets", "token"))).alias("tokens"))
+    ordered = ordered.withColumn("tokens", F.transform("tokens", lambda s: s["token"])).withColumn("n", F.col("n").cast("long"))
+    ordered = ordered.where(F.size("tokens") >= _need(F.col("n"), percent))
+    sizes = ordered.groupBy("root").agg(F.ceil(F.count("*") / CELL_SETS).alias("cells"))
+    cells = ordered.join(sizes, "root").withColumn("cell", F.pmod(F.xxhash64("id"), F.col("cells")))
+    ordered = cut_lineage(cells.select("id", "root", "cell", "n", "tokens"))
     need = _need(F.col("n"), percent)
     even = F.ceil(F.col("n") * 2 * percent / (100 + percent)).cast("long")  # tokens shared with a set of equal size
-    ordered = shared.groupBy("name", "root", "n").agg(F.array_sort(F.collect_list(F.struct("groups", "token"))).alias("shared"))
-    ordered = ordered.withColumn("own", F.col("n") - F.size("shared")).where(F.size("shared") >= need)
 
     def first(least: Column) -> Column:
-        taken = F.greatest(F.col("n") - least + 1 - F.col("own"), F.lit(0)).cast("int")
-        return F.explode(F.transform(F.slice("shared", 1, taken), lambda s: s["token"])).alias("token")
-
-    probes = ordered.select("name", "root", "n", need.alias("need"), first(need))
-    index = ordered.select("root", "n", first(even)).groupBy("token", F.col("root").alias("group"))
-    index = index.agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    meets = (F.col("group") != F.col("root")) & (F.col("least") <= F.col("n")) & (F.col("most") >= F.col("need"))
-    found = probes.join(index, "token").where(meets).select("name", "n", "need", "group").distinct()
-    unions = shared.select("token", F.col("root").alias("group")).distinct()
-    inside = found.join(shared.select("name", "token"), "name").join(unions, ["token", "group"])
-    opened = inside.groupBy("name", "n", "need", "group").agg(F.count("*").alias("inside")).where(F.col("inside") >= F.col("need"))
-    members = ordered.select(F.col("name").alias("other"), F.col("root").alias("group"), F.col("n").alias("size"))
-    near = opened.join(members, "group").where((F.col("size") <= F.col("n")) & (F.col("size") >= F.col("need")))
-    return near.select(F.least("name", "other").alias("a"), F.greatest("name", "other").alias("b")).distinct()
+        alone = F.col("n") - F.size("tokens")  # these come before all tokens that are left
+        return F.explode(F.slice("tokens", 1, F.greatest(F.col("n") - least + 1 - alone, F.lit(0)).cast("int"))).alias("token")
+
+    probes = ordered.select("id", F.col("root").alias("own"), "n", first(need))
+    index = ordered.select("root", "cell", "n", first(even)).groupBy("token", "root", "cell").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    meets = (F.col("own") != F.col("root")) & (F.col("least") <= F.col("n")) & (F.col("most") >= need)
+    found = probes.join(index, "token").where(meets).select("id", "root", "cell").distinct()
+    queries = ordered.select("id", "n", F.col("tokens").alias("asked"))
+    unions = ordered.join(found.select("root", "cell").distinct(), ["root", "cell"], "left_semi").groupBy("root", "cell")
+    unions = unions.agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"))
+    inside = F.size(F.array_intersect("asked", "union"))
+    opened = found.join(queries, "id").join(unions, ["root", "cell"]).where(inside >= need).select("id", "n", "root", "cell")
+    members = ordered.select(F.col("id").alias("other"), F.col("n").alias("size"), "root", "cell")
+    near = opened.join(members, ["root", "cell"]).where((F.col("size") <= F.col("n")) & (F.col("size") >= need))
+    return _linked(near.select(*_pair("id", "other")).distinct(), ordered, percent)
+
+
+def _bitmap(names: DataFrame) -> np.ndarray:
+    """Bits that are set for all ``names``: sixteen a name, and never more than BITMAP, however many names there are."""
+    bits = max(64, min(BITMAP, 1 << (16 * names.count()).bit_length()))
+    place = F.conv(F.substring("name", 1, 15), 16, 10).cast("long") % bits
+    words = names.select(F.shiftright(place, 6).cast("int").alias("word"), F.expr("1L").alias("one"), (place % 64).cast("int").alias("bit"))
+    set_bits = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("bits"))
+    found = np.zeros(bits // 64, np.int64)
+    for row in set_bits.toLocalIterator():
+        found[row["word"]] = row["bits"]
+    return found.view(np.uint64)
 
 
 def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -262,15 +283,14 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     shingle and are linked with nothing. Rows without id take part and are never the smallest unless their component
     has no other; repeated rows are linked as equal texts. Empty tables give no rows.
     """
-    id_or_last = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), id_or_last.alias("i"), F.xxhash64("text").alias("x"), F.col("text").cast("binary").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("binary").alias("text"))
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingles(raw or b"", size) for raw in batch.pop("text")]
             yield batch.assign(n=[len(s) for s in sets], name=[set_name(s) for s in sets])
 
-    listed = rows.mapInPandas(describe, "doc_id string, i long, x long, n long, name string")
+    listed = rows.mapInPandas(describe, "doc_id string, n long, name string")
     listed = cut_lineage(listed.withColumn("doc_id", F.col("doc_id").cast("long")))
     total = listed.agg(F.sum("n")).first()[0] or 0
 
@@ -280,34 +300,43 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
                 yield set_name(tokens), tokens
 
     active = cut_lineage(_open(_requests(rows.select("text"), -(-total // BUCKET_TOKENS) or 1, own), percent))
-    classes = listed.where("n > 0").groupBy("name").agg(F.min(F.struct("i", "x")).alias("at"), F.min("doc_id").alias("least"))
-    wanted = classes.join(active, "name").select("name", "at.*")
-    texts = rows.select("i", "x", "text").join(wanted, ["i", "x"]).dropDuplicates(["name"]).select("name", "text")
+    marked = _bitmap(active)
 
     def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = [shingles(raw, size) for raw in batch.pop("text")]
-            keys, tokens = [group_keys(s) for s in sets], [np.sort(s.view(np.int64)) for s in sets]
-            yield batch.assign(n=[len(s) for s in sets], keys=keys, tokens=tokens)
-
-    sets = cut_lineage(texts.mapInPandas(take, "name string, n long, keys array<long>, tokens array<long>"))
+            found = []
+            for raw in batch["text"]:
+                tokens = shingles(raw or b"", size)
+                if name := set_name(tokens):
+                    at = int(name[:15], 16) % (64 * len(marked))
+                    if int(marked[at >> 6]) >> (at & 63) & 1:
+                        found.append((name, len(tokens), group_keys(tokens), tokens.view(np.int64)))
+            if found:
+                yield pd.DataFrame(found, columns=["name", "n", "keys", "tokens"])
+
+    taken = rows.select("text").mapInPandas(take, "name string, n long, keys array<long>, tokens array<long>")
+    sets = taken.join(active, "name", "left_semi").dropDuplicates(["name"])
+    sets = cut_lineage(sets.withColumn("id", F.monotonically_increasing_id()))
     links = cut_lineage(_linked(_leaders(sets), sets, percent))
-    roots = components(links)
-    grouped = sets.join(roots, F.col("name") == F.col("node"), "left").select("name", "n", "tokens", F.coalesce("root", "name").alias("root"))
-    grouped = cut_lineage(grouped)
-    total = grouped.agg(F.sum("n")).first()[0] or 0
+    grouped = _rooted(sets.select("id", "n", "tokens"), links).sortWithinPartitions("id")  # in one order, however often it is read
+    total = sets.agg(F.sum("n")).first()[0] or 0
 
     def held(batch: pd.DataFrame) -> Iterator[tuple[str, np.ndarray]]:
         for root, tokens in zip(batch["root"], batch["tokens"], strict=True):
-            yield root, np.asarray(tokens, np.int64).view(np.uint64)
+            yield f"{root:x}", np.asarray(tokens, np.int64).view(np.uint64)
 
     still = _open(_requests(grouped.select("root", "tokens"), -(-total // BUCKET_TOKENS) or 1, held), percent)
-    left = cut_lineage(grouped.join(still, F.col("root") == still["name"], "left_semi"))
-    links = links.unionAll(_linked(_across(left, percent), left, percent))
-    roots = components(links).withColumnRenamed("node", "name")
-    named = classes.select("name", "least").join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
-    named = cut_lineage(named)
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_name = named.join(least, "root").select("name", "component_id")
+    still = still.select(F.conv("name", 16, 10).cast("long").alias("root"))
+    links = cut_lineage(links.unionAll(_across(grouped.join(still, "root", "left_semi"), percent)))
+    classes = listed.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("least"))
+    named = cut_lineage(classes.join(_rooted(sets.select("name", "id"), links).drop("id"), "name", "left"))
+    least = named.where("root IS NOT NULL").groupBy("root").agg(F.min("least").alias("first"))
+    by_name = named.join(least, "root", "left").select("name", F.coalesce("first", "least").alias("component_id"))
     alone = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return listed.join(by_name, "name", "left").select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
+
+
+def _rooted(sets: DataFrame, links: DataFrame) -> DataFrame:
+    """``sets`` with root: the smallest id that links reach."""
+    roots = components(links)
+    return sets.join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id")).drop("node")
