@@ -19,12 +19,12 @@ from tidemark.llm.near_dedup import components
 from tidemark.session import cut_lineage
 
 SHINGLE, PERCENT = 5, 80
-KEYS = 6  # group keys of a set, each of two least hash values
+KEYS = 6  # finer group keys of a set
 WORDS_AT_ONCE = 1 << 16
 BLOCK_TOKENS = 1 << 20  # tokens of the sets that one request of the matrix holds
 BUCKET_TOKENS = 1 << 22  # tokens of the matrix that one task holds
 OWNER = np.uint64(20)
-CELL_SETS = 8
+CELL_SETS, CELL_TOKENS = 64, 1 << 16
 BITMAP = 1 << 27  # bits, 16 MiB
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -92,9 +92,9 @@ def set_name(tokens: np.ndarray) -> str:
 
 
 def group_keys(tokens: np.ndarray) -> np.ndarray:
-    """KEYS numbers; similar sets have one in common: each is made of the least tokens in two random orders."""
+    """The least token in a random order, which the sets of a cell have in common, and KEYS finer ones, each of two orders."""
     least = (tokens[:, None] * TURNS).min(axis=0)
-    return _mix(least[0::2] ^ _mix(least[1::2])).view(np.int64)
+    return np.concatenate([least[:1], _mix(least[0::2] ^ _mix(least[1::2]))]).view(np.int64)
 
 
 def _need(n: Column, percent: int) -> Column:
@@ -227,40 +227,80 @@ def _leaders(sets: DataFrame) -> DataFrame:
 
 
 def _across(sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links between sets of different groups. ``sets`` has id, root, n and tokens.
+    """(a, b): links between sets of different roots, at least one for any two roots. ``sets`` has id, root, n, keys, tokens.
 
-    Tokens that only one group has come first in every set, then those of few sets. Two linked sets have a token in
-    common among the first of the larger and the first of the smaller one. It leads from a set to cells of about
-    CELL_SETS sets of a group; a cell whose union holds too few of the set's tokens stays closed.
+    Tokens that only one root has come first in every set, then those of few sets. Two linked sets have a token in common
+    among the first of the larger and the first of the smaller one. Similar sets (one group key) are dealt into cells of
+    about CELL_SETS, and these tokens lead from cell to cell, so near copies meet block by block and not pair by pair.
     """
-    tokens = sets.select("id", "root", F.col("n").cast("int").alias("n"), F.explode("tokens").alias("token"))
+    tokens = sets.select("id", "root", F.col("n").cast("int").alias("n"), F.element_at("keys", 1).alias("key"), F.explode("tokens").alias("token"))
     columns = tokens.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").cast("int").alias("sets"))
     shared = tokens.join(columns.where("low <> high").select("token", "sets"), "token")
-    ordered = shared.groupBy("id", "root", "n").agg(F.array_sort(F.collect_list(F.struct("sets", "token"))).alias("tokens"))
+    ordered = shared.groupBy("id", "root", "n", "key").agg(F.array_sort(F.collect_list(F.struct("sets", "token"))).alias("tokens"))
     ordered = ordered.withColumn("tokens", F.transform("tokens", lambda s: s["token"])).withColumn("n", F.col("n").cast("long"))
-    ordered = ordered.where(F.size("tokens") >= _need(F.col("n"), percent))
-    sizes = ordered.groupBy("root").agg(F.ceil(F.count("*") / CELL_SETS).alias("cells"))
-    cells = ordered.join(sizes, "root").withColumn("cell", F.pmod(F.xxhash64("id"), F.col("cells")))
-    ordered = cut_lineage(cells.select("id", "root", "cell", "n", "tokens"))
     need = _need(F.col("n"), percent)
+    ordered = ordered.where(F.size("tokens") >= need)
+    full = F.greatest(F.ceil(F.count("*") / CELL_SETS), F.ceil(F.sum(F.size("tokens")) / CELL_TOKENS))
+    dealt = ordered.join(ordered.groupBy("key").agg(full.alias("cells")), "key")
+    dealt = dealt.withColumn("cell", F.xxhash64("key", F.pmod(F.xxhash64("id"), F.col("cells"))))
+    ordered = cut_lineage(dealt.select("id", "root", "cell", "n", "tokens"))
     even = F.ceil(F.col("n") * 2 * percent / (100 + percent)).cast("long")  # tokens shared with a set of equal size
 
-    def first(least: Column) -> Column:
+    def first(least: Column, side: str) -> DataFrame:
         alone = F.col("n") - F.size("tokens")  # these come before all tokens that are left
-        return F.explode(F.slice("tokens", 1, F.greatest(F.col("n") - least + 1 - alone, F.lit(0)).cast("int"))).alias("token")
-
-    probes = ordered.select("id", F.col("root").alias("own"), "n", first(need))
-    index = ordered.select("root", "cell", "n", first(even)).groupBy("token", "root", "cell").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    meets = (F.col("own") != F.col("root")) & (F.col("least") <= F.col("n")) & (F.col("most") >= need)
-    found = probes.join(index, "token").where(meets).select("id", "root", "cell").distinct()
-    queries = ordered.select("id", "n", F.col("tokens").alias("asked"))
-    unions = ordered.join(found.select("root", "cell").distinct(), ["root", "cell"], "left_semi").groupBy("root", "cell")
-    unions = unions.agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"))
-    inside = F.size(F.array_intersect("asked", "union"))
-    opened = found.join(queries, "id").join(unions, ["root", "cell"]).where(inside >= need).select("id", "n", "root", "cell")
-    members = ordered.select(F.col("id").alias("other"), F.col("n").alias("size"), "root", "cell")
-    near = opened.join(members, ["root", "cell"]).where((F.col("size") <= F.col("n")) & (F.col("size") >= need))
-    return _linked(near.select(*_pair("id", "other")).distinct(), ordered, percent)
+        taken = F.explode(F.slice("tokens", 1, F.greatest(F.col("n") - least + 1 - alone, F.lit(0)).cast("int"))).alias("token")
+        rows = ordered.select("root", F.col("cell").alias(side), "n", taken).groupBy("token", side)
+        named = {"least": F.min("n"), "most": F.max("n"), "low": F.min("root"), "high": F.max("root")}
+        return rows.agg(*[c.alias(f"{side}_{k}") for k, c in named.items()])
+
+    x, y = first(need, "x"), first(even, "y")
+    sizes = (F.col("x_most") >= F.col("y_least")) & (100 * F.col("y_most") >= percent * F.col("x_least"))
+    one_root = (F.col("x_low") == F.col("x_high")) & (F.col("y_low") == F.col("y_high")) & (F.col("x_low") == F.col("y_low"))
+    found = x.join(y, "token").where(sizes & ~one_root).select(*_pair("x", "y")).distinct()
+    fields = {"id": "array<long>", "root": "array<long>", "n": "array<long>", "length": "array<int>", "tokens": "array<long>"}
+    rows = ordered.select("cell", F.struct("id", "root", "n", F.size("tokens").alias("length"), "tokens").alias("set"))
+    blocks = rows.groupBy("cell").agg(F.collect_list("set").alias("sets"))
+    blocks = blocks.select("cell", *[(F.flatten if k == "tokens" else (lambda c: c))(F.col(f"sets.{k}")).alias(k) for k in fields])
+    joined = found
+    for side in "ab":
+        named = blocks.select(F.col("cell").alias(side), *[F.col(k).alias(f"{side}_{k}") for k in fields])
+        joined = joined.join(named, side)
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            links = [link for row in batch.to_dict("records") for link in _opened(*[[row[f"{s}_{k}"] for k in fields] for s in "ab"], percent)]
+            if links:
+                yield pd.DataFrame(links, columns=["a", "b"])
+
+    return joined.drop("a", "b").mapInPandas(compare, "a long, b long").distinct()
+
+
+def _opened(x: list[np.ndarray], y: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """A link for any two roots of two cells that have one. Each cell is (ids, roots, sizes, lengths, tokens).
+
+    A set is only compared if the union of the other cell holds as many of its tokens as a link to the smallest set
+    there takes; then all remaining sets are compared at once, by the product of their incidence matrices.
+    """
+    union = np.intersect1d(x[4], y[4])
+    sides = []
+    for (ids, roots, sizes, lengths, tokens), other in ((x, y), (y, x)):
+        place = np.minimum(np.searchsorted(union, tokens), max(len(union) - 1, 0))
+        inside = union[place] == tokens if len(union) else np.zeros(len(tokens), bool)
+        owner = np.repeat(np.arange(len(ids)), lengths)
+        least = np.maximum(other[2].min(), -(-sizes * percent // 100))
+        open_ = np.bincount(owner[inside], minlength=len(ids)) * (100 + percent) >= percent * (sizes + least)
+        kept = inside & open_[owner]
+        matrix = np.zeros((int(open_.sum()), len(union)), np.float32)
+        matrix[(np.cumsum(open_) - 1)[owner[kept]], place[kept]] = 1
+        sides.append((ids[open_], roots[open_], sizes[open_], matrix))
+    (ia, ra, na, a), (ib, rb, nb, b) = sides
+    if not len(ia) or not len(ib):
+        return []
+    both = (a @ b.T).astype(np.int64)
+    i, j = np.nonzero((100 * both >= percent * (na[:, None] + nb[None, :] - both)) & (ra[:, None] != rb[None, :]))
+    pairs = np.stack([np.minimum(ra[i], rb[j]), np.maximum(ra[i], rb[j])], axis=1)
+    first = np.unique(pairs, axis=0, return_index=True)[1]
+    return [(min(p, q), max(p, q)) for p, q in zip(ia[i[first]].tolist(), ib[j[first]].tolist(), strict=True)]
 
 
 def _bitmap(names: DataFrame) -> np.ndarray:
@@ -318,7 +358,7 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     sets = taken.join(active, "name", "left_semi").dropDuplicates(["name"])
     sets = cut_lineage(sets.withColumn("id", F.monotonically_increasing_id()))
     links = cut_lineage(_linked(_leaders(sets), sets, percent))
-    grouped = _rooted(sets.select("id", "n", "tokens"), links).sortWithinPartitions("id")  # in one order, however often it is read
+    grouped = _rooted(sets.select("id", "n", "keys", "tokens"), links).sortWithinPartitions("id")  # in one order, however often it is read
     total = sets.agg(F.sum("n")).first()[0] or 0
 
     def held(batch: pd.DataFrame) -> Iterator[tuple[str, np.ndarray]]:
