@@ -343,13 +343,15 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     marked = _bitmap(active)
 
     def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[str] = set()  # a task sends one of its copies
         for batch in batches:
             found = []
             for raw in batch["text"]:
                 tokens = shingles(raw or b"", size)
-                if name := set_name(tokens):
+                if (name := set_name(tokens)) and name not in seen:
                     at = int(name[:15], 16) % (64 * len(marked))
                     if int(marked[at >> 6]) >> (at & 63) & 1:
+                        seen.add(name)
                         found.append((name, len(tokens), group_keys(tokens), tokens.view(np.int64)))
             if found:
                 yield pd.DataFrame(found, columns=["name", "n", "keys", "tokens"])
