@@ -164,3 +164,42 @@ def test_append_splits_files(spark, tmp_path):
     for _ in range(2):
         writers.append(spark.range(5).withColumn("d", F.col("id") % 2), path, partition_by="d", per_file=2)
     assert spark.read.parquet(path).count() == 10
+
+
+def test_previous_rows_across_ranges(spark):
+    """A time that a third of all rows have is cut by the key; every row finds the one before it."""
+    df = spark.createDataFrame([(i, 7 if i % 3 == 0 else i * 37 % 1_000) for i in range(3_000)], "k long, ts int")
+    got = [(r["ts"], r["k"], r["previous_ts"], r["previous_k"]) for r in ing.with_previous(df, ["ts", "k"], ["ts", "k"]).collect()]
+    want = sorted((7 if i % 3 == 0 else i * 37 % 1_000, i) for i in range(3_000))
+    assert got == [(*row, *before) for row, before in zip(want, [(None, None), *want[:-1]], strict=True)]
+    assert ing.with_previous(df.limit(0), ["ts", "k"], ["ts"]).count() == 0
+
+
+def test_comments_landed_twice(spark):
+    chain = [(f"c{i}", f"c{i - 1}" if i else "t3_p") for i in range(2_000)]
+    cycle = [("x", "y"), ("y", "x"), ("z", "x"), ("gone", "missing"), (None, "t3_p"), ("null", None)]
+    df = spark.createDataFrame(chain * 2 + cycle * 3, "id string, parent_id string")
+    found = rows(ing.thread_depths(df))
+    assert len(found) == 2_000 and dict(found) == {f"c{i}": i for i in range(2_000)}
+
+
+def test_places_read_threads_top_down(spark):
+    import random
+
+    rng = random.Random(4)
+    edges = [(f"p{k}-{i:03}", f"p{k}-{rng.randrange(i):03}" if i and rng.random() < 0.8 else f"t3_p{k}") for k in range(5) for i in range(60)]
+    answers = {}
+    for i, parent in sorted(edges):
+        answers.setdefault(parent, []).append(i)
+    want = {}
+
+    def read(i, post, depth):
+        want[i] = (post, depth, sum(w[0] == post for w in want.values()))
+        for a in answers.get(i, []):
+            read(a, post, depth + 1)
+
+    for k in range(5):
+        for i in answers[f"t3_p{k}"]:
+            read(i, f"t3_p{k}", 0)
+    df = spark.createDataFrame(edges * 2 + [("a", "b"), ("b", "a")], "id string, parent_id string")
+    assert {r["id"]: (r["post"], r["depth"], r["place"]) for r in ing.thread_places(df).collect()} == want

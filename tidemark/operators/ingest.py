@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType
 from pyspark.sql.window import Window as W
 
 from tidemark.functions import ids, text as tx
 from tidemark.session import run_folder
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 # Author names with a meaning, the topic key, the page size of a mention search.
 DELETED_AUTHOR = "[deleted]"
 MODERATOR = "AutoModerator"
@@ -103,28 +108,44 @@ def replay_delay(ts: Column, cutoff: Column) -> Column:
     return F.floor((ids.epoch_seconds(ts) - ids.epoch_seconds(cutoff)) / 60)
 
 
-def with_previous_time(df: DataFrame, ts: str, key: str) -> DataFrame:
-    """Append ``previous_ts``: the time of the row before it in global (ts, key) order.
+def with_previous(df: DataFrame, order: Sequence[str | Column], columns: Sequence[str]) -> DataFrame:
+    """Rows in global order, each with ``previous_<c>`` of the row before it (null for the first row of all).
 
-    A window over the whole table would sort everything in one task. Rows of equal time
-    are collapsed first (the first of them looks back, the others have their own time as
-    predecessor); the distinct times are then linked inside each hour, and the hours to
-    each other. The last step sees one row per hour of calendar time, not per record.
+    The rows are dealt once, by ranges of ``order``, and sorted inside their ranges; the row before is then the one
+    above in the same task. Only the first row of a range looks further: the last row of every range (one row a task)
+    is broadcast back. A time or key with a third of all rows is cut by the later columns of ``order``.
     """
-    times = df.groupBy(ts).agg(F.min(key).alias("first_key")).withColumn("hour", _hour(F.col(ts)))
-    linked = times.withColumn("before", F.lag(ts).over(W.partitionBy("hour").orderBy(ts)))
-    hours = times.groupBy("hour").agg(F.max(ts).alias("last_ts"))
-    hours = hours.select("hour", F.lag("last_ts").over(W.orderBy("hour")).alias("hour_before"))
-    linked = linked.join(hours, "hour").select(
-        F.col(ts).alias("_ts"), "first_key", F.coalesce("before", "hour_before").alias("_previous")
-    )
-    joined = df.join(linked, F.col(ts) == F.col("_ts"))
-    previous = F.when(F.col(key) == F.col("first_key"), F.col("_previous")).otherwise(F.col(ts))
-    return joined.withColumn("previous_ts", previous).drop("_ts", "first_key", "_previous")
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)  # a given number is not changed at run time
+    dealt = dealt.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    names = [f"previous_{c}" for c in columns]
+
+    def shift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
+        above: list[pa.Array] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = [batch.column(c) for c in columns]
+            above = above or [pa.nulls(1, a.type) for a in own]
+            moved = [pa.concat_arrays([x, a.slice(0, len(a) - 1)]) for x, a in zip(above, own, strict=True)]
+            above = [a.slice(len(a) - 1) for a in own]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *moved], names=[*batch.schema.names, *names])
+
+    added = [StructField(name, df.schema[c].dataType) for c, name in zip(columns, names, strict=True)]
+    linked = dealt.mapInArrow(shift, StructType([*dealt.schema.fields, *added]))
+    ends = dealt.groupBy("_part").agg(F.max("_at").alias("_last"), F.min("_at").alias("_first"), F.max_by(F.struct(*columns), "_at").alias("_end"))
+    before = ends.select(F.col("_first").alias("_start"), F.lag("_end").over(W.orderBy("_part")).alias("_end"))
+    joined = linked.join(F.broadcast(before), F.col("_at") == F.col("_start"), "left")
+    found = {name: F.coalesce(F.col(name), F.when(F.col("_start").isNotNull(), F.col("_end")[c])) for c, name in zip(columns, names, strict=True)}
+    return joined.select(*df.columns, *[f.alias(name) for name, f in found.items()])
 
 
-def _hour(ts: Column) -> Column:
-    return F.floor(ids.epoch_micros(ts) / F.lit(3_600_000_000)).cast("bigint")
+def with_previous_time(df: DataFrame, ts: str, key: str) -> DataFrame:
+    """Append ``previous_ts``: the time of the row before it in global (ts, key) order; the rows come in that order."""
+    return with_previous(df, [ts, key], [ts]).withColumnRenamed(f"previous_{ts}", "previous_ts")
 
 
 # --- deduplication, caps, copies ----------------------------------------------------------
@@ -214,41 +235,85 @@ def post_comments(posts: DataFrame, comments: DataFrame) -> DataFrame:
     return posts.join(per_post, "id")
 
 
-def thread_depths(comments: DataFrame, root_prefix: str = ids.SUBMISSION_PREFIX) -> DataFrame:
-    """(id, depth): 0 for a direct answer to a post, else one more than its parent.
+def chain_totals(links: DataFrame, name: str) -> DataFrame:
+    """(key, total, last): the sum of ``weight`` from ``key`` to the end of its chain, and the key at the end.
 
-    Every open comment points to an ancestor and knows the distance. Each round lets it take over what its ancestor
-    knows, so a chain of n answers needs log2(n) rounds. A round is written to the shared folder and read back: a
-    comment is written as resolved once, and only the open ones are joined again. Comments under a missing parent
-    drop out when the gap is reached. While a comment that will be resolved or dropped is open, each round settles
-    one at least; a round that settles none leaves only cycles and what hangs below them, which get no depth.
+    ``links`` has one row per key: key, next (null at the end of a chain) and weight. Every open key points ahead and
+    knows the sum up to there. Each round lets it take over what the key it points to knows, so a chain of n keys needs
+    log2(n) rounds. A round is written to the shared folder and read back: a key is written as settled once, and only
+    the open ones are joined again. Chains that lead to a missing key drop out when the gap is reached. While a key that
+    will be settled or dropped is open, each round settles one at least; a round that settles none leaves only cycles
+    and what leads into them, which get no row.
     """
-    spark = comments.sparkSession
-    folder = run_folder(spark, "thread-depths")
-    kind = comments.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, up {kind}, steps bigint, depth bigint"
-    at_root = F.coalesce(F.col("parent_id").startswith(root_prefix), F.lit(False))
-    first = comments.select(
-        "id",
-        F.when(~at_root, F.col("parent_id")).alias("up"),
-        F.lit(1).cast("bigint").alias("steps"),
-        F.when(at_root, F.lit(0)).cast("bigint").alias("depth"),
-    )
-    first.write.parquet(f"{folder}/0")
+    spark = links.sparkSession
+    folder = run_folder(spark, name)
+    kind = links.schema["key"].dataType.simpleString()
+    schema = f"key {kind}, next {kind}, total bigint, last {kind}"
+    ended = F.when(F.col("next").isNull(), F.col("key"))
+    links.select("key", "next", F.col("weight").cast("bigint").alias("total"), ended.alias("last")).write.parquet(f"{folder}/0")
     rounds, before = [f"{folder}/0"], None
     while True:
-        resolved = spark.read.schema(schema).parquet(*rounds).where("depth IS NOT NULL").select("id", "depth")
-        unsettled = spark.read.schema(schema).parquet(rounds[-1]).where("depth IS NULL")
+        settled = spark.read.schema(schema).parquet(*rounds).where("next IS NULL")
+        unsettled = spark.read.schema(schema).parquet(rounds[-1]).where("next IS NOT NULL")
         left = unsettled.count()
         if left in (0, before):
-            return resolved.select("id", F.col("depth").cast("int").alias("depth"))
+            return settled.select("key", "total", "last")
         before = left
-        above = unsettled.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"), "depth")
-        known = resolved.select(F.col("id").alias("up"), F.lit(None).cast(kind).alias("next"), F.lit(0).cast("bigint").alias("more"), "depth")
-        moved = unsettled.select("id", "up", "steps").join(above.unionByName(known), "up")
+        ahead = unsettled.unionByName(settled)
+        ahead = ahead.select(F.col("key").alias("next"), F.col("next").alias("_next"), F.col("total").alias("_more"), "last")
+        moved = unsettled.select("key", "next", "total").join(ahead, "next")
         rounds.append(f"{folder}/{len(rounds)}")
-        steps = F.col("steps") + F.col("more")
-        moved.select("id", F.col("next").alias("up"), steps.alias("steps"), (F.col("depth") + F.col("steps")).alias("depth")).write.parquet(rounds[-1])
+        moved.select("key", F.col("_next").alias("next"), (F.col("total") + F.col("_more")).alias("total"), "last").write.parquet(rounds[-1])
+
+
+def thread_depths(comments: DataFrame, root_prefix: str = ids.SUBMISSION_PREFIX) -> DataFrame:
+    """(id, depth) of :func:`thread_tree`."""
+    return thread_tree(comments, root_prefix).select("id", "depth")
+
+
+def thread_tree(comments: DataFrame, root_prefix: str = ids.SUBMISSION_PREFIX) -> DataFrame:
+    """(id, post, parent_id, depth): one row per comment, 0 for a direct answer to a post, else one more than its parent.
+
+    Landed pages overlap, so the rows are first reduced to one per id (of different parents the smallest). Comments
+    under a missing parent and in cycles have no row; see :func:`chain_totals`.
+    """
+    once = comments.groupBy("id").agg(F.min("parent_id").alias("parent_id")).where("parent_id IS NOT NULL AND id IS NOT NULL")
+    above = F.when(~F.col("parent_id").startswith(root_prefix), F.col("parent_id"))
+    found = chain_totals(once.select(F.col("id").alias("key"), above.alias("next"), F.lit(1).alias("weight")), "thread-depths")
+    tops = once.where(above.isNull()).select(F.col("id").alias("last"), F.col("parent_id").alias("post"))
+    placed = found.join(tops, "last").select(F.col("key").alias("id"), "post", (F.col("total") - 1).cast("int").alias("depth"))
+    return placed.join(once, "id").select("id", "post", "parent_id", "depth")
+
+
+def thread_places(comments: DataFrame, root_prefix: str = ids.SUBMISSION_PREFIX) -> DataFrame:
+    """(id, post, parent_id, depth, place): depths, and the place of each comment when its post is read top down.
+
+    A comment stands before its answers, and answers of one parent go by id; ``place`` counts from 0 in a post. Every
+    comment is entered and left: from the way in one goes to the first answer, or out again; from the way out to the next
+    answer of the same parent, or out of the parent. Ranking that list (see :func:`chain_totals`) counts the ways in that
+    are still to come, so neither a long chain nor a post with very many comments is ever in one task.
+    """
+    spark = comments.sparkSession
+    folder = run_folder(spark, "thread-places")
+    thread_tree(comments, root_prefix).write.parquet(folder)
+    tree = spark.read.parquet(folder)
+    into, out = (lambda c: F.concat(F.lit("+"), c)), (lambda c: F.concat(F.lit("-"), c))
+    siblings = with_previous(tree.select("id", "parent_id"), ["parent_id", F.desc("id")], ["id", "parent_id"])
+    after = F.when(F.col("previous_parent_id") == F.col("parent_id"), F.col("previous_id"))
+    first = tree.groupBy(F.col("parent_id").alias("id")).agg(F.min("id").alias("answer"))
+    leaving = siblings.select(
+        out(F.col("id")).alias("key"),
+        F.when(after.isNotNull(), into(after)).when(~F.col("parent_id").startswith(root_prefix), out(F.col("parent_id"))).alias("next"),
+        F.lit(0).alias("weight"),
+    )
+    entering = tree.join(first, "id", "left").select(
+        into(F.col("id")).alias("key"), F.coalesce(into(F.col("answer")), out(F.col("id"))).alias("next"), F.lit(1).alias("weight")
+    )
+    ranks = chain_totals(entering.unionByName(leaving), "thread-ranks")
+    ranks = ranks.where(F.col("key").startswith("+")).select(F.substr("key", F.lit(2)).alias("id"), "total")
+    sizes = tree.groupBy("post").agg(F.count(F.lit(1)).alias("size"))
+    placed = tree.join(ranks, "id").join(sizes, "post")
+    return placed.select("id", "post", "parent_id", "depth", (F.col("size") - F.col("total")).alias("place"))
 
 
 def user_bundle(records: DataFrame, user: str, order: str, fields: Sequence[str]) -> DataFrame:

@@ -49,11 +49,8 @@ def replay_order(spark: SparkSession, root: str) -> DataFrame:
     cutoff = ids.moment(CUTOFF)
     events = tables.load_table(spark, root, "events").select("event_id", "ts").where(F.col("ts") > cutoff)
     gap = ids.epoch_seconds(F.col("ts")) - ids.epoch_seconds(F.col("previous_ts"))
-    return (
-        ing.with_previous_time(events, "ts", "event_id")
-        .orderBy("ts", "event_id")
-        .select("event_id", "ts", ing.replay_delay(F.col("ts"), cutoff).alias("replay_delay_s"), F.round(gap, 6).alias("gap_s"))
-    )
+    linked = ing.with_previous_time(events, "ts", "event_id")
+    return linked.select("event_id", "ts", ing.replay_delay(F.col("ts"), cutoff).alias("replay_delay_s"), F.round(gap, 6).alias("gap_s"))
 
 
 @query("json_props", "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
@@ -122,11 +119,30 @@ def comments_capped(spark: SparkSession, root: str) -> DataFrame:
     SELECT t.id, t.depth, p.n AS parent_length FROM t JOIN c ON c.id = t.id LEFT JOIN c p ON p.id = c.parent_id""",
 )
 def thread_flatten(spark: SparkSession, root: str) -> DataFrame:
+    """Comments landed twice, each of them once with its depth and the length of what it answers."""
     comments = tables.comments(spark, root)
-    depths = ing.thread_depths(comments.select("id", "parent_id"))
+    landed = comments.select("id", "parent_id")
+    depths = ing.thread_tree(landed.unionAll(landed))
     parents = comments.select(F.col("id").alias("parent_id"), F.length("body").cast("bigint").alias("parent_length"))
-    linked = comments.select("id", "parent_id").join(parents, "parent_id", "left")
-    return depths.join(linked, "id").select("id", "depth", "parent_length")
+    return depths.join(parents, "parent_id", "left").select("id", "depth", "parent_length")
+
+
+@query(
+    "thread_places",
+    """WITH RECURSIVE c AS (
+      SELECT concat(conv_id, '-', turn) AS id, concat('t3_', conv_id) AS post,
+        CASE WHEN turn > 0 THEN concat(conv_id, '-', (turn - 1) // 3) ELSE concat('t3_', conv_id) END AS parent_id
+      FROM conversations),
+    t AS (
+      SELECT id, post, 0 AS depth, [id] AS path FROM c WHERE parent_id = post
+      UNION ALL SELECT c.id, c.post, t.depth + 1, list_append(t.path, c.id) FROM c JOIN t ON c.parent_id = t.id)
+    SELECT id, post, depth, row_number() OVER (PARTITION BY post ORDER BY path) - 1 AS place FROM t""",
+)
+def thread_places(spark: SparkSession, root: str) -> DataFrame:
+    """Every turn answers the one at a third of its number; the place of each comment in the flattened thread."""
+    above = F.concat_ws("-", "conv_id", F.expr("(turn - 1) DIV 3"))
+    comments = tables.comments(spark, root).select("id", F.when(F.col("turn") > 0, above).otherwise(F.col("link_id")).alias("parent_id"))
+    return ing.thread_places(comments.unionAll(comments)).select("id", "post", "depth", "place")
 
 
 @query(
