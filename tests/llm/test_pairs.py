@@ -11,7 +11,7 @@ import oracle
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import conversations, jaccard, queries, search
+from tidemark.llm import conversations, jaccard, language, packing, queries, search
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -237,3 +237,21 @@ def test_links_of_odd_rows(spark):
     assert sorted((r.n_shingles, str(r.component_id)) for r in got if r.doc_id is None) == [(0, "None"), (1, "4"), (1, "None")]
     assert len(got) == len(rows) + len(more)
     assert jaccard.similar(df.limit(0)).count() == 0
+
+
+def test_two_million_blanks_are_encoded():
+    from tokenizers import Tokenizer
+
+    names = queries.byte_bpe()
+    encode = packing.encoder(*names, packing.added_tokens(names[0]))
+    text = "a" + " " * 2_000_000 + "b"
+    want = Tokenizer.from_file(names[0]).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encode(text), "<u4").tolist() == want
+
+
+def test_numerals_are_no_letters(spark):
+    rows = [(1, "½ ² ①", "en"), (2, "Ⅷ", "en"), (3, "the house ½", "en"), (4, "das Haus Ⅷa", "de"), (5, "x²y", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(df, F.lit(False)).collect()}
+    assert {i for i, (lang, _) in found.items() if lang == "und"} == {1, 2} and found[1] == ("und", 0.0)
+    assert sorted(r.doc_id for r in language.accepted(df, F.lit(False)).collect()) == [3, 4, 5]

@@ -113,7 +113,10 @@ def predicted(text: Column, model: dict[str, list[str]]) -> Column:
 
         def lanes(token: str) -> int:
             total = 0
-            for word in runs.findall(token):
+            found = runs.findall(token)
+            if not all(map(str.isalpha, found)):  # numerals such as ½ and Ⅷ are no letters
+                found = "".join(c if c.isalpha() else " " for c in token).split()
+            for word in found:
                 framed = f" {word} "
                 total += len(word)
                 for k, step in enumerate(automata, 1):

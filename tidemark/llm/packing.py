@@ -27,8 +27,8 @@ def encoder(tokenizer_path: str, ranks_path: str, pattern: str, added: list[str]
     """A function from a text to its token ids as little-endian unsigned 32-bit bytes.
 
     ``ranks_path`` holds the vocabulary of ``tokenizer_path`` as ranks, ``pattern`` its cut into pre-tokens; the
-    ids are the same and made several times faster. A text with one of the tokenizer's ``added`` tokens goes to
-    the tokenizer itself, which is loaded only then.
+    ids are the same and made several times faster. A text with one of the tokenizer's ``added`` tokens, or one
+    that the fast way can't cut, goes to the tokenizer itself, which is loaded only then.
     """
     import base64
 
@@ -41,13 +41,16 @@ def encoder(tokenizer_path: str, ranks_path: str, pattern: str, added: list[str]
 
     def encode(text: str) -> bytes:
         nonlocal slow
-        if any(a in text for a in added):
-            if slow is None:
-                from tokenizers import Tokenizer
-
-                slow = Tokenizer.from_file(tokenizer_path)
-            return np.array(slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+        if not any(a in text for a in added):
+            try:
+                return fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+            except ValueError:  # very long runs of blanks exceed the stack of its pattern matcher
+                pass
+        if slow is None:
+            from tokenizers import Tokenizer
+
+            slow = Tokenizer.from_file(tokenizer_path)
+        return np.array(slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     return encode
 
