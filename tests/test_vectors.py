@@ -144,3 +144,15 @@ def test_executors_need_not_have_the_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code, root], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "rows 20" in done.stdout, done.stderr[-2000:]
+
+
+@pytest.mark.parametrize("threshold", [0.9, 2.5])
+def test_distributed_ward_rounds_equal_brute_force(spark, monkeypatch, threshold):
+    """All mutual nearest pairs merge at once, over many cells and blocks; a tenth of the rows are one vector."""
+    monkeypatch.setattr(cl, "AT_ONCE", 40)
+    monkeypatch.setattr(cl, "BLOCK", 8)
+    m = random_vectors(110, seed=9)
+    m[:11] = m[0]
+    units = m / np.linalg.norm(m, axis=1, keepdims=True)
+    rows = cl.agglomerative(frame(spark, m), "id", "v", threshold).orderBy("id").collect()
+    assert grouped([r["cluster"] for r in rows]) == brute_ward(units, threshold)

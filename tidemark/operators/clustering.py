@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import builtins
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,8 +11,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import vectors as vx
 from tidemark.operators import words as wd
+from tidemark.operators.ingest import chain_totals
+from tidemark.session import cut_lineage
 
-MICRO_CLUSTERS = 1000  # bound on what the Ward step sees
+AT_ONCE = 2_000  # clusters that are merged in one place
+PIVOTS, BLOCK = 1_024, 512  # cells of a search for neighbours, centres of a block
 
 
 def unit_vectors(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -116,18 +121,154 @@ def _find(parent: np.ndarray, i: int) -> int:
     return int(i)
 
 
+CLUSTER = "id long, w double, c array<double>"
+
+
+def _gaps(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> np.ndarray:
+    """Ward distances between two blocks of weighted centres."""
+    square = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * (a @ b.T)
+    return np.sqrt(2 * wa[:, None] * wb[None, :] / (wa[:, None] + wb[None, :]) * np.maximum(square, 0.0))
+
+
+def _closest(rows: DataFrame) -> DataFrame:
+    """(id, d, other) from pairs of blocks (q_ids, q_w, q_c, ids, w, c): the nearest centre of the other block.
+
+    Of equal distances the pair with the smaller ids comes first, seen from both of its ends.
+    """
+
+    def compare(batches: Iterator) -> Iterator:
+        import pandas as pd
+
+        for pdf in batches:
+            for r in pdf.itertuples():
+                q, x = np.asarray(r.q_ids), np.asarray(r.ids)
+                d = _gaps(np.stack(r.q_c), np.asarray(r.q_w), np.stack(r.c), np.asarray(r.w))
+                d[q[:, None] == x[None, :]] = np.inf
+                least = d.min(axis=1)
+                tied = np.where(d == least[:, None], x[None, :], np.iinfo(np.int64).max)
+                found = np.isfinite(least)
+                yield pd.DataFrame({"id": q[found], "d": least[found], "other": tied.min(axis=1)[found]})
+
+    pairs = rows.mapInPandas(_by_value(compare), "id long, d double, other long")
+    return pairs.groupBy("id").agg(F.min(F.struct("d", F.least("id", "other").alias("low"), F.greatest("id", "other").alias("high"))).alias("best"))
+
+
+def _by_value(function):
+    """The function with the helper it calls bound to it, as executors need not have this package."""
+    namespace = {"np": np, "_gaps": types.FunctionType(_gaps.__code__, {"np": np, "__builtins__": builtins})}
+    return types.FunctionType(function.__code__, namespace | {"__builtins__": builtins, "Iterator": Iterator}, function.__name__, None, function.__closure__)
+
+
+def nearest(clusters: DataFrame, threshold: float, n: int) -> DataFrame:
+    """(id, best): each cluster with its nearest pair (d, low, high), where one is nearer than ``threshold``.
+
+    At most PIVOTS of the centres are pivots, and every centre lies in the cell of its nearest pivot. The best of its
+    own cell bounds its distance; of the other cells only those are searched whose pivot, radius and least weight
+    leave room below that bound. Cells are cut into blocks, and blocks are compared with one product of matrices.
+    """
+    wanted = min(PIVOTS, -(-n // BLOCK))
+    chosen = clusters.orderBy(F.xxhash64("id"), "id").limit(wanted).select("c").collect()
+    pivots = np.array([r["c"] for r in chosen])
+
+    def place(batches: Iterator) -> Iterator:
+        for pdf in batches:
+            if len(pdf):
+                c = np.stack(pdf["c"])
+                d = np.sqrt(np.maximum((c * c).sum(axis=1)[:, None] + (pivots * pivots).sum(axis=1)[None, :] - 2 * (c @ pivots.T), 0.0))
+                yield pdf.assign(cell=d.argmin(axis=1), r=d.min(axis=1))
+
+    placed = cut_lineage(clusters.mapInPandas(place, f"{CLUSTER}, cell int, r double"))
+    cells = {r["cell"]: r for r in placed.groupBy("cell").agg(F.max("r").alias("r"), F.min("w").alias("w"), F.count("*").alias("n")).collect()}
+    counts = F.create_map(*[F.lit(x) for k, r in cells.items() for x in (k, -(-r["n"] // BLOCK))])
+    fields = [F.collect_list("id").alias("ids"), F.collect_list("w").alias("w"), F.collect_list("c").alias("c")]
+    blocks = placed.withColumn("slot", F.pmod(F.xxhash64("id"), counts[F.col("cell")])).groupBy("cell", "slot").agg(*fields)
+    blocks = cut_lineage(blocks)
+    asking = [F.col(c).alias(f"q_{c}") for c in ("ids", "w", "c")]
+    inside = _closest(blocks.select("cell", *asking).join(blocks, "cell").drop("cell", "slot"))
+    inside = cut_lineage(inside)
+    at = np.array(sorted(cells))
+    radius, least = np.array([cells[k]["r"] for k in at]), np.array([cells[k]["w"] for k in at])
+    centres = pivots[at]
+
+    def reach(batches: Iterator) -> Iterator:
+        import pandas as pd
+
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            c, w = np.stack(pdf["c"]), pdf["w"].to_numpy()
+            bound = np.minimum(pdf["d"].fillna(np.inf).to_numpy(), threshold)
+            gap = np.sqrt(np.maximum((c * c).sum(axis=1)[:, None] + (centres * centres).sum(axis=1)[None, :] - 2 * (c @ centres.T), 0.0))
+            gap = np.maximum(gap - radius[None, :], 0.0) * (1 - 1e-9) - 1e-7
+            low = np.sqrt(2 * w[:, None] * least[None, :] / (w[:, None] + least[None, :])) * gap
+            row, cell = np.nonzero((low <= bound[:, None]) & (at[None, :] != pdf["cell"].to_numpy()[:, None]))
+            for k in np.unique(cell):
+                own = row[cell == k]
+                yield pd.DataFrame({"cell": [int(at[k])], "q_ids": [pdf["id"].to_numpy()[own]], "q_w": [w[own]], "q_c": [list(c[own])]})
+
+    known = placed.join(inside.select("id", F.col("best.d").alias("d")), "id", "left").select("id", "w", "c", "cell", "d")
+    asked = known.repartition("cell").sortWithinPartitions("cell", "id")
+    asked = asked.mapInPandas(reach, "cell int, q_ids array<long>, q_w array<double>, q_c array<array<double>>")
+    outside = _closest(asked.join(blocks, "cell").drop("cell", "slot"))
+    both = inside.unionByName(outside).groupBy("id").agg(F.min("best").alias("best"))
+    return both.where(F.col("best.d") < threshold)
+
+
 def agglomerative(
-    vectors: DataFrame, key: str, vector: str, threshold: float = 3.0, micro: int = MICRO_CLUSTERS, seed: int = 42
+    vectors: DataFrame, key: str, vector: str, threshold: float = 3.0, micro: int | None = None, seed: int = 42
 ) -> DataFrame:
     """(key, cluster) by Ward linkage with a distance threshold and no fixed number of clusters.
 
-    One way for every size: k-means condenses the vectors to at most ``micro`` weighted centres, and Ward merges
-    those. With fewer distinct vectors than ``micro`` each of them is a centre of its own, so the result is that of
-    Ward over the vectors. Only the centres reach the driver; no rows give no rows.
+    Equal vectors are one weighted point. Ward distances are reducible, so in each round all pairs of clusters that are
+    nearest to each other merge at once; rounds go on over all tasks until at most AT_ONCE clusters are left or no two
+    are nearer than the threshold. Those few are then merged in one place. The result is that of merging the closest
+    pair again and again, whatever the number of vectors. Zero vectors are left out; no rows give no rows.
+
+    ``micro``: condense the vectors by k-means to so many weighted centres first (an approximation, for callers who
+    want a bound on the work).
     """
     units = unit_vectors(vectors, key, vector)
     if units.isEmpty():
         return units.select(key, F.lit(0).alias("cluster"))
+    if micro is not None:
+        return _condensed(units, key, threshold, micro, seed)
+    points = cut_lineage(units.groupBy(F.col("unit").alias("c")).agg(F.count("*").cast("double").alias("w")).withColumn("id", F.monotonically_increasing_id()))
+    clusters, merged, n = points.select("id", "w", "c"), None, points.count()
+    while n > AT_ONCE:
+        near = cut_lineage(nearest(clusters, threshold, n))
+        mutual = near.groupBy("best").count().where("count = 2").select("best.low", "best.high")
+        if mutual.isEmpty():
+            closest = near.agg(F.min("best").alias("best")).where("best IS NOT NULL")  # ties that rounding has made unequal
+            mutual = closest.select("best.low", "best.high")
+            if mutual.isEmpty():
+                break
+        mutual = cut_lineage(mutual)
+        steps = mutual.select(F.col("high").alias("key"), F.col("low").alias("next"))
+        merged = steps if merged is None else merged.unionAll(steps)
+        joined = clusters.join(steps, F.col("id") == F.col("key"), "left").withColumn("id", F.coalesce("next", "id"))
+        share = lambda x, y, total: F.zip_with(x["c"], y["c"], lambda a, b: (x["w"] * a + y["w"] * b) / total)
+        pair = F.array_sort(F.collect_list(F.struct("w", "c"))).alias("pair")
+        both = joined.groupBy("id").agg(pair)
+        x, y = F.get("pair", F.lit(0)), F.get("pair", F.lit(1))
+        total = x["w"] + y["w"]
+        alone = F.size("pair") == 1
+        clusters = cut_lineage(both.select("id", F.when(alone, x["w"]).otherwise(total).alias("w"), F.when(alone, x["c"]).otherwise(share(x, y, total)).alias("c")))
+        n = clusters.count()
+    if n <= AT_ONCE:
+        held = clusters.orderBy("id").collect()
+        labels = ward_labels(np.array([r["c"] for r in held]), np.array([r["w"] for r in held]), threshold)
+        last = units.sparkSession.createDataFrame([(r["id"], int(label)) for r, label in zip(held, labels, strict=True)], "last long, cluster long")
+    else:
+        last = clusters.select(F.col("id").alias("last"), F.col("id").alias("cluster"))
+    roots = points.select(F.col("id").alias("last"), "c", F.col("id").alias("key"))
+    if merged is not None:
+        links = points.select(F.col("id").alias("key")).join(merged, "key", "left").withColumn("weight", F.lit(0))
+        roots = chain_totals(links, "ward-merges").select("key", "last").join(points.select(F.col("id").alias("key"), "c"), "key")
+    named = roots.join(last, "last").select(F.col("c").alias("unit"), "cluster")
+    return units.join(named, "unit").select(key, "cluster")
+
+
+def _condensed(units: DataFrame, key: str, threshold: float, micro: int, seed: int) -> DataFrame:
     model, assigned = kmeans(units, key, "unit", k=micro, seed=seed)
     assigned = assigned.withColumnRenamed("cluster", "micro")
     sizes, centres = np.array(model.summary.clusterSizes), np.array(model.clusterCenters())
