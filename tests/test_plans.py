@@ -47,10 +47,17 @@ def test_time_range_reaches_the_scan(spark, data):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in plan
 
 
-def test_label_range_of_the_rollup_reaches_the_scan(spark, data):
-    """A post's time is the least of its events: the range's end cuts events at the scan, its start cuts posts."""
-    plan = plan_of(registry.QUERIES["company_sentiment_daily"](spark, data))
-    assert "LessThan(ts" in plan and "(created_utc" in plan and ">= " in plan
+@pytest.mark.parametrize("name", ["company_sentiment_daily", "company_sentiment_sliding", "post_sentiment_orgs"])
+def test_reports_read_stored_rows(spark, data, name):
+    """The range reaches the scan of the stored times; no text is read, and no row is shuffled by its id."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(registry.QUERIES[name](spark, data))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "GreaterThanOrEqual(created_utc" in plan and "LessThan(created_utc" in plan
+    assert "text:string" not in plan and "documents.parquet" not in plan
+    assert "hashpartitioning(id" not in plan and "SortMergeJoin" in plan
 
 
 def test_rollup_moves_no_text(spark, data, no_broadcast):

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import hashlib
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import ids
-from tidemark.operators import company as co, entities as en, ingest as ing, sentiment as st
+from tidemark.operators import company as co, enrichment as er, entities as en, ingest as ing, sentiment as st
 from tidemark.plans import snippets as sq
 from tidemark.plans.registry import query
 from tidemark.plans.words import _documents
@@ -39,11 +40,34 @@ def company_sentiment_batch(spark: SparkSession, root: str) -> DataFrame:
     return _rounded(co.company_sentiment_batch(_scored(spark, root), en.orgs(F.col("text"))))
 
 
-def org_pairs(spark: SparkSession, root: str) -> DataFrame:
-    """(company, scores, created_utc): texts are scored where they lie; only hits are joined."""
-    pairs = _scored(spark, root).select("doc_id", F.explode(en.orgs(F.col("text"))).alias("company"), *co.LABELS)
-    times = tables.post_times(spark, root, ids.moment(END)).withColumnRenamed("id", "doc_id")
-    return pairs.join(times, "doc_id")
+def _table(kind: str, root: str) -> str:
+    return f"tidemark_{kind}_{hashlib.sha256(root.encode()).hexdigest()[:16]}"
+
+
+def _buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def stored_scores(spark: SparkSession, root: str) -> DataFrame:
+    """(id, negative, neutral, positive, orgs, text_md5) of every document: each text is read once, when it is new."""
+
+    def enrich(documents: DataFrame) -> DataFrame:
+        scored = st.score_sentiment(documents, F.col("text"))
+        return scored.select("id", *co.LABELS, en.orgs(F.col("text")).alias("orgs"), F.md5("text").alias("text_md5"))
+
+    documents = _documents(spark, root, "text").withColumnRenamed("doc_id", "id")
+    return er.stored(spark, _table("scores", root), "id", documents, enrich, _buckets(spark))
+
+
+def stored_times(spark: SparkSession, root: str) -> DataFrame:
+    """(id, created_utc) of every post."""
+    return er.stored(spark, _table("times", root), "id", tables.post_times(spark, root), lambda new: new, _buckets(spark))
+
+
+def org_pairs(spark: SparkSession, root: str, start: datetime, end: datetime) -> DataFrame:
+    """(company, scores, created_utc) of the posts in [start, end): stored rows, joined bucket by bucket."""
+    times = ing.time_range(stored_times(spark, root), "created_utc", ids.moment(start), ids.moment(end))
+    return stored_scores(spark, root).join(times, "id").select(F.explode("orgs").alias("company"), *co.LABELS, "created_utc")
 
 
 def _interval_sql(days: int) -> str:
@@ -58,12 +82,14 @@ def _interval_sql(days: int) -> str:
 
 @query("company_sentiment_daily", _interval_sql(1))
 def company_sentiment_daily(spark: SparkSession, root: str) -> DataFrame:
-    return _rounded(co.company_sentiment_by_interval(org_pairs(spark, root), "created_utc", START, END))
+    pairs = org_pairs(spark, root, START - timedelta(days=1), END)
+    return _rounded(co.company_sentiment_by_interval(pairs, "created_utc", START, END))
 
 
 @query("company_sentiment_sliding", _interval_sql(3))
 def company_sentiment_sliding(spark: SparkSession, root: str) -> DataFrame:
-    return _rounded(co.company_sentiment_by_interval(org_pairs(spark, root), "created_utc", START, END, days=3))
+    pairs = org_pairs(spark, root, START - timedelta(days=3), END)
+    return _rounded(co.company_sentiment_by_interval(pairs, "created_utc", START, END, days=3))
 
 
 @query(
@@ -77,11 +103,7 @@ def company_sentiment_sliding(spark: SparkSession, root: str) -> DataFrame:
 )
 def post_sentiment_orgs(spark: SparkSession, root: str) -> DataFrame:
     """Posts of a time range, their score record and their organisation record, joined by id."""
-    posts = ing.time_range(tables.post_times(spark, root, ids.moment(END)), "created_utc", ids.moment(START), ids.moment(END))
-    scored = st.score_sentiment(_documents(spark, root, "text"), F.col("text"))
-    scores = scored.select(
-        F.col("doc_id").alias("id"), F.md5("text").alias("text_md5"), *[F.round(c, 6).alias(c) for c in co.LABELS]
-    )
-    found = F.array_join(F.array_sort(en.orgs(F.col("text"))), ",")
-    orgs = _documents(spark, root, "text").select(F.col("doc_id").alias("id"), found.alias("orgs"))
-    return co.join_posts_scores_orgs(posts, scores, orgs)
+    posts = ing.time_range(stored_times(spark, root), "created_utc", ids.moment(START), ids.moment(END))
+    found = F.array_join(F.array_sort("orgs"), ",").alias("orgs")
+    scores = stored_scores(spark, root).select("id", "text_md5", *[F.round(c, 6).alias(c) for c in co.LABELS], found)
+    return posts.join(scores, "id")
