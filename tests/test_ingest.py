@@ -27,6 +27,17 @@ def test_ids(spark):
     assert tuple(row) == (1739640, "11ABC", "FamousFoxFed", "", 1704070923.5, -1.0, 1704067200000000)
 
 
+def test_profile_names(spark):
+    names = {
+        "https://twitter.com/#!/old": "old", "http://www.Twitter.com/@at/": "at", "https://twitter.com//name//?a=/b": "name",
+        "https://twitter.com/name/status/1": "", "https://twitter.com": "", "https://twitter.com/": "", "https://twitter.com/#!/a/b": "",
+        "https://nottwitter.com/name": "", "https://twitter.com.example/name": "", "twitter.com/name": "", None: "",
+        "https://twitter.com:443/name#x": "name", "https://twitter.com/?x=1#!/behind": "behind", "https://x.com/a": "",
+    }
+    df = spark.createDataFrame([(k,) for k in names], "url string")
+    assert {r["url"]: r["name"] for r in df.select("url", ids.profile_name(F.col("url")).alias("name")).collect()} == names
+
+
 def test_projection_is_strict_but_drop_is_not(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a int, b int, _c int")
     assert ing.project_fields(df, ["a", "b"], drop=["b", "body_html"]).columns == ["a"]

@@ -9,6 +9,13 @@ from pyspark.sql import Column, functions as F
 # Fixed value: kind prefix of a submission in link ids.
 SUBMISSION_PREFIX = "t3_"
 
+# A profile address: its host, then one path segment, at once or behind #!/ of an address without a path.
+PROFILE = (
+    r"^[A-Za-z][A-Za-z0-9+.-]*://(?i:(?:www\.)?twitter\.com)(?::\d*)?"
+    r"(?=/*[^/?#]+/*(?:[?#]|$)|/?(?:\?[^#]*)?#!/+[^/]+/*$)(?:/?(?:\?[^#]*)?#!)?/+@*([^/?#]*)"
+)
+
+
 def base36_decode(code: Column) -> Column:
     return F.conv(code, 36, 10).cast("bigint")
 
@@ -23,14 +30,7 @@ def profile_name(url: Column) -> Column:
     A profile address has the host twitter.com or www.twitter.com and one path segment, with or without a leading @;
     old addresses have the name behind ``#!/``. An address of a single post (/name/status/1) is not a profile.
     """
-    address = F.trim(url)
-    host = F.lower(F.try_parse_url(address, F.lit("HOST")))
-    path = F.try_parse_url(address, F.lit("PATH"))
-    old = F.try_parse_url(address, F.lit("REF"))
-    place = F.when(path.isin("", "/") & old.startswith("!/"), F.substr(old, F.lit(2))).otherwise(path)
-    segments = F.filter(F.split(place, "/"), lambda s: s != "")
-    single = host.isin("twitter.com", "www.twitter.com") & (F.size(segments) == 1)
-    return F.when(single, F.ltrim(F.get(segments, F.lit(0)), F.lit("@"))).otherwise("")
+    return F.coalesce(F.regexp_extract(F.trim(url), PROFILE, 1), F.lit(""))
 
 
 def url_host(url: Column) -> Column:

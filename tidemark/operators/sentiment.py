@@ -110,34 +110,56 @@ def score_with_model(
     return cleaned.mapInPandas(run, schema)
 
 
-def train_spam_model(labelled: DataFrame, text_col: str, label_col: str, features: int = 1 << 14, max_iter: int = 100):
-    """HashingTF -> IDF -> logistic regression on the cleaned texts; returns the fitted pipeline.
+def term_counts(df: DataFrame, text_col: str, *keep: str, features: int = 1 << 14) -> DataFrame:
+    """``keep`` and tf: hashed term counts of the cleaned text, a sparse vector much smaller than the text."""
+    from pyspark.ml.feature import HashingTF
+
+    tokens = df.select(*keep, tx.tokens(tx.clean_text(F.col(text_col))).alias("tokens"))
+    return HashingTF(inputCol="tokens", outputCol="tf", numFeatures=features).transform(tokens).select(*keep, "tf")
 
-    The regression runs until it converges; ``max_iter`` only bounds a fit that does not.
 
-    The term counts are kept while IDF and the regression pass over them, so texts are tokenized once.
+def fit_spam_model(counted: DataFrame, max_iter: int = 100):
+    """IDF -> logistic regression on (tf, label) rows; returns the fitted pipeline, which reads ``tf``.
+
+    The regression runs until it converges; ``max_iter`` only bounds a fit that does not. The rows are kept while both
+    pass over them.
     """
     from pyspark.ml import PipelineModel
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import IDF, HashingTF
+    from pyspark.ml.feature import IDF
 
-    data = labelled.select(
-        tx.tokens(tx.clean_text(F.col(text_col))).alias("tokens"), F.col(label_col).cast("double").alias("label")
-    )
-    hashing = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=features)
-    counted = hashing.transform(data).select("tf", "label").persist()
+    counted = counted.select("tf", F.col("label").cast("double").alias("label")).persist()
     try:
         idf = IDF(inputCol="tf", outputCol="features").fit(counted)
-        regression = LogisticRegression(maxIter=max_iter, regParam=0.01).fit(idf.transform(counted))
+        weighted = idf.transform(counted).select("features", "label").persist()
+        try:
+            regression = LogisticRegression(maxIter=max_iter, regParam=0.01).fit(weighted)
+        finally:
+            weighted.unpersist()
     finally:
         counted.unpersist()
-    return PipelineModel([hashing, idf, regression])
+    return PipelineModel([idf, regression])
 
 
-def spam_scores(model, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, ham, spam) probabilities from the fitted pipeline."""
+def spam_probabilities(model, counted: DataFrame, id_col: str) -> DataFrame:
+    """(id, ham, spam) probabilities of (id, tf) rows from :func:`fit_spam_model`."""
     from pyspark.ml.functions import vector_to_array
 
-    data = df.select(id_col, tx.tokens(tx.clean_text(F.col(text_col))).alias("tokens"))
     p = vector_to_array("probability")
-    return model.transform(data).select(id_col, p[0].alias("ham"), p[1].alias("spam"))
+    return model.transform(counted).select(id_col, p[0].alias("ham"), p[1].alias("spam"))
+
+
+def train_spam_model(labelled: DataFrame, text_col: str, label_col: str, features: int = 1 << 14, max_iter: int = 100):
+    """HashingTF -> IDF -> logistic regression on the cleaned texts; returns the fitted pipeline, which reads ``tokens``."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import HashingTF
+
+    counted = term_counts(labelled, text_col, label_col, features=features).withColumnRenamed(label_col, "label")
+    hashing = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=features)
+    return PipelineModel([hashing, *fit_spam_model(counted, max_iter).stages])
+
+
+def spam_scores(model, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, ham, spam) probabilities of texts from :func:`train_spam_model`."""
+    data = df.select(id_col, tx.tokens(tx.clean_text(F.col(text_col))).alias("tokens"))
+    return spam_probabilities(model, data, id_col)

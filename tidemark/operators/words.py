@@ -61,11 +61,12 @@ def word_time_series(df: DataFrame, text: Column, *keys: str) -> DataFrame:
 
 def upsert_counts(state: DataFrame, delta: DataFrame) -> DataFrame:
     """Add the counts of ``delta`` to ``state`` (word, count, timestamp); the newest timestamp stays."""
-    return (
-        state.unionByName(delta)
-        .groupBy("word")
-        .agg(F.sum("count").alias("count"), F.max("timestamp").alias("timestamp"))
-    )
+    return summed_counts(state.unionByName(delta))
+
+
+def summed_counts(rows: DataFrame) -> DataFrame:
+    """One row per word of (word, count, timestamp) rows: the sum of the counts and the newest timestamp."""
+    return rows.groupBy("word").agg(F.sum("count").alias("count"), F.max("timestamp").alias("timestamp"))
 
 
 def top_words(counts: DataFrame, k: int | None = 10) -> DataFrame:

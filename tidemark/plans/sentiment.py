@@ -9,6 +9,7 @@ from tidemark.operators import sentiment as st
 from tidemark.plans import snippets as sq
 from tidemark.plans.registry import query
 from tidemark.plans.words import _documents
+from tidemark.session import cut_lineage
 from tidemark.sources import tables
 from tidemark.sources.label_maps import label_map
 
@@ -71,8 +72,8 @@ def avg_by_key(spark: SparkSession, root: str) -> DataFrame:
 
 @query("spam_scores")
 def spam_scores(spark: SparkSession, root: str) -> DataFrame:
-    """Trained on all labelled documents, then applied to every document."""
-    documents = _documents(spark, root, "text")
-    labelled = documents.join(tables.load_table(spark, root, "labels").select("doc_id", "toxic"), "doc_id")
-    model = st.train_spam_model(labelled, "text", "toxic")
-    return st.spam_scores(model, documents, "doc_id", "text").select("doc_id", *_rounded(("ham", "spam")))
+    """Trained on all labelled documents, then applied to every document; texts are read once, as term counts."""
+    counted = cut_lineage(st.term_counts(_documents(spark, root, "text"), "text", "doc_id"))
+    labels = tables.load_table(spark, root, "labels").select("doc_id", F.col("toxic").alias("label"))
+    model = st.fit_spam_model(counted.join(labels, "doc_id"))
+    return st.spam_probabilities(model, counted, "doc_id").select("doc_id", *_rounded(("ham", "spam")))

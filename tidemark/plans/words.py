@@ -69,15 +69,11 @@ def word_time_series(spark: SparkSession, root: str) -> DataFrame:
     FROM ({sq.DOC_WORDS}) w LEFT JOIN labels l ON w.doc_id = l.doc_id GROUP BY word""",
 )
 def word_freq_upsert(spark: SparkSession, root: str) -> DataFrame:
-    """State from the labelled documents, then the counts of all others added to it. Texts are scanned once and not moved."""
+    """The state (labelled documents) and what is added to it (all others) in one aggregate. Texts are read once and not moved."""
     counts = wd.word_time_series(_documents(spark, root, "text"), F.col("text"), "doc_id")
     labelled = tables.load_table(spark, root, "labels").select("doc_id").distinct().withColumn("known", F.lit(True))
-    flagged = counts.join(labelled, "doc_id", "left")
-
-    def summed(part: DataFrame, at: float) -> DataFrame:
-        return part.groupBy("word").agg(F.sum("count").alias("count")).withColumn("timestamp", F.lit(at))
-
-    return wd.upsert_counts(summed(flagged.where("known"), STATE_TIME), summed(flagged.where("known IS NULL"), DELTA_TIME))
+    stamped = counts.join(labelled, "doc_id", "left").select("word", "count", F.when(F.col("known"), STATE_TIME).otherwise(DELTA_TIME).alias("timestamp"))
+    return wd.summed_counts(stamped)
 
 
 @query(
