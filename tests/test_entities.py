@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import entities as en
@@ -99,3 +100,29 @@ def test_ngrams_are_in_reading_order(spark):
     df = spark.createDataFrame([("a b c",), ("",)], "text string")
     got = [r[0] for r in df.select(en.ngrams(F.expr("filter(split(text, ' '), x -> x <> '')"), 3)).collect()]
     assert got == [["a", "a b", "a b c", "b", "b c", "c"], []]
+
+
+def brute_hits(text, names):
+    spans = [m.span() for m in re.finditer(r"(?:[^\W_]|')+", text.lower())]
+    words = [text.lower()[a:b] for a, b in spans]
+    runs = [(i, j) for i in range(len(words)) for j in range(i, len(words)) if " ".join(words[i : j + 1]) in names]
+    return sorted((" ".join(words[i : j + 1]), spans[i][0], spans[j][1]) for i, j in runs)
+
+
+@pytest.mark.parametrize("held", [0, 1_000])
+def test_overlapping_names_of_any_width(spark, held):
+    names = {"a", "a b", "b", "b c d", "a b c d e f g", "c", "d a", "über b", "it's"}
+    texts = ["A b, c d e F g a", "über b\nc; it's d_a", "b b b c d", "", None, "x " * 500 + "a b", "ab"]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(None, "a")], "id long, text string")
+    table = spark.createDataFrame([(n,) for n in [*names, "a", "", None]], "org string")
+    got = sorted(tuple(r) for r in en.find_names(df.where("id IS NOT NULL"), "id", F.col("text"), table, held).collect())
+    assert got == sorted((i, *hit) for i, text in enumerate(texts) if text for hit in brute_hits(text, names))
+    assert [r["org"] for r in en.find_names(df.where("id IS NULL"), "id", F.col("text"), table, held).collect()] == ["a"]
+    assert en.find_names(df, "id", F.col("text"), table.limit(0), held).count() == 0
+
+
+def test_trie_is_linear_in_a_wide_name():
+    trie = en.NameTrie([" ".join("ab"[k % 2] for k in range(n)) for n in (1, 2, 400)])
+    words = ["a", "b"] * 5_000
+    assert sum(1 for i, j in trie.hits(words) if i == j) == 5_000
+    assert sum(1 for i, j in trie.hits(words) if j - i == 399) == (10_000 - 400) // 2 + 1

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from array import array
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,6 +12,8 @@ from tidemark.functions import text as tx, vectors as vx
 # The built-in gazetteer of organisation names.
 ORGANISATIONS = ("thing", "thble", "ering", "attion", "oning", "eriner", "estion", "blend")
 LABEL = "ORG"
+HELD_NAMES = 200_000  # names that travel with the tasks
+NAME_BITS = 1 << 27  # size of the bitmap for more names, 16 MiB
 
 
 def _width(gazetteer: Sequence[str]) -> int:
@@ -107,24 +110,132 @@ def _fold_spans(text: Column, names: list[str], width: int, label: str) -> Colum
     return F.aggregate(tx.pieces(text), F.struct(*start), step, lambda acc: acc["spans"])
 
 
-def match_table(
-    df: DataFrame, id_col: str, text: Column, gazetteer: DataFrame, width: int | None = None, salts: int = 32
-) -> DataFrame:
-    """(id, org) distinct hits against a gazetteer table (column ``org``) of any size.
+class NameTrie:
+    """Names as word lists in a trie with failure links: all hits of a text in one pass over its words.
+
+    A node is a run of words that begins a name. ``follow`` goes on from the longest such run that ends at the word before;
+    ``lengths`` are the numbers of words of all names that end there, so the work is linear in words and hits.
+    """
+
+    def __init__(self, names: Iterable[str]) -> None:
+        self.step: list[dict[str, int]] = [{}]
+        self.back = [0]
+        self.lengths: list[tuple[int, ...]] = [()]
+        for name in names:
+            words = name.split(" ")
+            node = 0
+            for word in words:
+                if word not in self.step[node]:
+                    self.step[node][word] = len(self.step)
+                    self.step.append({})
+                    self.back.append(0)
+                    self.lengths.append(())
+                node = self.step[node][word]
+            self.lengths[node] = (len(words),)
+        level = list(self.step[0].values())
+        while level:  # from short runs to long ones
+            below = []
+            for node in level:
+                for word, child in self.step[node].items():
+                    self.back[child] = self.follow(self.back[node], word)
+                    self.lengths[child] += self.lengths[self.back[child]]
+                    below.append(child)
+            level = below
+
+    def follow(self, node: int, word: str) -> int:
+        while node and word not in self.step[node]:
+            node = self.back[node]
+        return self.step[node].get(word, 0)
+
+    def hits(self, words: list[str]) -> Iterator[tuple[int, int]]:
+        """(first word, last word) of every hit, by the last word, long names first."""
+        node = 0
+        for k, word in enumerate(words):
+            node = self.follow(node, word)
+            for n in self.lengths[node]:
+                yield k - n + 1, k
+
+
+#: Words as :func:`tidemark.functions.text.tokens` cuts them: letters and numbers of any script, and apostrophes.
+WORD = r"(?:[^\W_]|')+"
+
+
+def _searched(df: DataFrame, id_col: str, text: Column, search: Callable[[], Callable[[list[str]], Iterator[tuple[int, int]]]]) -> DataFrame:
+    """(id, org, start, end) of the runs of words that ``search``, made once a task, finds in the lower-cased texts."""
+    import re
 
-    Texts are reduced to their distinct n-grams; a common n-gram is spread over ``salts``
-    keys, taken from a hash of the id so that a repeated task salts alike. ``width`` defaults to the words of
-    the longest name of the table.
+    import pandas as pd
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        find, word = search(), re.compile(WORD)
+        for pdf in batches:
+            found: list[tuple] = []
+            for key, text in zip(pdf["key"], pdf["text"], strict=True):
+                if not isinstance(text, str):
+                    continue
+                spans = [m.span() for m in word.finditer(text)]
+                words = [text[a:b] for a, b in spans]
+                found += [(key, " ".join(words[i : j + 1]), spans[i][0], spans[j][1]) for i, j in find(words)]
+            if found:
+                yield pd.DataFrame(found, columns=["key", "org", "start", "end"])
+
+    lowered = df.select(F.col(id_col).cast("string").alias("key"), F.lower(text).alias("text"))
+    hits = lowered.mapInPandas(run, "key string, org string, start int, end int")
+    return hits.select(F.col("key").cast(df.schema[id_col].dataType).alias(id_col), "org", "start", "end")
+
+
+def _name_bits(names: DataFrame) -> list[int]:
+    """A bitmap of 64-bit words with the places of all names and of their first words; never more than NAME_BITS bits."""
+    bits = max(64, min(NAME_BITS, 1 << (32 * names.count()).bit_length()))
+    first = F.concat(F.lit("1 "), F.substring_index("org", " ", 1))
+    places = names.select(F.explode(F.array(F.crc32(first), F.crc32(F.concat(F.lit("n "), "org")))).alias("place"))
+    places = places.select(F.pmod("place", F.lit(bits)).alias("place"))
+    words = places.select(F.expr("CAST(place DIV 64 AS INT)").alias("word"), F.expr("shiftleft(1L, CAST(place % 64 AS INT))").alias("bit"))
+    found = [0] * (bits // 64)
+    for row in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
+        found[row["word"]] = row["bits"] & ((1 << 64) - 1)
+    return found
+
+
+def find_names(df: DataFrame, id_col: str, text: Column, gazetteer: DataFrame, held: int = HELD_NAMES) -> DataFrame:
+    """(id, org, start, end): every hit of a gazetteer table (column ``org``) of any size, overlapping ones as well.
+
+    start and end are 0-based offsets in the lower-cased text, end exclusive. Up to ``held`` names travel with the tasks
+    as a trie, and only hits leave a task. Of more names only a bitmap of bounded size travels; the runs of words whose
+    first word and whole text it knows are joined with the names by Spark. Both ways find the same; null texts and names
+    have no hit.
     """
-    if width is None:
-        width = gazetteer.agg(F.max(F.size(F.split("org", " ")))).first()[0] or 1
-    grams = df.select(id_col, F.explode(F.array_distinct(ngrams(tx.tokens(text), width))).alias("org"))
-    salted = grams.withColumn("salt", F.pmod(F.xxhash64(id_col), F.lit(salts)))
-    names = gazetteer.select("org").distinct()
-    names = names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumn(
-        "salt", F.col("salt").cast("bigint")
-    )
-    return salted.join(names, ["org", "salt"]).select(id_col, "org")
+    names = gazetteer.where(F.col("org") != "").select("org").distinct()
+    if names.limit(held + 1).count() <= held:
+        listed = [r["org"] for r in names.collect()]
+        return _searched(df, id_col, text, lambda: NameTrie(listed).hits)
+    width = names.agg(F.max(F.size(F.split("org", " ")))).first()[0]
+    bitmap = array("Q", _name_bits(names))
+
+    def search() -> Callable[[list[str]], Iterator[tuple[int, int]]]:
+        import zlib
+
+        size = 64 * len(bitmap)
+
+        def known(name: str) -> int:
+            place = zlib.crc32(name.encode()) % size
+            return bitmap[place >> 6] >> (place & 63) & 1
+
+        def hits(words: list[str]) -> Iterator[tuple[int, int]]:
+            for i, word in enumerate(words):
+                if known(f"1 {word}"):
+                    for j in range(i, min(i + width, len(words))):
+                        if known(f"n {' '.join(words[i : j + 1])}"):
+                            yield i, j
+
+        return hits
+
+    return _searched(df, id_col, text, search).join(names, "org").select(id_col, "org", "start", "end")
+
+
+def match_table(df: DataFrame, id_col: str, text: Column, gazetteer: DataFrame, held: int = HELD_NAMES) -> DataFrame:
+    """(id, org) distinct hits against a gazetteer table (column ``org``) of any size; see :func:`find_names`."""
+    return find_names(df, id_col, text, gazetteer, held).select(id_col, "org").distinct()
 
 
 def extract_with_model(
