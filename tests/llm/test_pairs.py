@@ -11,7 +11,7 @@ import oracle
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import conversations, jaccard, language, packing, queries, search
+from tidemark.llm import conversations, jaccard, language, packing, queries, search, sharding
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -255,3 +255,15 @@ def test_numerals_are_no_letters(spark):
     found = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(df, F.lit(False)).collect()}
     assert {i for i, (lang, _) in found.items() if lang == "und"} == {1, 2} and found[1] == ("und", 0.0)
     assert sorted(r.doc_id for r in language.accepted(df, F.lit(False)).collect()) == [3, 4, 5]
+
+
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_repeated_rows_fill_all_shards(spark, doc_id):
+    df = spark.createDataFrame([(doc_id, "the same text")] * 800 + [(k, f"text {k}") for k in range(80)], DOCS)
+    sizes = collections.Counter()
+    slots = collections.defaultdict(list)
+    for r in sharding.kd_shards(df, shards=8).collect():
+        sizes[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert set(sizes) == set(range(8)) and max(sizes.values()) - min(sizes.values()) <= 3 * 14
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())

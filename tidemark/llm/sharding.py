@@ -26,7 +26,7 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     size: UTF-8 bytes plus 1 (null text: 1). A node with several shards is cut at the weighted median of its
     widest dimension (at the weighted quantile, if its shards are odd). Copies of a text have equal keys and stay
     together unless that would leave a side more than TOLERANCE of the node off its share; then they are split by a
-    hash of the id. slot numbers a shard's rows from 0. An empty table gives no rows.
+    hash of the id and the row's number, which parts repeated rows and rows without id as well. slot numbers a shard's rows from 0. An empty table gives no rows.
 
     Only (id, size, hashes, dimensions) are held, not texts. A median is found in four rounds, each a sum of bytes
     by the next 16 bits of the key, so no node is ever sorted or sent to one task.
@@ -36,7 +36,7 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     size = (F.octet_length(text) + 1).cast("long")
     rows = docs.select(
         F.col("doc_id"), size.alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("_h"),
-        F.xxhash64(F.col("doc_id"), F.lit(7)).alias("_t"), F.array(*dimensions(text, size)).alias("_d"),
+        F.xxhash64(F.col("doc_id"), F.monotonically_increasing_id()).alias("_t"), F.array(*dimensions(text, size)).alias("_d"),
     )
     rows = cut_lineage(rows)
     n = len(dimensions(text, size))
