@@ -1,5 +1,5 @@
 import random
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -94,6 +94,35 @@ def test_cap_equals_brute_force(spark, width):
     assert rows(got) == sorted(want)
 
 
+def test_cap_of_a_hot_post_ranks_only_its_last_slice(spark):
+    """A third of all comments in one post, times by the microsecond, crowded at the end; equal times; rows without time."""
+    rng = random.Random(3)
+    start = datetime(2024, 1, 1)
+    data = [(0, i, start + timedelta(microseconds=10**13 - int(rng.random() ** 4 * 10**13) - i)) for i in range(3000)]
+    data += [(1 + i % 600, 3000 + i, start + timedelta(microseconds=rng.randrange(10**12))) for i in range(6000)]
+    data += [(700, 9000 + i, start) for i in range(30)] + [(701, 9100, None), (None, 9101, start)]
+    df = spark.createDataFrame(data, "post int, id int, ts timestamp_ntz")
+    caps = spark.createDataFrame([(0, 1234), (700, 7), (701, 3), *[(i, 1 + i % 12) for i in range(1, 600)]], "post int, cap int")
+    got = ing.capped_per_post(df, "post", "ts", caps, 20).collect()
+    kept = dict(caps.collect())
+    by_post = {}
+    for post, i, ts in data:
+        if post is not None and ts is not None:
+            by_post.setdefault(post, []).append((ts, i))
+    for post, found in by_post.items():
+        mine = [r["id"] for r in got if r["post"] == post]
+        if post == 700:
+            assert len(mine) == len(set(mine)) == 7
+        else:
+            assert sorted(mine) == sorted(i for _, i in sorted(found, reverse=True)[: kept.get(post, 0)])
+    assert not [r for r in got if r["post"] in (None, 701)]
+    bounds = ing.cap_bounds(df.select("post", ing.order_number(df, "ts").alias("_at")), "post", caps, 20)
+    at = {post: sorted((ts - datetime(1970, 1, 1)) // timedelta(microseconds=1) for ts, _ in f) for post, f in by_post.items()}
+    for r in bounds.collect():
+        if r["post"] != 700:
+            assert sum(r["_low"] <= x <= r["_high"] for x in at[r["post"]]) <= 20
+
+
 def test_pages_and_cap(spark):
     a = spark.createDataFrame([(1, 10), (2, 20)], "id int, t int")
     b = spark.createDataFrame([(2, 20), (3, 30)], "id int, t int")

@@ -7,7 +7,7 @@ from typing import TYPE_CHECKING
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructField, StructType, TimestampNTZType, TimestampType
 from pyspark.sql.window import Window as W
 
 from tidemark.functions import ids, text as tx
@@ -179,24 +179,73 @@ def dedup_texts(df: DataFrame, id_col: str, text: Column) -> DataFrame:
 def capped_per_post(
     comments: DataFrame, post: str, order: str, caps: DataFrame, bucket_width: int = 1000
 ) -> DataFrame:
-    """The newest ``cap`` comments of every post; ``caps`` has (post, cap), ``order`` is a unique number per post.
+    """The newest ``cap`` comments of every post; ``caps`` has (post, cap), ``order`` is a whole number or a timestamp.
 
-    The rank of a comment is its rank inside a slice of the order column plus the number of
-    comments in later slices. Only slices are sorted, never all comments of a post, so a post
-    that holds a large share of all comments is spread over many tasks.
+    The cut of each post is found by :func:`cap_bounds` from counts alone. Comments above it stay unranked, those below
+    go unranked; only the last slice, of at most ``bucket_width`` comments, is sorted. ``order`` should be unique in a
+    post: comments of equal order share a slice and are told apart by a hash of the row. Rows without post or order,
+    and posts without a cap or with none above 0, have no row.
     """
-    sliced = comments.withColumn("_slice", F.floor(F.col(order) / F.lit(bucket_width)).cast("bigint"))
-    sizes = sliced.groupBy(post, "_slice").count()
-    later = W.partitionBy(post).orderBy(F.desc("_slice")).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        sizes.withColumn("_offset", F.coalesce(F.sum("count").over(later), F.lit(0)))
-        .join(caps.select(post, F.col("cap").alias("_cap")), post)
-        .where(F.col("_offset") < F.col("_cap"))
-        .drop("count")
+    at = order_number(comments, order)
+    bounds = cap_bounds(comments.select(F.col(post), at.alias("_at")), post, caps, bucket_width)
+    near = comments.withColumn("_at", at).join(bounds, post).where(F.col("_at") >= F.col("_low"))
+    sure = near.where(F.col("_at") > F.col("_high")).select(*comments.columns)
+    newest = W.partitionBy(post).orderBy(F.desc("_at"), F.xxhash64(*[F.col(c) for c in comments.columns]))
+    last = near.where(F.col("_at") <= F.col("_high")).withColumn("_rank", F.row_number().over(newest))
+    return sure.unionByName(last.where(F.col("_rank") <= F.col("_left")).select(*comments.columns))
+
+
+def order_number(df: DataFrame, order: str) -> Column:
+    """An order column as a whole number: timestamps by microseconds."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, TimestampNTZType):
+        return ids.epoch_micros(F.col(order))
+    return F.unix_micros(order) if isinstance(kind, TimestampType) else F.col(order).cast("bigint")
+
+
+CAP_SLICES = 256
+
+
+def cap_bounds(orders: DataFrame, post: str, caps: DataFrame, last_slice: int = 1000) -> DataFrame:
+    """(post, _low, _high, _left): of the rows (post, _at), those above _high are within the cap, those below _low are
+    beyond it, and of those in [_low, _high] the _left newest are within. At most ``last_slice`` rows of a post are in
+    [_low, _high], unless they are of one order number.
+
+    Each round counts an open post's rows in CAP_SLICES slices of its range and goes on with the slice in which the cap
+    is reached, so a range of 2^50 microseconds is settled in seven rounds at most. Counts are partial aggregates:
+    a post that holds most of the rows costs a task CAP_SLICES numbers. The caller's rows are read once a round, two
+    columns wide; bounds of the rounds are written to the shared folder.
+    """
+    spark = orders.sparkSession
+    folder = run_folder(spark, "cap-bounds")
+    wanted = caps.where(F.col("cap") > 0).groupBy(post).agg(F.max("cap").cast("bigint").alias("_left"))
+    spans = orders.where(F.col("_at").isNotNull()).groupBy(post).agg(
+        F.min("_at").alias("_low"), F.max("_at").alias("_high"), F.count(F.lit(1)).alias("_rows")
     )
-    within = W.partitionBy(post, "_slice").orderBy(F.desc(order))
-    ranked = sliced.withColumn("_rank", F.row_number().over(within)).join(offsets, [post, "_slice"])
-    return ranked.where(F.col("_rank") + F.col("_offset") <= F.col("_cap")).drop("_slice", "_rank", "_offset", "_cap")
+    found = spans.join(wanted, post).select(post, "_low", "_high", "_left", "_rows")
+    found.write.parquet(f"{folder}/0")
+    schema, rounds = found.schema, [f"{folder}/0"]
+    settled = (F.col("_rows") <= F.greatest(F.lit(last_slice), F.lit(1))) | (F.col("_rows") <= F.col("_left")) | (F.col("_low") == F.col("_high"))
+    while True:
+        newest = spark.read.schema(schema).parquet(rounds[-1]).where(~settled)
+        if newest.isEmpty():
+            bounds = spark.read.schema(schema).parquet(*rounds).where(settled)
+            whole = F.when(F.col("_rows") <= F.col("_left"), F.col("_low") - 1).otherwise(F.col("_high"))  # nothing to rank
+            return bounds.withColumn("_high", whole).drop("_rows")
+        width = F.floor((F.col("_high") - F.col("_low")) / CAP_SLICES).cast("bigint") + 1
+        open_posts = newest.select(post, "_low", "_high", "_left", width.alias("_width"))
+        inside = orders.join(open_posts, post).where(F.col("_at").between(F.col("_low"), F.col("_high")))
+        slices = inside.withColumn("_slice", F.expr("(_at - _low) div _width"))
+        counts = slices.groupBy(post, "_low", "_left", "_width", "_slice").agg(
+            F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"), F.max("_at").alias("_last")
+        )
+        later = W.partitionBy(post).orderBy(F.desc("_slice")).rowsBetween(W.unboundedPreceding, -1)
+        above = counts.withColumn("_above", F.coalesce(F.sum("_rows").over(later), F.lit(0)))
+        cut = above.where((F.col("_above") < F.col("_left")) & (F.col("_above") + F.col("_rows") >= F.col("_left")))
+        rounds.append(f"{folder}/{len(rounds)}")
+        cut.select(
+            post, F.col("_first").alias("_low"), F.col("_last").alias("_high"), (F.col("_left") - F.col("_above")).alias("_left"), "_rows"
+        ).write.parquet(rounds[-1])
 
 
 def new_rows(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
