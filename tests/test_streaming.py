@@ -10,7 +10,7 @@ from tidemark import schemas
 from tidemark.functions import ids
 from tidemark.operators import company as co, ingest as ing
 from tidemark.sources import tables
-from tidemark.streaming import layers, replay, sources, state
+from tidemark.streaming import generations, layers, replay, sources, state
 
 
 def rows(df):
@@ -158,6 +158,88 @@ def test_replay_keeps_order_and_equals_batch(spark, data, tmp_path):
     assert sum(n for _, _, n in seen) == wanted
 
 
+def test_replayed_slice_keeps_order_and_repeats_nothing(spark, data, tmp_path, monkeypatch):
+    monkeypatch.setattr(replay, "RANGE_ROWS", 10)
+    events = tables.load_table(spark, data, "events").withColumn("id", F.col("event_id").cast("string"))
+    folder, day = tmp_path / "topic", timedelta(days=1)
+    start = datetime(2024, 1, 3)
+    for _ in range(2):  # the second run repeats what the first has written
+        replay.replay_slices(events, "ts", "id", str(folder), start, start + 2 * day, day)
+    for n in range(2):
+        low = start + n * day
+        files = sorted((folder / f"slice={(low - datetime(1970, 1, 1)) // timedelta(seconds=1)}").glob("part-*.json"))
+        sent = [json.loads(json.loads(line)["value"])["message"] for f in files for line in f.read_text().splitlines()]
+        found = ing.time_range(events, "ts", ids.moment(low), ids.moment(low + day)).orderBy("ts", "id").collect()
+        assert len(files) > 1 and sent == [r["id"] for r in found]
+
+
+def test_held_records_are_released_in_event_order(spark, tmp_path):
+    folder, schema = str(tmp_path / "in"), "part string, ts timestamp, n bigint, word string"
+    at = lambda s: datetime(2024, 1, 1) + timedelta(seconds=s)
+    batches = [
+        [("a", at(9), 1, "x"), ("a", at(2), 2, None), ("b", at(5), 3, "z"), ("a", at(2), 1, "tie"), (None, at(1), 1, "no key"), ("a", None, 1, "no time")],
+        [("a", at(4.5), 4, "behind"), ("a", at(30), 5, "y"), ("b", at(29), 6, "y")],
+        [("a", at(1), 7, "too late"), ("a", at(200), 8, "held"), ("b", at(31), 9, "last")],
+    ]
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    state.use_rocksdb(spark)
+    try:
+        for batch in batches:  # a run per batch: the held rows survive the restarts
+            spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(folder)
+            stream = sources.landed_stream(spark, folder, schema, max_files=1)
+            ordered = replay.in_event_order(stream, "part", "ts", "n", "10 seconds")
+            state.write_updates(ordered, str(tmp_path / "out"), str(tmp_path / "cp"), mode="append").awaitTermination()
+    finally:
+        spark.conf.set(provider, before)
+    got = spark.read.parquet(str(tmp_path / "out")).orderBy("part", "offset").collect()
+    want = [("a", 0, 1, "tie"), ("a", 1, 2, None), ("a", 2, 4, "behind"), ("a", 3, 1, "x"), ("a", 4, 5, "y"), ("b", 0, 3, "z"), ("b", 1, 6, "y"), ("b", 2, 9, "last")]
+    assert [(r["part"], r["offset"], r["n"], r["word"]) for r in got] == want
+    assert [r["ts"] for r in got if r["part"] == "a"] == [at(s) for s in (2, 2, 4.5, 9, 30)]
+
+
+def test_generations_bound_what_a_reader_opens(spark, tmp_path, monkeypatch):
+    folder, span = str(tmp_path / "out"), 2
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "cp")
+
+    def land_and_run(text):
+        spark.createDataFrame([(text,)], "text string").coalesce(1).write.mode("append").json(source)
+        counted = state.running_word_count(sources.landed_stream(spark, source, "text string", "json", 1), F.col("text"))
+        generations.write(counted, folder, checkpoint, ["word"], span).awaitTermination()
+
+    with pytest.raises(ValueError):
+        generations.latest(spark, folder, ["word"])
+    words, want = ["x y", "x", "z", "x x", "y"], {}
+    for n, text in enumerate(words):
+        land_and_run(text)
+        for w in text.split():
+            want[w] = want.get(w, 0) + 1
+        found = generations.latest(spark, folder, ["word"])
+        assert dict(rows(found)) == want
+        gen = n // span
+        opened = {f.split("/out/")[1].rsplit("/", 1)[0] for f in found.inputFiles()}
+        assert opened <= {f"base/gen={gen}"} | {f"tail/gen={gen}/batch_id={b}" for b in range(gen * span, n + 1)}
+
+    broken = generations._newest
+
+    def fails(parts, keys):
+        broken(parts, keys).write.mode("overwrite").parquet(f"{folder}/base/gen=3")  # half done: written, not in the manifest
+        raise RuntimeError("lost")
+
+    land_and_run("y")
+    want["y"] += 1
+    with monkeypatch.context() as m:
+        m.setattr(generations, "_newest", fails)
+        with pytest.raises(RuntimeError):
+            generations.compact(spark, folder, ["word"], 3)
+    assert generations.newest_generation(spark, folder) == 2
+    assert dict(rows(generations.latest(spark, folder, ["word"]))) == want
+    land_and_run("x")
+    want["x"] += 1
+    assert generations.newest_generation(spark, folder) == 3
+    assert dict(rows(generations.latest(spark, folder, ["word"]))) == want
+
+
 def test_first_record_per_topic_partition(spark, tmp_path):
     envelope = [("k", f"v{o}", "t", p, o) for p in (0, 1) for o in (7, 3, 5)]
     schema = "key string, value string, topic string, partition int, offset bigint"

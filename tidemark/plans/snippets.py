@@ -47,14 +47,36 @@ def hits(toks: str, words: Iterable[str]) -> str:
     return f"len(list_filter({toks}, lambda t: t IN ({names(words)})))::DOUBLE"
 
 
-SCORES = f"""
+DOCUMENTS = "SELECT doc_id, text FROM documents"
+
+
+def scores(texts: str) -> str:
+    """Sentiment scores of (doc_id, text)."""
+    return f"""
 SELECT doc_id, exp(n - m) / (exp(n - m) + exp(1.0 - m) + exp(p - m)) AS negative,
   exp(1.0 - m) / (exp(n - m) + exp(1.0 - m) + exp(p - m)) AS neutral,
   exp(p - m) / (exp(n - m) + exp(1.0 - m) + exp(p - m)) AS positive
 FROM (
   SELECT doc_id, n, p, greatest(n, 1.0, p) AS m FROM (
     SELECT doc_id, {hits('toks', st.NEGATIVE)} AS n, {hits('toks', st.POSITIVE)} AS p
-    FROM (SELECT doc_id, {tokens(clean('text'))} AS toks FROM documents)))"""
+    FROM (SELECT doc_id, {tokens(clean('text'))} AS toks FROM ({texts}))))"""
+
+
+def mentions(texts: str) -> str:
+    """(doc_id, org): every mention in (doc_id, text)."""
+    return f"""
+SELECT * FROM (SELECT doc_id, unnest({tokens('text')}) AS org FROM ({texts}))
+WHERE org IN ({names(en.ORGANISATIONS)})"""
+
+
+def pairs(texts: str) -> str:
+    """(doc_id, company, negative, neutral, positive): one row per text and organisation."""
+    return f"""
+SELECT s.doc_id, o.org AS company, s.negative, s.neutral, s.positive
+FROM ({scores(texts)}) s JOIN (SELECT DISTINCT doc_id, org FROM ({mentions(texts)})) o ON s.doc_id = o.doc_id"""
+
+
+SCORES, MENTIONS, PAIRS = scores(DOCUMENTS), mentions(DOCUMENTS), pairs(DOCUMENTS)
 
 EMOTION_COUNTS = (
     "SELECT doc_id, "
@@ -62,16 +84,6 @@ EMOTION_COUNTS = (
     + f" FROM (SELECT doc_id, {tokens(clean('text'))} AS toks FROM documents)"
 )
 
-#: (doc_id, org): every mention.
-MENTIONS = f"""
-SELECT * FROM (SELECT doc_id, unnest({tokens('text')}) AS org FROM documents)
-WHERE org IN ({names(en.ORGANISATIONS)})"""
-
-#: (doc_id, company, negative, neutral, positive): one row per text and organisation.
-PAIRS = f"""
-SELECT s.doc_id, o.org AS company, s.negative, s.neutral, s.positive
-FROM ({SCORES}) s JOIN (SELECT DISTINCT doc_id, org FROM ({MENTIONS})) o ON s.doc_id = o.doc_id"""
-
 POST_TIMES = "SELECT event_id // 10 AS doc_id, min(ts) AS created_utc FROM events GROUP BY 1"
 
 ROLLUP = """round(avg(positive), 6) AS positive, round(avg(negative), 6) AS negative,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark import schemas
 from tidemark.functions import ids, scores as sc
@@ -11,7 +13,7 @@ from tidemark.plans import snippets as sq
 from tidemark.plans.registry import query
 from tidemark.session import run_folder, spread
 from tidemark.sources import tables
-from tidemark.streaming import layers, sources, state
+from tidemark.streaming import generations, layers, replay, sources, state
 
 BATCH_TIME = 1704067200.0
 KEYS = {"documents": ("doc_id",), "events": ("event_id",), "conversations": ("conv_id", "turn")}
@@ -44,6 +46,7 @@ def _run_layers(spark: SparkSession, root: str, layer) -> str:
 
 
 _COMMENT_ID = "concat(conv_id, '-', turn)"
+_COMMENTS = f"SELECT {_COMMENT_ID} AS doc_id, text FROM conversations"
 _COMMENT_WORDS = f"""SELECT * FROM (SELECT {_COMMENT_ID} AS comment_id, unnest({sq.tokens(sq.clean('text'))}) AS word FROM conversations)
   WHERE regexp_matches(word, '^[a-zA-Z]') AND word NOT IN ({sq.names(sq.wd.STOP_WORDS)})"""
 
@@ -78,7 +81,7 @@ def stream_raw(spark: SparkSession, root: str) -> DataFrame:
 @query(
     "stream_sentiment",
     "SELECT doc_id AS comment_id, " + ", ".join(f"round({c}, 6) AS {c}" for c in sc.SENTIMENT_LABELS)
-    + f" FROM ({sq.SCORES.replace('SELECT doc_id, ' + sq.tokens(sq.clean('text')) + ' AS toks FROM documents', 'SELECT ' + _COMMENT_ID + ' AS doc_id, ' + sq.tokens(sq.clean('text')) + ' AS toks FROM conversations')})",
+    + f" FROM ({sq.scores(_COMMENTS)})",
 )
 def stream_sentiment(spark: SparkSession, root: str) -> DataFrame:
     folder = _run_layers(spark, root, layers.sentiment_layer)
@@ -91,8 +94,8 @@ def stream_word_count(spark: SparkSession, root: str) -> DataFrame:
     """Running totals kept as stream state; must equal the batch count."""
     folder = run_folder(spark, "words")
     counted = state.running_word_count(_stream(spark, root, "documents", "doc_id", "text"), F.col("text"))
-    state.write_updates(counted, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    return state.latest(spark, f"{folder}/out", ["word"])
+    generations.write(counted, f"{folder}/out", f"{folder}/checkpoint", ["word"]).awaitTermination()
+    return generations.latest(spark, f"{folder}/out", ["word"])
 
 
 @query(
@@ -144,3 +147,49 @@ def stream_first_records(spark: SparkSession, root: str) -> DataFrame:
     )
     layers.first_records(envelope, folder, f"{folder}/checkpoint", every=None).awaitTermination()
     return spark.read.parquet(f"{folder}/{layers.FIRST}").drop("batch_id")
+
+
+HOLD = "2 days"
+
+
+@query(
+    "stream_replay",
+    """SELECT user_id, event_id, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1)::BIGINT AS "offset"
+    FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 DAY FROM events)""",
+)
+def stream_replay(spark: SparkSession, root: str) -> DataFrame:
+    """Events released per user in event-time order, a day at a time; the days the watermark has not passed are still held."""
+    folder = run_folder(spark, "replay")
+    events = _stream(spark, root, "events", "event_id", "user_id", "ts").withColumn("ts", ids.utc(F.col("ts")))
+    ordered = replay.in_event_order(events, "user_id", "ts", "event_id", HOLD, tick_s=86_400)
+    with state.rocksdb(spark):
+        state.write_updates(ordered, f"{folder}/out", f"{folder}/checkpoint", mode="append").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("user_id", "event_id", "offset")
+
+
+@query(
+    "stream_all_layers",
+    f"""SELECT 'word' AS layer, word AS item, count(*)::DOUBLE AS value FROM ({_COMMENT_WORDS}) GROUP BY word
+    UNION ALL SELECT 'raw', role, count(*) FROM conversations GROUP BY role
+    UNION ALL SELECT 'sentiment', 'scored', count(*) FROM conversations
+    UNION ALL SELECT 'company', company, round(avg(positive), 6) FROM ({sq.pairs(_COMMENTS)}) GROUP BY company""",
+)
+def stream_all_layers(spark: SparkSession, root: str) -> DataFrame:
+    """One stream feeds words, raw records, sentiment and companies; what each layer holds at the end."""
+    folder = run_folder(spark, "layers")
+    records = _comment_records(spark, root)
+    layers.run_layers(records, folder, f"{folder}/checkpoint", every=None, clock=lambda: BATCH_TIME).awaitTermination()
+
+    def held(layer: str, item: Column, value: Column) -> DataFrame:
+        rows = spark.read.parquet(f"{folder}/{layer}").groupBy(item.alias("item")).agg(value.cast("double").alias("value"))
+        return rows.select(F.lit(layer).alias("layer"), "item", "value")
+
+    words = layers.word_frequency(spark, folder).select(
+        F.lit("word").alias("layer"), F.col("word").alias("item"), F.col("count").cast("double").alias("value")
+    )
+    n = F.count(F.lit(1))
+    parts = [
+        words, held(layers.RAW, F.col("author_name"), n), held(layers.SENTIMENT, F.lit("scored"), n),
+        held(layers.COMPANY, F.col("company"), F.round(F.first("positive"), 6)),  # one batch, so one row a company
+    ]
+    return reduce(DataFrame.unionByName, parts)

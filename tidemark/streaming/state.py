@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,6 +19,18 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """The same for the streams started in the block; the caller's setting comes back after it."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    use_rocksdb(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def running_word_count(stream: DataFrame, text: Column) -> DataFrame:
     """(word, count) over everything seen. State grows with the vocabulary, not with the records."""
     return wd.word_count(stream, text)
