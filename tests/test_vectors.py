@@ -156,3 +156,23 @@ def test_distributed_ward_rounds_equal_brute_force(spark, monkeypatch, threshold
     units = m / np.linalg.norm(m, axis=1, keepdims=True)
     rows = cl.agglomerative(frame(spark, m), "id", "v", threshold).orderBy("id").collect()
     assert grouped([r["cluster"] for r in rows]) == brute_ward(units, threshold)
+
+
+@pytest.mark.parametrize("ascending", [False, True])
+def test_any_number_of_keywords(spark, ascending):
+    """1,000 keywords over blocks of both sides, with repeated vectors as ties, a zero vector and missing values."""
+    m = random_vectors(1200)
+    m[600:700], m[7] = m[:100], 0
+    items = frame(spark, m).unionByName(spark.createDataFrame([(None, [1.0] * DIM), (9999, None)], "id int, v array<double>"))
+    asked = items.where("id < 1000 OR id IS NULL")
+    got = ve.related_blocks(asked, items, "id", "v", 15, ascending, query_block=300, item_block=400).collect()
+    with np.errstate(invalid="ignore"):
+        sims = cosines(m).round(ve.DIGITS)
+    others = [i for i in range(1200) if i != 7]
+    want = set()
+    for q in range(1000):
+        if q != 7:
+            best = sorted(others, key=lambda i: (sims[q, i] if ascending else -sims[q, i], i))[:15]
+            want |= {(q, i, rank) for rank, i in enumerate(best, 1)}
+    assert len(got) == len(want) and {(r["query_id"], r["id"], r["rank"]) for r in got} == want
+    assert ve.related_blocks(asked.limit(0), items, "id", "v").count() == 0
