@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import vectors as vx
-from tidemark.operators import clustering as cl, vectors as ve
+from tidemark.operators import clustering as cl, vectors as ve, word_vectors as wv
 
 DIM = 6
 
@@ -176,3 +176,32 @@ def test_any_number_of_keywords(spark, ascending):
             want |= {(q, i, rank) for rank, i in enumerate(best, 1)}
     assert len(got) == len(want) and {(r["query_id"], r["id"], r["rank"]) for r in got} == want
     assert ve.related_blocks(asked.limit(0), items, "id", "v").count() == 0
+
+
+def test_word_vectors_are_the_leading_eigenvectors(spark):
+    """Against a dense matrix from brute-force counts: repeated words, a null text, a null word, an empty text, a lone word."""
+    rng = np.random.default_rng(4)
+    topics = [[f"{t}{i}" for i in range(12)] for t in "abc"]
+    texts = [list(rng.choice(topics[n % 3], 30)) for n in range(60)] + [["a1", "a1", None, "b2"], [], ["lone"], None]
+    texts = [None if t is None else [None if w is None else str(w) for w in t] for t in texts]
+    tokens = spark.createDataFrame([(t,) for t in texts], "words array<string>")
+    n = {}
+    for t in texts:
+        for i in range(len(t or [])):
+            for j in range(max(0, i - 2), min(len(t), i + 3)):
+                if j != i and t[i] is not None and t[j] is not None:
+                    n[t[i], t[j]] = n.get((t[i], t[j]), 0) + 1
+    counts = wv.cooccurrence(tokens, "words", 2)
+    assert {(r["a"], r["b"]): r["n"] for r in counts.collect()} == n
+    names = sorted({a for a, _ in n})
+    dense = np.array([[n.get((a, b), 0) for b in names] for a in names], dtype=float)
+    sums = dense.sum(axis=1)
+    with np.errstate(divide="ignore"):
+        information = np.maximum(np.log(dense * dense.sum() / np.outer(sums, sums)), 0)
+    values, basis = np.linalg.eigh(information)
+    first = np.argsort(-np.abs(values))[:3]
+    got = {r["word"]: r["vector"] for r in wv.word_vectors(tokens, "words", 3, 1, 2, rounds=25).collect()}
+    assert sorted(got) == names and "lone" not in got
+    mine = np.array([got[w] for w in names])
+    assert np.allclose(mine @ mine.T, basis[:, first] * np.abs(values[first]) @ basis[:, first].T, atol=1e-4)
+    assert wv.word_vectors(tokens.limit(0), "words").count() == 0
