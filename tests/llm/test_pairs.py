@@ -11,7 +11,7 @@ import oracle
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import conversations, jaccard, language, packing, queries, search, sharding
+from tidemark.llm import conversations, fingerprints, jaccard, language, packing, queries, search, sharding
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -267,3 +267,24 @@ def test_repeated_rows_fill_all_shards(spark, doc_id):
         slots[r.shard].append(r.slot)
     assert set(sizes) == set(range(8)) and max(sizes.values()) - min(sizes.values()) <= 3 * 14
     assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
+def test_fingerprint_ranges_follow_the_rows(spark, monkeypatch):
+    """A third of the rows without id, crowded ids and one far away: small ranges, and every row meets its next one."""
+    monkeypatch.setattr(fingerprints, "ROWS_PER_RANGE", 10)
+    rng = random.Random(6)
+    ids = [*rng.sample(range(3000), 500), *range(10**6, 10**6 + 500), 2**60, -(2**40)]
+    rows = [(i, f"text {n} {'ab' * rng.randrange(20)}") for n, i in enumerate(ids)]
+    rows += [(None, f"no id {n} {'cd' * rng.randrange(20)}") for n in range(500)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(5)
+    sizes = [r["count"] for r in fingerprints._ranged(docs).groupBy("_q", "_p").count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 40 and len(sizes) > 75
+    hashed = {r["text"]: r["h"] for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashed[r[1]]))
+    got = {(r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in fingerprints.compare_with_next(docs).collect()}
+    want = set()
+    for n, (i, text) in enumerate(order):
+        cut = len(text) // 3
+        edited = text[: len(text) - cut] + order[(n + 1) % len(order)][1][:cut]
+        want.add((i, len(text), hashlib.sha256(edited.encode()).hexdigest()))
+    assert got == want

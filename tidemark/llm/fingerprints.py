@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -12,7 +13,7 @@ from tidemark.session import cut_lineage
 
 BITS = 128
 RADIUS = 3
-RANGES = 64
+MAX_FANOUT = 1_024
 ROWS_PER_RANGE = 2_000
 HALVES = ("_hi", "_lo")
 
@@ -50,25 +51,38 @@ def digits(halves: tuple[Column, Column]) -> Column:
     return F.concat(*map(common.hex64, halves))
 
 
-def _ranges(docs: DataFrame) -> tuple[Column, Column]:
-    """Two columns (range, part) that rise with doc_id; together they hold about ROWS_PER_RANGE rows a pair.
+def _fanout(n: int) -> int:
+    return min(MAX_FANOUT, max(1, math.ceil(math.sqrt(n / ROWS_PER_RANGE))))
 
-    The bounds are RANGES - 1 quantiles of the ids, and each range is cut evenly into as many parts as the rows ask
-    for, so the number of pairs follows the input while the driver sees a fixed number of values.
+
+def _ranged(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text) with _q and _p: (_q, _p) falls in the order of :func:`compare_with_next`.
+
+    Both levels are cut at quantiles of the ids, the second inside each range of the first, so an id far from
+    the others moves no cut. Rows without id are cut the same way by the hash that orders them. A pair holds about
+    ROWS_PER_RANGE rows up to MAX_FANOUT^2 pairs; only rows of one id, or without id and of one text, can't be parted.
+    The driver sees MAX_FANOUT numbers, and as many for each range travel with the tasks.
     """
-    steps = [k / RANGES for k in range(RANGES + 1)]
-    cuts, n = docs.agg(F.percentile_approx("doc_id", steps), F.count("*")).first()
-    cuts = sorted(set(cuts or []))
-    parts = max(1, -(-n // (RANGES * ROWS_PER_RANGE)))
-    if not cuts:
-        return F.lit(-1), F.lit(0).cast("long")
-    bounds = F.array(*map(F.lit, cuts))
-    at = F.when(F.col("doc_id").isNull(), -1).otherwise(F.size(F.filter(bounds, lambda b: b <= F.col("doc_id"))))
-    low = F.coalesce(F.try_element_at(bounds, F.greatest(at, F.lit(1))), F.lit(0))
-    high = F.coalesce(F.try_element_at(bounds, F.greatest(at + 1, F.lit(1))), low + 1)
-    share = (F.col("doc_id") - low) / F.greatest(high - low, F.lit(1)).cast("double")
-    part = F.floor(F.least(F.greatest(F.coalesce(share, F.lit(0.0)), F.lit(0.0)), F.lit(1.0)) * (parts - 1))
-    return at, part.cast("long")
+    named, unnamed = rows.agg(F.count("doc_id"), F.count_if(F.col("doc_id").isNull())).first()
+    f, g = _fanout(named), _fanout(unnamed)
+    steps = [k / f for k in range(1, f)]
+    turn = F.xxhash64("text") / F.lit(2.0**64) + 0.5  # 0 to 1 by the hash
+    outer, missing = F.floor(turn * g), F.col("doc_id").isNull()
+    inner = F.floor((turn * g - outer) * g)
+    last = F.lit(g - 1)
+    hashed = [-1 - F.least(outer, last), last - F.least(inner, last)]
+    if not steps:
+        return rows.withColumns({c: F.when(missing, h).otherwise(0).cast("long") for c, h in zip(("_q", "_p"), hashed, strict=True)})
+
+    def passed(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda x: x <= F.col("doc_id")))
+
+    cuts = rows.agg(F.percentile_approx("doc_id", steps)).first()[0]
+    ranged = rows.withColumn("_q", F.when(missing, hashed[0]).otherwise(passed(F.array(*map(F.lit, cuts)))).cast("long"))
+    finer = ranged.where(~missing).groupBy("_q").agg(F.percentile_approx("doc_id", steps).alias("_cuts"))
+    finer = F.broadcast(cut_lineage(finer))  # kept, as sketches may differ when they are made again; at most 1,024 rows of 1,023 numbers
+    placed = ranged.join(finer, "_q", "left")
+    return placed.withColumn("_p", F.when(missing, hashed[1]).otherwise(passed(F.col("_cuts"))).cast("long")).drop("_cuts")
 
 
 def compare_with_next(docs: DataFrame) -> DataFrame:
@@ -82,13 +96,12 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     Texts are shuffled once, by ranges of the id. A range's last row takes its next from the first row of the
     following range, of which there is one for some thousand rows.
     """
-    at, part = _ranges(docs)
-    rows = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"), at.alias("_q"), part.alias("_p"))
+    rows = _ranged(docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")))
     place = Window.partitionBy("_q", "_p").orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
     heads = cut_lineage(rows.withColumn("_r", F.row_number().over(place)).where("_r = 1").select("_q", "_p", "text"))
     inner = Window.partitionBy("_q").orderBy(F.col("_p").desc())
     outer = Window.orderBy(F.col("_q").desc())
-    tops = heads.groupBy("_q").agg(F.max("_p").alias("_top"))  # at most RANGES + 2 rows
+    tops = heads.groupBy("_q").agg(F.max("_p").alias("_top"))  # at most 2 * MAX_FANOUT rows
     tops = tops.select("_q", F.lead(F.struct("_q", "_top")).over(outer).alias("_after"), F.first(F.struct("_q", "_top")).over(outer).alias("_first"))
     after = heads.select("_q", "_p", F.lead("_p").over(inner).alias("_below")).join(F.broadcast(tops), "_q")
     turn = F.coalesce("_after", "_first")
