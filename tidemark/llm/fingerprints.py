@@ -13,7 +13,7 @@ from tidemark.session import cut_lineage
 
 BITS = 128
 RADIUS = 3
-MAX_FANOUT = 1_024
+MIN_FANOUT, MAX_FANOUT = 8, 1_024
 ROWS_PER_RANGE = 2_000
 HALVES = ("_hi", "_lo")
 
@@ -52,14 +52,14 @@ def digits(halves: tuple[Column, Column]) -> Column:
 
 
 def _fanout(n: int) -> int:
-    return min(MAX_FANOUT, max(1, math.ceil(math.sqrt(n / ROWS_PER_RANGE))))
+    return min(MAX_FANOUT, max(MIN_FANOUT, math.ceil(math.sqrt(n / ROWS_PER_RANGE))))
 
 
 def _ranged(rows: DataFrame) -> DataFrame:
     """``rows`` (doc_id, text) with _q and _p: (_q, _p) falls in the order of :func:`compare_with_next`.
 
     Both levels are cut at quantiles of the ids, the second inside each range of the first, so an id far from
-    the others moves no cut. Rows without id are cut the same way by the hash that orders them. A pair holds about
+    the others moves no cut. Rows without id are cut the same way by the hash that orders them. A pair holds at most about
     ROWS_PER_RANGE rows up to MAX_FANOUT^2 pairs; only rows of one id, or without id and of one text, can't be parted.
     The driver sees MAX_FANOUT numbers, and as many for each range travel with the tasks.
     """
@@ -71,14 +71,12 @@ def _ranged(rows: DataFrame) -> DataFrame:
     inner = F.floor((turn * g - outer) * g)
     last = F.lit(g - 1)
     hashed = [-1 - F.least(outer, last), last - F.least(inner, last)]
-    if not steps:
-        return rows.withColumns({c: F.when(missing, h).otherwise(0).cast("long") for c, h in zip(("_q", "_p"), hashed, strict=True)})
 
     def passed(cuts: Column) -> Column:
         return F.size(F.filter(cuts, lambda x: x <= F.col("doc_id")))
 
     cuts = rows.agg(F.percentile_approx("doc_id", steps)).first()[0]
-    ranged = rows.withColumn("_q", F.when(missing, hashed[0]).otherwise(passed(F.array(*map(F.lit, cuts)))).cast("long"))
+    ranged = rows.withColumn("_q", F.when(missing, hashed[0]).otherwise(passed(F.lit(cuts or [0]))).cast("long"))
     finer = ranged.where(~missing).groupBy("_q").agg(F.percentile_approx("doc_id", steps).alias("_cuts"))
     finer = F.broadcast(cut_lineage(finer))  # kept, as sketches may differ when they are made again; at most 1,024 rows of 1,023 numbers
     placed = ranged.join(finer, "_q", "left")
