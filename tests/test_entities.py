@@ -126,3 +126,11 @@ def test_trie_is_linear_in_a_wide_name():
     words = ["a", "b"] * 5_000
     assert sum(1 for i, j in trie.hits(words) if i == j) == 5_000
     assert sum(1 for i, j in trie.hits(words) if j - i == 399) == (10_000 - 400) // 2 + 1
+
+
+def test_walked_names_equal_sifted_names(spark):
+    names = ["acme", "acme corp", "big blue box", "blue", "acme corp big blue box the", "x x", "the"]
+    df = frame(spark, [*texts(), "the " + "x , x " * 3_000 + "acme corp"])
+    table = spark.createDataFrame([(n,) for n in names], "org string")
+    found = sorted(tuple(r) for r in en.find_names(df, "id", F.col("text"), table).collect())
+    assert found == sorted(tuple(r) for r in en.walk_names(df, "id", F.col("text"), names).collect()) and len(found) > 6_000

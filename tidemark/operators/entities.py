@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -12,8 +11,8 @@ from tidemark.functions import text as tx, vectors as vx
 # The built-in gazetteer of organisation names.
 ORGANISATIONS = ("thing", "thble", "ering", "attion", "oning", "eriner", "estion", "blend")
 LABEL = "ORG"
-HELD_NAMES = 200_000  # names that travel with the tasks
-NAME_BITS = 1 << 27  # size of the bitmap for more names, 16 MiB
+HELD_NAMES = 200_000  # names that are broadcast
+NAME_BITS = 1 << 24  # the largest bitmap, 2 MiB
 
 
 def _width(gazetteer: Sequence[str]) -> int:
@@ -184,58 +183,117 @@ def _searched(df: DataFrame, id_col: str, text: Column, search: Callable[[], Cal
     return hits.select(F.col("key").cast(df.schema[id_col].dataType).alias(id_col), "org", "start", "end")
 
 
-def _name_bits(names: DataFrame) -> list[int]:
-    """A bitmap of 64-bit words with the places of all names and of their first words; never more than NAME_BITS bits."""
-    bits = max(64, min(NAME_BITS, 1 << (32 * names.count()).bit_length()))
-    first = F.concat(F.lit("1 "), F.substring_index("org", " ", 1))
-    places = names.select(F.explode(F.array(F.crc32(first), F.crc32(F.concat(F.lit("n "), "org")))).alias("place"))
-    places = places.select(F.pmod("place", F.lit(bits)).alias("place"))
-    words = places.select(F.expr("CAST(place DIV 64 AS INT)").alias("word"), F.expr("shiftleft(1L, CAST(place % 64 AS INT))").alias("bit"))
-    found = [0] * (bits // 64)
-    for row in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
-        found[row["word"]] = row["bits"] & ((1 << 64) - 1)
-    return found
+def walk_names(df: DataFrame, id_col: str, text: Column, names: Sequence[str]) -> DataFrame:
+    """What :func:`find_names` gives, for a list of names: a trie travels with the tasks and walks the texts in Arrow batches.
 
+    Linear in words and hits for names of any width.
+    """
+    listed = [name for name in dict.fromkeys(names) if name]
+    return _searched(df, id_col, text, lambda: NameTrie(listed).hits)
 
-def find_names(df: DataFrame, id_col: str, text: Column, gazetteer: DataFrame, held: int = HELD_NAMES) -> DataFrame:
-    """(id, org, start, end): every hit of a gazetteer table (column ``org``) of any size, overlapping ones as well.
 
-    start and end are 0-based offsets in the lower-cased text, end exclusive. Up to ``held`` names travel with the tasks
-    as a trie, and only hits leave a task. Of more names only a bitmap of bounded size travels; the runs of words whose
-    first word and whole text it knows are joined with the names by Spark. Both ways find the same; null texts and names
-    have no hit.
+def _sift(names: DataFrame, count: int) -> tuple[Column, int]:
+    """A bitmap as a constant array of 64-bit words, and its number of bits, never more than NAME_BITS.
+
+    It knows each name's first word, its first and last word with its width, and the name.
+    """
+    bits = max(64, min(NAME_BITS, 1 << (48 * count).bit_length()))
+    words = F.split("org", " ")
+    ends = F.concat_ws(" ", F.size(words).cast("string"), F.get(words, F.lit(0)), F.element_at(words, -1))
+    marks = F.array(F.concat(F.lit("1st "), F.get(words, F.lit(0))), F.concat(F.lit("ends "), ends), F.concat(F.lit("all "), "org"))
+    places = names.select(F.explode(F.transform(marks, lambda m: F.crc32(m) % F.lit(bits))).alias("place"))
+    cells = places.select(F.expr("CAST(place DIV 64 AS INT)").alias("cell"), F.expr("shiftleft(1L, CAST(place % 64 AS INT))").alias("bit"))
+    found = ["0"] * (bits // 64)
+    for row in cells.groupBy("cell").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
+        found[row["cell"]] = str(row["bits"])
+    return F.split(F.lit(",".join(found)), ",").cast("array<bigint>"), bits
+
+
+def _candidates(words: Column, widths: Column, known: Callable[[str, Column], Column]) -> Column:
+    """array<struct<i,n,org>>: the runs of words that the bitmap knows; i is the first word's position."""
+
+    def runs(i: Column, first: Column) -> Column:
+        fitting = F.filter(widths, lambda n: i + n <= F.size(words))
+        ends = F.filter(fitting, lambda n: known("ends ", F.concat_ws(" ", n.cast("string"), first, F.get(words, i + n - 1))))
+        named = F.transform(ends, lambda n: F.struct(i.alias("i"), n.alias("n"), F.array_join(F.slice(words, i + 1, n), " ").alias("org")))
+        return F.filter(named, lambda c: known("all ", c["org"]))
+
+    begun = F.array_compact(F.transform(words, lambda w, i: F.when(known("1st ", w), i)))
+    return F.flatten(F.transform(begun, lambda i: runs(i, F.get(words, i))))
+
+
+def _total(lengths: Column, first: Column, n: Column) -> Column:
+    return F.aggregate(F.slice(lengths, first + 1, n), F.lit(0), lambda a, x: a + x)
+
+
+def _placed(found: Column, parts: Column) -> Column:
+    """``found`` with offsets. Words and gaps take turns in ``parts``, so word i is piece 2 * i, or the one after it.
+
+    The lengths of the pieces are added up by blocks of about the root of their number, so no hit adds up the whole text.
     """
+    lead = F.when(F.get(parts, F.lit(0)).rlike(r"^[\p{L}\p{N}']"), 0).otherwise(1)
+    step = F.greatest(F.lit(16), F.sqrt(F.size(parts)).cast("int"))
+
+    def befores(lengths: Column, step: Column) -> Column:
+        sums = F.transform(F.sequence(F.lit(0), F.size(parts) - 1, step), lambda first: _total(lengths, first, step))
+        return F.aggregate(sums, F.array(F.lit(0)), lambda a, n: F.array_append(a, F.element_at(a, -1) + n))
+
+    def hit(c: Column, at: Column, known: Column) -> Column:
+        first = lead + 2 * c["i"]
+        block = F.floor(first / known["step"]).cast("int")
+        start = F.get(at, block) + _total(known["lengths"], block * known["step"], first % known["step"])
+        size = _total(known["lengths"], first, 2 * c["n"] - 1)
+        return F.struct(c["org"].alias("org"), start.alias("start"), size.alias("size"))
+
+    def placed(known: Column) -> Column:
+        return vx.with_value(befores(known["lengths"], known["step"]), lambda at: F.transform(found, lambda c: hit(c, at, known)))
+
+    lengths = F.transform(parts, lambda x: F.length(x))
+    return F.when(F.size(found) > 0, vx.with_value(F.struct(lengths.alias("lengths"), step.alias("step")), placed))
+
+
+def _sifted(df: DataFrame, id_col: str, gazetteer: DataFrame, held: int, runs: Callable[[Callable[[Column], Column]], Column]) -> DataFrame:
+    """The fields of ``runs``, joined with the names; its argument makes the candidates of an array of words."""
     names = gazetteer.where(F.col("org") != "").select("org").distinct()
-    if names.limit(held + 1).count() <= held:
-        listed = [r["org"] for r in names.collect()]
-        return _searched(df, id_col, text, lambda: NameTrie(listed).hits)
-    width = names.agg(F.max(F.size(F.split("org", " ")))).first()[0]
-    bitmap = array("Q", _name_bits(names))
+    count, wide = names.agg(F.count("*"), F.sort_array(F.collect_set(F.size(F.split("org", " "))))).first()
+    bitmap, bits = _sift(names, count)
+    widths = F.array(*map(F.lit, wide)).cast("array<int>")
 
-    def search() -> Callable[[list[str]], Iterator[tuple[int, int]]]:
-        import zlib
+    def known(kind: str, mark: Column) -> Column:
+        place = F.crc32(F.concat(F.lit(kind), mark)).bitwiseAND(F.lit(bits - 1))
+        cell = F.get(bitmap, F.shiftright(place, 6).cast("int"))
+        return F.getbit(cell, place.bitwiseAND(F.lit(63)).cast("int")) == 1
 
-        size = 64 * len(bitmap)
+    found = df.select(id_col, F.inline(runs(lambda words: vx.with_value(words, lambda w: _candidates(w, widths, known)))))
+    return found.join(F.broadcast(names) if count <= held else names, "org")
 
-        def known(name: str) -> int:
-            place = zlib.crc32(name.encode()) % size
-            return bitmap[place >> 6] >> (place & 63) & 1
 
-        def hits(words: list[str]) -> Iterator[tuple[int, int]]:
-            for i, word in enumerate(words):
-                if known(f"1 {word}"):
-                    for j in range(i, min(i + width, len(words))):
-                        if known(f"n {' '.join(words[i : j + 1])}"):
-                            yield i, j
+def find_names(df: DataFrame, id_col: str, text: Column, gazetteer: DataFrame, held: int = HELD_NAMES) -> DataFrame:
+    """(id, org, start, end): every hit of a gazetteer table (column ``org``) of any size, overlapping ones as well.
+
+    start and end are 0-based offsets in the lower-cased text, end exclusive. A bitmap of bounded size goes with the plan;
+    only runs of words of a name's width whose first word, ends and whole text it knows leave the scan, and are joined with
+    the names. Up to ``held`` names are broadcast, the join with more is Spark's choice. Null texts and names have no hit.
+    """
 
-        return hits
+    def runs(candidates: Callable[[Column], Column]) -> Column:
+        def hits(parts: Column) -> Column:
+            words = F.filter(parts, lambda x: x.rlike(r"^[\p{L}\p{N}']"))
+            return vx.with_value(candidates(words), lambda found: _placed(found, parts))
 
-    return _searched(df, id_col, text, search).join(names, "org").select(id_col, "org", "start", "end")
+        return vx.with_value(tx.pieces(text), hits)
+
+    named = _sifted(df, id_col, gazetteer, held, runs)
+    return named.select(id_col, "org", "start", (F.col("start") + F.col("size")).alias("end"))
 
 
 def match_table(df: DataFrame, id_col: str, text: Column, gazetteer: DataFrame, held: int = HELD_NAMES) -> DataFrame:
     """(id, org) distinct hits against a gazetteer table (column ``org``) of any size; see :func:`find_names`."""
-    return find_names(df, id_col, text, gazetteer, held).select(id_col, "org").distinct()
+
+    def runs(candidates: Callable[[Column], Column]) -> Column:
+        return F.array_distinct(F.transform(candidates(tx.tokens(text)), lambda c: F.struct(c["org"].alias("org"))))
+
+    return _sifted(df, id_col, gazetteer, held, runs).select(id_col, "org").distinct()
 
 
 def extract_with_model(
