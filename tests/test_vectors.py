@@ -158,6 +158,33 @@ def test_distributed_ward_rounds_equal_brute_force(spark, monkeypatch, threshold
     assert grouped([r["cluster"] for r in rows]) == brute_ward(units, threshold)
 
 
+@pytest.mark.parametrize("few", [0, 16])
+def test_ward_rounds_search_again_only_for_clusters_that_lost_their_nearest(spark, monkeypatch, few):
+    """Both searches, with blocks and with cells, give the clusters of one place; most neighbours are kept over a round."""
+    monkeypatch.setattr(cl, "AT_ONCE", 100)
+    monkeypatch.setattr(cl, "BLOCK", 16)
+    monkeypatch.setattr(cl, "FEW_BLOCKS", few)
+    asked, search = [], cl.nearest
+
+    def counted(asking, clusters, threshold, n):
+        asked.append((asking.count(), n))
+        return search(asking, clusters, threshold, n)
+
+    monkeypatch.setattr(cl, "nearest", counted)
+    m = random_vectors(160, seed=11)
+    units = m / np.linalg.norm(m, axis=1, keepdims=True)
+    rows = cl.agglomerative(frame(spark, m), "id", "v", 2.0).orderBy("id").collect()
+    assert grouped([r["cluster"] for r in rows]) == brute_ward(units, 2.0)
+    assert asked[0] == (160, 160) and len(asked) > 1 and all(a < n for a, n in asked[1:])
+
+
+def test_ward_in_one_place_over_nearly_equal_points():
+    """Distances that differ by rounding alone end the chain; places of merged clusters are given up."""
+    m = np.repeat(np.eye(3), 40, axis=0) + np.arange(120)[:, None] * 1e-17
+    m += np.random.default_rng(2).normal(scale=1e-16, size=m.shape)
+    assert grouped(cl.ward_labels(m, np.ones(120), 0.5)) == [list(range(0, 40)), list(range(40, 80)), list(range(80, 120))]
+
+
 @pytest.mark.parametrize("ascending", [False, True])
 def test_any_number_of_keywords(spark, ascending):
     """1,000 keywords over blocks of both sides, with repeated vectors as ties, a zero vector and missing values."""

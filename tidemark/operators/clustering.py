@@ -7,15 +7,16 @@ import types
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import vectors as vx
 from tidemark.operators import words as wd
 from tidemark.operators.ingest import chain_totals
 from tidemark.session import cut_lineage
 
-AT_ONCE = 2_000  # clusters that are merged in one place
+AT_ONCE = 8_192  # clusters that are merged in one place
 PIVOTS, BLOCK = 1_024, 512  # cells of a search for neighbours, centres of a block
+FEW_BLOCKS, WIDE_BLOCK = 16, 2_048  # up to so many blocks of so many centres are all compared
 
 
 def unit_vectors(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -86,25 +87,30 @@ def ward_labels(centres: np.ndarray, sizes: np.ndarray, threshold: float) -> np.
     """
     n = len(sizes)
     centre, weight = centres.astype("float64").copy(), sizes.astype("float64").copy()
-    alive, parent, chain = np.ones(n, dtype=bool), np.arange(n), []
+    square = (centre * centre).sum(axis=1)
+    name, alive, parent, chain = np.arange(n), np.ones(n, dtype=bool), np.arange(n), []
     merges: list[tuple[int, int, float]] = []
-    for _ in range(n - 1):
+    for left in range(n, 1, -1):
+        if 2 * left < len(name):  # places of clusters that are gone
+            kept = np.flatnonzero(alive)
+            chain = np.searchsorted(kept, chain).tolist()
+            centre, weight, square, name, alive = centre[kept], weight[kept], square[kept], name[kept], alive[kept]
         while True:
             if not chain:
                 chain.append(int(np.flatnonzero(alive)[0]))
             a = chain[-1]
-            gap = np.sum((centre - centre[a]) ** 2, axis=1)
+            gap = np.maximum(square + square[a] - 2 * (centre @ centre[a]), 0.0)
             distance = np.sqrt(2 * weight * weight[a] / (weight + weight[a]) * gap)
             distance[~alive] = np.inf
             distance[a] = np.inf
             b = int(np.argmin(distance))
-            if len(chain) > 1 and distance[chain[-2]] <= distance[b]:
+            if len(chain) > 1 and distance[chain[-2]] <= distance[b] * (1 + 1e-9) + 1e-7:  # both ways differ by rounding
                 b = chain[-2]
                 chain = chain[:-2]
-                merges.append((a, b, float(distance[b])))
+                merges.append((int(name[a]), int(name[b]), float(distance[b])))
                 total = weight[a] + weight[b]
                 centre[b] = (weight[a] * centre[a] + weight[b] * centre[b]) / total
-                weight[b], alive[a] = total, False
+                weight[b], alive[a], square[b] = total, False, centre[b] @ centre[b]
                 break
             chain.append(b)
     for a, b, height in merges:
@@ -122,6 +128,7 @@ def _find(parent: np.ndarray, i: int) -> int:
 
 
 CLUSTER = "id long, w double, c array<double>"
+BEST = "struct<d: double, low: bigint, high: bigint>"
 
 
 def _gaps(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> np.ndarray:
@@ -142,7 +149,7 @@ def _closest(rows: DataFrame) -> DataFrame:
         for pdf in batches:
             for r in pdf.itertuples():
                 q, x = np.asarray(r.q_ids), np.asarray(r.ids)
-                d = _gaps(np.stack(r.q_c), np.asarray(r.q_w), np.stack(r.c), np.asarray(r.w))
+                d = _gaps(np.asarray(r.q_c).reshape(len(q), -1), np.asarray(r.q_w), np.asarray(r.c).reshape(len(x), -1), np.asarray(r.w))
                 d[q[:, None] == x[None, :]] = np.inf
                 least = d.min(axis=1)
                 tied = np.where(d == least[:, None], x[None, :], np.iinfo(np.int64).max)
@@ -159,12 +166,31 @@ def _by_value(function):
     return types.FunctionType(function.__code__, namespace | {"__builtins__": builtins, "Iterator": Iterator}, function.__name__, None, function.__closure__)
 
 
-def nearest(clusters: DataFrame, threshold: float, n: int) -> DataFrame:
-    """(id, best): each cluster with its nearest pair (d, low, high), where one is nearer than ``threshold``.
+def _blocked(rows: DataFrame, blocks: Column | int, *by: str) -> DataFrame:
+    """(by, slot, ids, w, c): the clusters of each ``by``, dealt into ``blocks`` blocks by a hash of the id; centres end to end."""
+    fields = [F.collect_list("id").alias("ids"), F.collect_list("w").alias("w"), F.flatten(F.collect_list("c")).alias("c")]
+    return rows.withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(blocks) if isinstance(blocks, int) else blocks)).groupBy(*by, "slot").agg(*fields)
+
+
+def nearest(asking: DataFrame, clusters: DataFrame, threshold: float, n: int) -> DataFrame:
+    """(id, best): each of ``asking`` with its nearest pair (d, low, high) in ``clusters``, where one is nearer than ``threshold``.
+
+    ``asking`` are some of the ``n`` clusters. Blocks of both are compared with one product of matrices: all of them, if
+    there are only a few; else those which :func:`_nearest_in_cells` can't rule out.
+    """
+    if n > FEW_BLOCKS * WIDE_BLOCK:
+        return _nearest_in_cells(asking, clusters, threshold, n)
+    blocks = _blocked(clusters, -(-n // WIDE_BLOCK))
+    asked = _blocked(asking, -(-n // BLOCK)).select(F.col("ids").alias("q_ids"), F.col("w").alias("q_w"), F.col("c").alias("q_c"))
+    return _closest(asked.crossJoin(blocks.drop("slot"))).where(F.col("best.d") < threshold)
+
+
+def _nearest_in_cells(asking: DataFrame, clusters: DataFrame, threshold: float, n: int) -> DataFrame:
+    """:func:`nearest` for many clusters.
 
     At most PIVOTS of the centres are pivots, and every centre lies in the cell of its nearest pivot. The best of its
     own cell bounds its distance; of the other cells only those are searched whose pivot, radius and least weight
-    leave room below that bound. Cells are cut into blocks, and blocks are compared with one product of matrices.
+    leave room below that bound. Cells are cut into blocks.
     """
     wanted = min(PIVOTS, -(-n // BLOCK))
     chosen = clusters.orderBy(F.xxhash64("id"), "id").limit(wanted).select("c").collect()
@@ -177,15 +203,14 @@ def nearest(clusters: DataFrame, threshold: float, n: int) -> DataFrame:
                 d = np.sqrt(np.maximum((c * c).sum(axis=1)[:, None] + (pivots * pivots).sum(axis=1)[None, :] - 2 * (c @ pivots.T), 0.0))
                 yield pdf.assign(cell=d.argmin(axis=1), r=d.min(axis=1))
 
-    placed = cut_lineage(clusters.mapInPandas(place, f"{CLUSTER}, cell int, r double"))
+    named = clusters.select("id", "w", "c").join(asking.select("id", F.lit(True).alias("asks")), "id", "left")
+    placed = cut_lineage(named.mapInPandas(place, f"{CLUSTER}, asks boolean, cell int, r double"))
     cells = {r["cell"]: r for r in placed.groupBy("cell").agg(F.max("r").alias("r"), F.min("w").alias("w"), F.count("*").alias("n")).collect()}
     counts = F.create_map(*[F.lit(x) for k, r in cells.items() for x in (k, -(-r["n"] // BLOCK))])
-    fields = [F.collect_list("id").alias("ids"), F.collect_list("w").alias("w"), F.collect_list("c").alias("c")]
-    blocks = placed.withColumn("slot", F.pmod(F.xxhash64("id"), counts[F.col("cell")])).groupBy("cell", "slot").agg(*fields)
-    blocks = cut_lineage(blocks)
-    asking = [F.col(c).alias(f"q_{c}") for c in ("ids", "w", "c")]
-    inside = _closest(blocks.select("cell", *asking).join(blocks, "cell").drop("cell", "slot"))
-    inside = cut_lineage(inside)
+    blocks = cut_lineage(_blocked(placed, counts[F.col("cell")], "cell"))
+    known = placed.where("asks")
+    asked = _blocked(known, counts[F.col("cell")], "cell").select("cell", *[F.col(c).alias(f"q_{c}") for c in ("ids", "w", "c")])
+    inside = cut_lineage(_closest(asked.join(blocks, "cell").drop("cell", "slot")))
     at = np.array(sorted(cells))
     radius, least = np.array([cells[k]["r"] for k in at]), np.array([cells[k]["w"] for k in at])
     centres = pivots[at]
@@ -204,11 +229,11 @@ def nearest(clusters: DataFrame, threshold: float, n: int) -> DataFrame:
             row, cell = np.nonzero((low <= bound[:, None]) & (at[None, :] != pdf["cell"].to_numpy()[:, None]))
             for k in np.unique(cell):
                 own = row[cell == k]
-                yield pd.DataFrame({"cell": [int(at[k])], "q_ids": [pdf["id"].to_numpy()[own]], "q_w": [w[own]], "q_c": [list(c[own])]})
+                yield pd.DataFrame({"cell": [int(at[k])], "q_ids": [pdf["id"].to_numpy()[own]], "q_w": [w[own]], "q_c": [c[own].ravel()]})
 
-    known = placed.join(inside.select("id", F.col("best.d").alias("d")), "id", "left").select("id", "w", "c", "cell", "d")
+    known = known.join(inside.select("id", F.col("best.d").alias("d")), "id", "left").select("id", "w", "c", "cell", "d")
     asked = known.repartition("cell").sortWithinPartitions("cell", "id")
-    asked = asked.mapInPandas(reach, "cell int, q_ids array<long>, q_w array<double>, q_c array<array<double>>")
+    asked = asked.mapInPandas(reach, "cell int, q_ids array<long>, q_w array<double>, q_c array<double>")
     outside = _closest(asked.join(blocks, "cell").drop("cell", "slot"))
     both = inside.unionByName(outside).groupBy("id").agg(F.min("best").alias("best"))
     return both.where(F.col("best.d") < threshold)
@@ -220,8 +245,8 @@ def agglomerative(
     """(key, cluster) by Ward linkage with a distance threshold and no fixed number of clusters.
 
     Equal vectors are one weighted point. Ward distances are reducible, so in each round all pairs of clusters that are
-    nearest to each other merge at once; rounds go on over all tasks until at most AT_ONCE clusters are left or no two
-    are nearer than the threshold. Those few are then merged in one place. The result is that of merging the closest
+    nearest to each other merge at once, and only clusters that are new or have lost their nearest one search again; rounds
+    go on over all tasks until at most AT_ONCE clusters are left or no two are nearer than the threshold. Those few are then merged in one place. The result is that of merging the closest
     pair again and again, whatever the number of vectors. Zero vectors are left out; no rows give no rows.
 
     ``micro``: condense the vectors by k-means to so many weighted centres first (an approximation, for callers who
@@ -233,27 +258,37 @@ def agglomerative(
     if micro is not None:
         return _condensed(units, key, threshold, micro, seed)
     points = cut_lineage(units.groupBy(F.col("unit").alias("c")).agg(F.count("*").cast("double").alias("w")).withColumn("id", F.monotonically_increasing_id()))
-    clusters, merged, n = points.select("id", "w", "c"), None, points.count()
+    n = points.count()
+    clusters, merged = points.select("id", "w", "c", F.lit(None).cast(BEST).alias("best"), F.lit(True).alias("asks")), None
     while n > AT_ONCE:
-        near = cut_lineage(nearest(clusters, threshold, n))
-        mutual = near.groupBy("best").count().where("count = 2").select("best.low", "best.high")
-        if mutual.isEmpty():
-            closest = near.agg(F.min("best").alias("best")).where("best IS NOT NULL")  # ties that rounding has made unequal
-            mutual = closest.select("best.low", "best.high")
-            if mutual.isEmpty():
+        found = nearest(clusters.where("asks").select("id", "w", "c"), clusters, threshold, n).withColumnRenamed("best", "_new")
+        clusters = cut_lineage(clusters.join(found, "id", "left").select("id", "w", "c", F.coalesce("best", "_new").alias("best")))
+        mutual = clusters.groupBy("best.low", "best.high").count().where("count = 2 AND low IS NOT NULL")
+        mutual = cut_lineage(mutual.select("low", "high"))
+        pairs = mutual.count()
+        if not pairs:
+            closest = clusters.agg(F.min("best").alias("best")).where("best IS NOT NULL")  # ties
+            mutual = cut_lineage(closest.select("best.low", "best.high"))
+            pairs = mutual.count()
+            if not pairs:
                 break
-        mutual = cut_lineage(mutual)
         steps = mutual.select(F.col("high").alias("key"), F.col("low").alias("next"))
         merged = steps if merged is None else merged.unionAll(steps)
-        joined = clusters.join(steps, F.col("id") == F.col("key"), "left").withColumn("id", F.coalesce("next", "id"))
+        # Merging brings no two clusters nearer than one of their parts was, so a nearest one that is left stays the nearest.
+        other = F.when(F.col("id") == F.col("best.low"), F.col("best.high")).otherwise(F.col("best.low"))
+        gone = mutual.select(F.explode(F.array("low", "high")).alias("_gone"))
+        joined = clusters.withColumn("_other", other).join(gone, F.col("_other") == F.col("_gone"), "left")
+        joined = joined.withColumn("asks", F.col("_gone").isNotNull()).withColumn("best", F.when(~F.col("asks"), F.col("best")))
+        joined = joined.join(steps, F.col("id") == F.col("key"), "left").withColumn("id", F.coalesce("next", "id"))
         share = lambda x, y, total: F.zip_with(x["c"], y["c"], lambda a, b: (x["w"] * a + y["w"] * b) / total)
-        pair = F.array_sort(F.collect_list(F.struct("w", "c"))).alias("pair")
-        both = joined.groupBy("id").agg(pair)
+        both = joined.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("w", "c", "best", "asks"))).alias("pair"))
         x, y = F.get("pair", F.lit(0)), F.get("pair", F.lit(1))
         total = x["w"] + y["w"]
         alone = F.size("pair") == 1
-        clusters = cut_lineage(both.select("id", F.when(alone, x["w"]).otherwise(total).alias("w"), F.when(alone, x["c"]).otherwise(share(x, y, total)).alias("c")))
-        n = clusters.count()
+        weight, centre = F.when(alone, x["w"]).otherwise(total).alias("w"), F.when(alone, x["c"]).otherwise(share(x, y, total)).alias("c")
+        state = [F.when(alone, x["best"]).alias("best"), F.when(alone, x["asks"]).otherwise(True).alias("asks")]
+        clusters = cut_lineage(both.select("id", weight, centre, *state))
+        n -= pairs
     if n <= AT_ONCE:
         held = clusters.orderBy("id").collect()
         labels = ward_labels(np.array([r["c"] for r in held]), np.array([r["w"] for r in held]), threshold)
