@@ -288,3 +288,21 @@ def test_fingerprint_ranges_follow_the_rows(spark, monkeypatch):
         edited = text[: len(text) - cut] + order[(n + 1) % len(order)][1][:cut]
         want.add((i, len(text), hashlib.sha256(edited.encode()).hexdigest()))
     assert got == want
+
+
+def test_answers_are_a_row_for_a_bucket_and_request_and_not_for_a_cell(spark):
+    """60 sets in several requests and buckets; two sets of other requests share 9 of 10 tokens, the rest nothing."""
+    mixed = jaccard._mix(np.arange(600, dtype=np.uint64) * jaccard.STEP).reshape(60, 10)
+    mixed[59, :9] = mixed[0, :9]
+    names = [f"{k:x}" for k in range(60)]
+    frame = spark.createDataFrame([(n, t.view(np.int64).tolist()) for n, t in zip(names, mixed, strict=True)], "name string, tokens array<long>").coalesce(1)
+
+    def read(batch):
+        for name, tokens in zip(batch["name"], batch["tokens"], strict=True):
+            yield name, np.asarray(tokens, np.int64).view(np.uint64)
+
+    halves = [frame.where(F.conv("name", 16, 10).cast("int") < 30), frame.where(F.conv("name", 16, 10).cast("int") >= 30)]
+    requests = jaccard._requests(halves[0].unionAll(halves[1]), 4, read)
+    assert requests.count() > 2 and jaccard._answers(requests).count() <= requests.count()
+    assert sorted(r["name"] for r in jaccard._open(requests, 80).collect()) == ["0", "3b"]
+    assert jaccard._open(requests, 91).count() == 0

@@ -165,44 +165,62 @@ def _requests(rows: DataFrame, buckets: int, read: Callable[[pd.DataFrame], Iter
     return rows.mapInPandas(ask, REQUEST)
 
 
+ANSWER = "request long, cells binary, shared binary, least binary, names string"
+
+
 def _answers(requests: DataFrame) -> DataFrame:
-    """(cell, shared, least, name): tokens of each cell that other groups have as well, a row for every bucket with some."""
+    """What each bucket answers to each request, a row for every request with tokens that other groups have as well.
+
+    ``cells`` are the numbers of the cells in the request and ``shared`` how many such tokens each has. A request's own
+    row comes with them, with all its cells.
+    """
+    columns = [c.split()[0] for c in ANSWER.split(", ")]
 
     def count(batch: pd.DataFrame) -> pd.DataFrame:
         if batch["bucket"].iloc[0] < 0:
             row = batch.iloc[0]
-            names = row["names"].split("\n")
-            cells = [(int(row["request"]) << 20) + k for k in range(len(names))]
-            return pd.DataFrame({"cell": cells, "shared": np.frombuffer(row["counts"], np.int64), "least": np.frombuffer(row["groups"], np.int64), "name": names})
-        cells, groups, owners, tokens, base = [], [], [], [], 0
+            return pd.DataFrame([(row["request"], None, row["counts"], row["groups"], row["names"])], columns=columns)
+        cells, groups, owners, tokens, ends = [], [], [], [], [0]
         for row in batch.itertuples():
-            cells.append((row.request << 20) + np.frombuffer(row.cells, np.uint32).astype(np.int64))
+            cells.append(np.frombuffer(row.cells, np.uint32))
             groups.append(np.frombuffer(row.groups, np.int64))
-            owners.append(base + np.repeat(np.arange(len(cells[-1])), np.frombuffer(row.counts, np.uint32)))
+            owners.append(ends[-1] + np.repeat(np.arange(len(cells[-1])), np.frombuffer(row.counts, np.uint32)))
             tokens.append(np.frombuffer(row.tokens, np.uint32))
-            base += len(cells[-1])
+            ends.append(ends[-1] + len(cells[-1]))
         several = np.unique(np.concatenate([np.frombuffer(s, np.uint32) for s in batch["several"]]))
-        cell, group = np.concatenate(cells), np.concatenate(groups)
+        group = np.concatenate(groups)
         keys = np.concatenate(tokens).astype(np.uint64) << np.uint64(32) | np.concatenate(owners).astype(np.uint64)
         if not len(keys):
-            return pd.DataFrame({"cell": [], "shared": [], "least": [], "name": []}).astype({"cell": "int64", "shared": "int64"})
+            return pd.DataFrame([], columns=columns)
         keys.sort()
         token, owner = (keys >> np.uint64(32)).astype(np.uint32), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
         starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         by = group[owner]
         differ = np.minimum.reduceat(by, starts) != np.maximum.reduceat(by, starts)
         differ |= np.isin(token[starts], several)
-        shared = np.bincount(owner[np.repeat(differ, np.diff(np.append(starts, len(token))))], minlength=len(cell))
-        some = shared > 0
-        return pd.DataFrame({"cell": cell[some], "shared": shared[some], "least": None, "name": None})
+        shared = np.bincount(owner[np.repeat(differ, np.diff(np.append(starts, len(token))))], minlength=len(group)).astype(np.int64)
+        found = []
+        for request, own, lo, hi in zip(batch["request"], cells, ends[:-1], ends[1:], strict=True):
+            some = shared[lo:hi] > 0
+            if some.any():
+                found.append((request, own[some].tobytes(), shared[lo:hi][some].tobytes(), None, None))
+        return pd.DataFrame(found, columns=columns)
 
-    return requests.groupBy("bucket").applyInPandas(count, "cell long, shared long, least long, name string")
+    return requests.groupBy("bucket").applyInPandas(count, ANSWER)
 
 
 def _open(requests: DataFrame, percent: int) -> DataFrame:
     """(name): groups that may be linked to another group, as other groups have enough of their tokens."""
-    cells = _answers(requests).groupBy("cell").agg(F.sum("shared").alias("shared"), F.max("least").alias("least"), F.max("name").alias("name"))
-    return cells.where(F.col("shared") >= _need(F.col("least"), percent)).select("name").distinct()
+
+    def added(batch: pd.DataFrame) -> pd.DataFrame:
+        own = batch[batch["names"].notna()].iloc[0]
+        shared, least = np.frombuffer(own["shared"], np.int64).copy(), np.frombuffer(own["least"], np.int64)
+        for row in batch[batch["names"].isna()].itertuples():
+            shared[np.frombuffer(row.cells, np.uint32)] += np.frombuffer(row.shared, np.int64)
+        enough = shared >= -(-least * percent // 100)
+        return pd.DataFrame({"name": np.array(own["names"].split("\n"), object)[enough]})
+
+    return _answers(requests).groupBy("request").applyInPandas(added, "name string").distinct()
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
