@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import language, mixing, near_dedup, packing, queries, secrets
 from tidemark.llm.common import remainder, table
 from tidemark.session import run_folder
 
+PLACE = "mix_place"
+
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a determined language (null, or no letter) go."""
@@ -33,9 +36,19 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.in_order(docs)
 
 
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with PLACE, a number that grows in the order their rows were written in: by part, file of it and row."""
+    try:
+        named = docs.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:  # not read from files
+        return docs.withColumn(PLACE, F.monotonically_increasing_id())
+    part, nth = (F.coalesce(F.try_to_number(F.regexp_extract("_file", p, 1), F.lit("9" * 9)).cast("long"), F.lit(0)) for p in (r"^part-(\d+)", r"c(\d+)\."))
+    return named.withColumn(PLACE, F.shiftleft(F.shiftleft(part, 12) + nth, 32) + F.col("_row")).drop("_file", "_row")
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 1024 tokens with their place in a sequence."""
-    return queries.packed(docs)
+    """Pieces of at most 1024 tokens with their place in a sequence; the sequences are numbered in the order of the mixture."""
+    return queries.packed(placed(docs), PLACE)
 
 
 STAGES = [

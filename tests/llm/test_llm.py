@@ -487,6 +487,22 @@ def test_pipeline(spark, data, docs):
         frame = after
 
 
+def test_packing_numbers_its_sequences_in_the_order_of_the_mixture(spark, tmp_path):
+    """The same documents in another order, written and read again, give other sequence numbers and the same packing."""
+    docs = spark.createDataFrame([(i, "s", "word " * (3 + i * 37 % 700)) for i in range(300)], "doc_id long, source string, text string")
+    for name, order in (("up", F.col("doc_id")), ("down", F.col("doc_id").desc())):
+        docs.repartition(5).orderBy(order).write.parquet(f"{tmp_path}/{name}")
+        rows = corpus_pipeline.packed(spark, spark.read.parquet(f"{tmp_path}/{name}"), "").collect()
+        first = {}
+        for r in rows:
+            at = r.doc_id if name == "up" else -r.doc_id
+            first[r.sequence_id] = min(at, first.get(r.sequence_id, at))
+        assert sorted(first) == list(range(len(first))) and len(first) > 20
+        assert [first[k] for k in sorted(first)] == sorted(first.values())
+        assert sorted(r.doc_id for r in rows if r.piece == 0) == list(range(300))
+    assert corpus_pipeline.packed(spark, docs, "").count() == len(rows)  # rows that are in no file
+
+
 def test_pipeline_of_no_rows(spark, empty):
     frame = empty.drop("_row", "slot", "kept")
     for _, stage in corpus_pipeline.STAGES:

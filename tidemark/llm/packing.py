@@ -56,12 +56,14 @@ def encoder(tokenizer_path: str, ranks_path: str, pattern: str, added: list[str]
 
 
 def token_pieces(
-    docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str, end_id: int = END, capacity: int = CAPACITY
+    docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str, end_id: int = END, capacity: int = CAPACITY,
+    place: str | None = None,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids): each document's ids and ``end_id``, cut only where over ``capacity``.
 
     ``ids`` are little-endian unsigned 32-bit numbers in one binary value. The first piece takes what does not
     fill a piece. Null text counts as empty: one piece with ``end_id`` alone. Texts are read whole.
+    ``place``: a whole number of each document that its pieces keep.
     """
     last = np.array([end_id], "<u4").tobytes()
     added = added_tokens(tokenizer_path)
@@ -71,14 +73,15 @@ def token_pieces(
         held: list[tuple] = []
         size = 0
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"].fillna(""), strict=True):
+            kept = batch[place] if place else [None] * len(batch)
+            for doc_id, text, at in zip(batch["doc_id"], batch["text"].fillna(""), kept, strict=True):
                 ids = encode(text) + last
                 total = len(ids) // 4
                 size += len(ids)
                 end, piece = (total - 1) % capacity + 1, 0
                 start = 0
                 while start < total:
-                    held.append((doc_id, piece, start, end - start, ids[4 * start : 4 * end]))
+                    held.append((doc_id, piece, start, end - start, ids[4 * start : 4 * end], at))
                     start, end, piece = end, end + capacity, piece + 1
                 if size > FLUSH:
                     yield frame(held)
@@ -87,11 +90,12 @@ def token_pieces(
             yield frame(held)
 
     def frame(held: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(held, columns=["doc_id", "piece", "start", "length", "ids"])
+        found = pd.DataFrame(held, columns=["doc_id", "piece", "start", "length", "ids", place or "_"])
+        return found if place else found.drop(columns="_")
 
     common.small_batches(docs.sparkSession)
-    schema = "doc_id string, piece int, start long, length long, ids binary"
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")  # pandas would round ids beside a null
+    schema = "doc_id string, piece int, start long, length long, ids binary" + (f", {place} long" if place else "")
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", *[place] * bool(place))  # pandas would round ids beside a null
     return rows.mapInPandas(cut, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -141,13 +145,13 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
     return np.array(sorted(placed), dtype=np.int64).reshape(-1, 5)
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, place: str | None = None) -> DataFrame:
     """``pieces`` with (sequence_id, offset): a place for each, gapless from 0 in its sequence.
 
     ``pieces`` needs doc_id, piece and length (1 to ``capacity``); other columns stay. It is read several times
     and is written to the shared folder first. The driver sees one count per length; items are numbered within
     their length by many tasks, and each looks its place up in the plan (a few thousand rows, a fixed bound).
-    An empty table gives no rows.
+    An empty table gives no rows. ``place``: a column whose least value in a sequence gives the sequences their order.
     """
     pieces = cut_lineage(pieces)
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
@@ -159,7 +163,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     starts = base[steps[:, 0]] + steps[:, 1]
 
     @F.pandas_udf("sequence_id long, offset long")
-    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
+    def look_up(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
         item = base[length.to_numpy()] + rank.to_numpy()
         step = np.searchsorted(starts, item, side="right") - 1
         nth = item - starts[step]
@@ -169,5 +173,21 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     order = [F.col("doc_id"), F.col("piece")]
     rows = pieces.select(F.struct("*").alias("_row"), "doc_id", "piece", "length")
     rows = common.ranked(rows, "length", common.unit_hash(*order), order, "_rank", small_groups=True)
-    placed = rows.select("_row", place("length", "_rank").alias("_at"))
-    return placed.select("_row.*", "_at.sequence_id", "_at.offset")
+    placed = rows.select("_row", look_up("length", "_rank").alias("_at"))
+    placed = placed.select("_row.*", "_at.sequence_id", "_at.offset")
+    return placed if place is None else _numbered(cut_lineage(placed), place)
+
+
+def _numbered(placed: DataFrame, place: str) -> DataFrame:
+    """``placed`` with its sequences numbered from 0 in the order of the least ``place`` in each."""
+    firsts = placed.groupBy("sequence_id").agg(F.min(place).alias("_first")).orderBy("_first", "sequence_id")
+    firsts = cut_lineage(firsts.select("sequence_id", F.monotonically_increasing_id().alias("_id")))
+    task = F.shiftright("_id", 33)  # the upper bits name the task, the lower ones count its rows
+    counts = sorted((r["task"], r["count"]) for r in firsts.groupBy(task.alias("task")).count().collect())
+    before = np.cumsum([0, *[n for _, n in counts]]).tolist()
+    if not counts:
+        return placed
+    offsets = F.create_map(*[F.lit(x) for (k, _), n in zip(counts, before, strict=False) for x in (k, n)])
+    number = (offsets[task] + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).cast("long")
+    columns = [F.col("_number").alias(c) if c == "sequence_id" else F.col(c) for c in placed.columns]
+    return placed.join(firsts.select("sequence_id", number.alias("_number")), "sequence_id").select(*columns)

@@ -100,9 +100,10 @@ def op3(spark: SparkSession, root: str) -> DataFrame:
     return packed(table(spark, root, "documents"))
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    pieces = packing.token_pieces(docs, *byte_bpe())
-    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+def packed(docs: DataFrame, place: str | None = None) -> DataFrame:
+    pieces = packing.token_pieces(docs, *byte_bpe(), place=place)
+    kept = [place] * bool(place)
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), *kept), place=place)
 
 
 @query("op4_toxicity")
