@@ -94,6 +94,11 @@ def test_time_series_adds_no_shuffle_to_a_table_hashed_by_id(spark, data):
     assert plan_of(wd.word_time_series(docs, F.col("text"), "doc_id")).count("Exchange") == 1
 
 
+def test_time_series_moves_texts_once_and_no_words(spark, data, no_broadcast):
+    plan = plan_of(registry.QUERIES["word_time_series"](spark, data))
+    assert plan.count("Exchange hashpartitioning") == 2 and "word#" not in "".join(line for line in plan.split("\n") if "Exchange" in line)
+
+
 @pytest.mark.parametrize("name", ["related_words_topk", "cluster_top_words"])
 def test_top_k_is_cut_before_the_shuffle(spark, data, name):
     plan = plan_of(registry.QUERIES[name](spark, data))
