@@ -48,7 +48,7 @@ def placed(docs: DataFrame) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 tokens with their place in a sequence; the sequences are numbered in the order of the mixture."""
-    return queries.packed(placed(docs), PLACE)
+    return queries.packed(placed(docs), PLACE).drop(PLACE)
 
 
 STAGES = [
