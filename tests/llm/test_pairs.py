@@ -4,10 +4,12 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import oracle
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -306,3 +308,34 @@ def test_answers_are_a_row_for_a_bucket_and_request_and_not_for_a_cell(spark):
     assert requests.count() > 2 and jaccard._answers(requests).count() <= requests.count()
     assert sorted(r["name"] for r in jaccard._open(requests, 80).collect()) == ["0", "3b"]
     assert jaccard._open(requests, 91).count() == 0
+
+
+def test_a_bucket_of_the_matrix_is_never_sorted_as_a_whole():
+    rng = np.random.default_rng(3)
+    cells, per_cell, n = 200, 5_000, 1_000_000
+    tokens = rng.integers(0, 400_000, n, dtype=np.uint32)
+    groups = np.arange(cells, dtype=np.int64) // 2
+    several = np.unique(rng.integers(0, 400_000, 1_000, dtype=np.uint32))
+    where = collections.defaultdict(set)
+    for k, token in enumerate(tokens.tolist()):
+        where[token].add(k // per_cell // 2)
+    known = set(several.tolist())
+    want = np.zeros(cells, np.int64)
+    for k, token in enumerate(tokens.tolist()):
+        want[k // per_cell] += len(where[token]) > 1 or token in known
+    whole = tokens.reshape(10, -1)
+    batch = [
+        (0, r, np.arange(20, dtype=np.uint32).tobytes(), groups[20 * r :][:20].tobytes(), np.full(20, per_cell, np.uint32).tobytes(),
+         whole[r].tobytes(), several.tobytes() if r == 4 else b"", None)
+        for r in range(10)
+    ]
+    frame = pd.DataFrame(batch, columns=[c.split()[0] for c in jaccard.REQUEST.split(", ")])
+    tracemalloc.start()
+    answers = jaccard._counted(frame)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = np.zeros(cells, np.int64)
+    for r in answers.itertuples():
+        got[20 * r.request + np.frombuffer(r.cells, np.uint32)] = np.frombuffer(r.shared, np.int64)
+    assert got.tolist() == want.tolist()
+    assert peak < 40 * n  # bytes; the whole bucket sorted at once took 61 a token

@@ -23,6 +23,7 @@ KEYS = 6  # finer group keys of a set
 WORDS_AT_ONCE = 1 << 16
 BLOCK_TOKENS = 1 << 20  # tokens of the sets that one request of the matrix holds
 BUCKET_TOKENS = 1 << 22  # tokens of the matrix that one task holds
+SLICE_TOKENS = 1 << 18  # of these, so many are sorted at once
 OWNER = np.uint64(20)
 CELL_SETS, CELL_TOKENS = 64, 1 << 16
 BITMAP = 1 << 27  # bits, 16 MiB
@@ -165,48 +166,64 @@ def _requests(rows: DataFrame, buckets: int, read: Callable[[pd.DataFrame], Iter
     return rows.mapInPandas(ask, REQUEST)
 
 
+def _shared(token: np.ndarray, owner: np.ndarray, group: np.ndarray, several: np.ndarray) -> np.ndarray:
+    """How many tokens of each owner also another group has, or are in ``several`` (sorted).
+
+    Tokens are compared residue by residue, about SLICE_TOKENS at a time, so the sorted copy of a bucket never exists.
+    """
+    shared = np.zeros(len(group), np.int64)
+    slices = np.uint32(-(-len(token) // SLICE_TOKENS))
+    for part in range(slices):
+        here = np.flatnonzero(token % slices == part)
+        if not len(here):
+            continue
+        keys = token[here].astype(np.uint64) << np.uint64(32) | owner[here]
+        keys.sort()
+        own = (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        keys >>= np.uint64(32)
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        by = group[own]
+        differ = np.minimum.reduceat(by, starts) != np.maximum.reduceat(by, starts)
+        differ |= np.isin(keys[starts], several)
+        shared += np.bincount(own[np.repeat(differ, np.diff(np.append(starts, len(keys))))], minlength=len(group))
+    return shared
+
+
 ANSWER = "request long, cells binary, shared binary, least binary, names string"
 
 
+def _counted(batch: pd.DataFrame) -> pd.DataFrame:
+    """Answers of one bucket to all its requests."""
+    columns = [c.split()[0] for c in ANSWER.split(", ")]
+    if batch["bucket"].iloc[0] < 0:
+        row = batch.iloc[0]
+        return pd.DataFrame([(row["request"], None, row["counts"], row["groups"], row["names"])], columns=columns)
+    cells = [np.frombuffer(c, np.uint32) for c in batch["cells"]]
+    ends = np.cumsum([0, *map(len, cells)])
+    group = np.concatenate([np.frombuffer(g, np.int64) for g in batch["groups"]])
+    token = np.concatenate([np.frombuffer(t, np.uint32) for t in batch["tokens"]])
+    counts = np.concatenate([np.frombuffer(c, np.uint32) for c in batch["counts"]])
+    several = np.unique(np.concatenate([np.frombuffer(s, np.uint32) for s in batch["several"]]))
+    requests = batch["request"].tolist()
+    del batch
+    if not len(token):
+        return pd.DataFrame([], columns=columns)
+    shared = _shared(token, np.repeat(np.arange(len(group), dtype=np.uint32), counts), group, several)
+    found = []
+    for request, own, lo, hi in zip(requests, cells, ends[:-1], ends[1:], strict=True):
+        some = shared[lo:hi] > 0
+        if some.any():
+            found.append((request, own[some].tobytes(), shared[lo:hi][some].tobytes(), None, None))
+    return pd.DataFrame(found, columns=columns)
+
+
 def _answers(requests: DataFrame) -> DataFrame:
     """What each bucket answers to each request, a row for every request with tokens that other groups have as well.
 
     ``cells`` are the numbers of the cells in the request and ``shared`` how many such tokens each has. A request's own
     row comes with them, with all its cells.
     """
-    columns = [c.split()[0] for c in ANSWER.split(", ")]
-
-    def count(batch: pd.DataFrame) -> pd.DataFrame:
-        if batch["bucket"].iloc[0] < 0:
-            row = batch.iloc[0]
-            return pd.DataFrame([(row["request"], None, row["counts"], row["groups"], row["names"])], columns=columns)
-        cells, groups, owners, tokens, ends = [], [], [], [], [0]
-        for row in batch.itertuples():
-            cells.append(np.frombuffer(row.cells, np.uint32))
-            groups.append(np.frombuffer(row.groups, np.int64))
-            owners.append(ends[-1] + np.repeat(np.arange(len(cells[-1])), np.frombuffer(row.counts, np.uint32)))
-            tokens.append(np.frombuffer(row.tokens, np.uint32))
-            ends.append(ends[-1] + len(cells[-1]))
-        several = np.unique(np.concatenate([np.frombuffer(s, np.uint32) for s in batch["several"]]))
-        group = np.concatenate(groups)
-        keys = np.concatenate(tokens).astype(np.uint64) << np.uint64(32) | np.concatenate(owners).astype(np.uint64)
-        if not len(keys):
-            return pd.DataFrame([], columns=columns)
-        keys.sort()
-        token, owner = (keys >> np.uint64(32)).astype(np.uint32), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        by = group[owner]
-        differ = np.minimum.reduceat(by, starts) != np.maximum.reduceat(by, starts)
-        differ |= np.isin(token[starts], several)
-        shared = np.bincount(owner[np.repeat(differ, np.diff(np.append(starts, len(token))))], minlength=len(group)).astype(np.int64)
-        found = []
-        for request, own, lo, hi in zip(batch["request"], cells, ends[:-1], ends[1:], strict=True):
-            some = shared[lo:hi] > 0
-            if some.any():
-                found.append((request, own[some].tobytes(), shared[lo:hi][some].tobytes(), None, None))
-        return pd.DataFrame(found, columns=columns)
-
-    return requests.groupBy("bucket").applyInPandas(count, ANSWER)
+    return requests.groupBy("bucket").applyInPandas(_counted, ANSWER)
 
 
 def _open(requests: DataFrame, percent: int) -> DataFrame:
