@@ -178,6 +178,28 @@ def test_mix_of_more_sources_than_the_period(spark):
     assert all(where[r.slot] == (r.source, r.block) for r in rows)
 
 
+@pytest.mark.parametrize(("group", "n"), [(1, 6), (7, 60), (4_096, 60)])
+def test_schedule_is_the_same_for_any_number_of_sources(spark, monkeypatch, group, n):
+    drawn = np.random.default_rng(group).choice([1, 1, 1, 2, 3, 7, 40], n)
+    parts = [(None, 11), *((f"s{k:02}", int(p)) for k, p in enumerate(drawn))]
+    df = spark.createDataFrame(parts, "source string, parts long")
+    want = sorted(mixing.schedule(df).collect(), key=lambda r: r.slot)
+    monkeypatch.setattr(mixing, "PERIOD", n)
+    monkeypatch.setattr(mixing, "GROUP_SLOTS", group)
+    monkeypatch.setattr(mixing.common, "ROWS_PER_BUCKET", 16)
+    assert sorted(mixing.schedule(df).collect(), key=lambda r: r.slot) == want
+
+
+def test_no_source_of_many_is_a_block_off_its_weight(spark):
+    sizes = [("hot", 400_000), *((f"host{k:04}", 1_000 + 37 * k) for k in range(1_200))]
+    parts = mixing.tempered_parts(spark.createDataFrame(sizes, "source string, bytes long"))
+    plan = mixing.schedule(parts).collect()
+    h = plan[0].period
+    assert h == 12_010 == len({r.slot for r in plan})
+    for r in plan:  # within its window, a block starts after its release and ends before its due
+        assert r.nth * h // r.parts <= r.slot < -(-(r.nth + 1) * h // r.parts)
+
+
 def check_packing(rows, texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)

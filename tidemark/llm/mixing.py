@@ -12,20 +12,24 @@ PERIOD = 1_000
 BLOCK_BYTES = 4_096
 TEMPER = 0.9
 PARTS_PER_SOURCE = 10
+GROUP_SLOTS = 4_096  # slots of a group that one task halves on its own
 
 
 def tempered_parts(sizes: DataFrame, temper: float = TEMPER, period: int = PERIOD) -> DataFrame:
     """(source, parts): a source's share of the bytes to the power ``temper``, in whole parts of ``period``.
 
     Every source gets one part; the others are dealt by largest remainder (ties by name). With more sources than
-    ``period``, the parts follow the number of sources, PARTS_PER_SOURCE each on average: one part and the nearest
-    whole number to the share of the others, so no step sees all sources in one task.
+    ``period``, PARTS_PER_SOURCE each are dealt by the same rule, and remainders are ranked by ranges, not in one task.
     """
     weight = F.pow(F.col("bytes").cast("double"), F.lit(temper))
     n, total = sizes.agg(F.count("*"), F.sum(weight)).first()
     if n > period:
-        share = weight / F.lit(total) * F.lit((PARTS_PER_SOURCE - 1) * n)
-        return sizes.select("source", (F.floor(share + 0.5) + 1).cast("long").alias("parts"))
+        period = PARTS_PER_SOURCE * n
+        shared = sizes.select("source", (weight / F.lit(total) * F.lit(period - n)).alias("_x"))
+        shared = shared.select("source", F.floor("_x").alias("_whole"), (F.col("_x") - F.floor("_x")).alias("_rest"))
+        shared = _numbered(shared, "_rank", F.round("_rest", 9).desc(), F.col("source").asc_nulls_first())
+        spare = period - n - shared.agg(F.sum("_whole")).first()[0]
+        return shared.select("source", (F.col("_whole") + 1 + (F.col("_rank") < spare).cast("long")).cast("long").alias("parts"))
     all_rows = Window.partitionBy(F.lit(0))
     shared = sizes.select(
         "source", F.count("*").over(all_rows).alias("_n"), (weight / F.sum(weight).over(all_rows)).alias("_w")
@@ -43,10 +47,10 @@ def schedule(parts: DataFrame) -> DataFrame:
     Block i of a source with weight w = parts / period is released at floor(i / w) and due at ceil((i + 1) / w);
     each slot goes to the released block that is due first (ties by name). All blocks meet their dues, so after any
     number of slots a source is less than one block from its weight. The next period repeats the slots.
-    More than PERIOD sources go to :func:`spread_schedule`.
+    Up to PERIOD sources are scheduled slot by slot; more of them get the same slots from :func:`halved_schedule`.
     """
     if parts.count() > PERIOD:
-        return spread_schedule(parts)
+        return halved_schedule(parts)
     listed = parts.groupBy().agg(F.sort_array(F.collect_list(F.struct("source", "parts"))).alias("_s"))
     listed = listed.where(F.size("_s") > 0)
     period = F.aggregate("_s", F.lit(0).cast("long"), lambda a, s: a + s["parts"])
@@ -77,24 +81,102 @@ def schedule(parts: DataFrame) -> DataFrame:
     return each.select(F.col("_x.source").alias("source"), nth.alias("nth"), "slot", F.col("_x.parts").alias("parts"), "period")
 
 
-def spread_schedule(parts: DataFrame) -> DataFrame:
-    """Like :func:`schedule` for any number of sources; each block's time is computed on its own and ranked.
+def _numbered(df: DataFrame, out: str, *order: Column) -> DataFrame:
+    """``df`` with ``out``: the gapless place of each row (from 0) in the whole order, by one exchange by ranges."""
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    held = cut_lineage(sorted_.withColumn("_id", F.monotonically_increasing_id()))
+    task = F.shiftright("_id", 33).alias("_task")
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = held.groupBy(task).agg(F.count("*").alias("_c")).select("_task", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_first"))
+    placed = held.withColumn("_task", task).join(F.broadcast(tasks), "_task")
+    return placed.withColumn(out, F.col("_first") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_task", "_first", "_id")
 
-    A block's time lies between its release and its due. The m sources of equal parts p take turns, in the order of
-    a hash of the name: block i of the r-th is at (i * m + r + 1/2) / (m * p) of the period. The blocks of such a
-    class are thus evenly spaced, and the slot of a block is off its time by at most one for each class. Parts are
-    whole, so a period h has fewer than sqrt(2 * h) classes. Ranks are taken in ranges of time.
+
+def halved_schedule(parts: DataFrame) -> DataFrame:
+    """The slots of :func:`schedule`, row by row the same, for any number of sources and without a sequence in one task.
+
+    Earliest due first is this: in the order of (due, name), each block takes the first free slot from its release on.
+    Which slots the first half of these blocks fills does not depend on their order, but only on how many are released
+    when: a slot stays free where the running sum of (released - 1) falls to a new minimum below 0. So the first half
+    and its slots become one group, the other blocks and the free slots another, each with its own gapless
+    times; every group is halved anew until a block has one slot left.
     """
     h = parts.agg(F.sum("parts")).first()[0]
-    classes = parts.groupBy("parts").agg(F.count("*").alias("_m")).withColumnRenamed("parts", "_p")
-    order = [F.col("source").asc_nulls_first()]
-    dealt = common.ranked(parts.select("source", "parts"), "parts", common.unit_hash(F.col("source")), order, "_rank", False)
-    dealt = dealt.join(classes, F.col("parts") == F.col("_p"))
-    each = dealt.select("source", "parts", "_m", "_rank", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("nth"))
-    time = (F.col("nth") * F.col("_m") + F.col("_rank") + 0.5) / (F.col("_m") * F.col("parts"))
-    each = each.select("source", "nth", "parts", F.lit(h).cast("long").alias("period"), F.lit(0).alias("_all"), time.alias("_t"))
-    placed = common.ranked(each, "_all", F.col("_t"), [F.col("parts"), *order], "slot", True)
-    return placed.select("source", "nth", "slot", "parts", "period")
+    nth = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("nth")
+    blocks = parts.select("source", F.col("parts").cast("long").alias("parts")).select("source", "parts", nth)
+    blocks = blocks.withColumn("t", F.expr(f"nth * {h}L div parts")).withColumn("_due", F.expr(f"((nth + 1) * {h}L + parts - 1) div parts"))
+    blocks = _numbered(blocks, "k", F.col("_due").asc(), F.col("source").asc_nulls_first()).drop("_due")
+    blocks = blocks.withColumn("g", F.lit(1).cast("long")).withColumn("m", F.lit(h).cast("long"))
+    slots = parts.sparkSession.range(h).select(F.lit(1).cast("long").alias("g"), F.col("id").alias("t"), F.col("id").alias("slot"))
+    size = h
+    while size > GROUP_SLOTS:
+        blocks, slots = map(cut_lineage, _halved(blocks, slots))
+        size = -(-size // 2)
+    none = [F.lit(None).cast("long").alias(c) for c in ("k", "m", "nth", "parts")]
+    rows = blocks.select("g", "t", F.lit(None).cast("long").alias("slot"), "k", "m", "nth", "parts", "source")
+    rows = rows.unionByName(slots.select("g", "t", "slot", *none, F.lit(None).cast("string").alias("source")))
+    rows = rows.withColumn("_base", F.col("g")).repartition("_base")
+    for _ in range((size - 1).bit_length()):
+        rows = _halved_in_place(rows)
+    found = rows.groupBy("_base", "g").agg(*[F.max(c).alias(c) for c in ("source", "nth", "slot", "parts")])
+    return found.select("source", "nth", "slot", "parts", F.lit(h).cast("long").alias("period"))
+
+
+def _halved(blocks: DataFrame, slots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One halving of groups of any size: times are cut into chunks, only sums and minima of chunks meet in one place."""
+    early = F.col("k") < F.floor(F.col("m") / 2)
+    released = blocks.where(early).groupBy("g", "t").agg(F.count("*").alias("_n"))
+    run = Window.partitionBy("g", "_c").orderBy("t")
+    upto, before = run.rowsBetween(Window.unboundedPreceding, 0), run.rowsBetween(Window.unboundedPreceding, -1)
+    timed = slots.withColumn("_c", F.floor(F.col("t") / common.ROWS_PER_BUCKET)).join(released, ["g", "t"], "left")
+    timed = timed.withColumn("_x", F.sum(F.coalesce("_n", F.lit(0)) - 1).over(upto))
+    timed = timed.withColumn("_y", F.min("_x").over(upto)).withColumn("_z", F.min("_x").over(before))
+    ends = timed.groupBy("g", "_c").agg(F.max_by("_x", "t").alias("_sum"), F.min("_x").alias("_least"))
+    past = Window.partitionBy("g").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("_first", F.coalesce(F.sum("_sum").over(past), F.lit(0)))
+    ends = ends.withColumn("_low", F.least(F.min(F.col("_first") + F.col("_least")).over(past), F.lit(0)))
+    timed = timed.join(ends.select("g", "_c", "_first", "_low"), ["g", "_c"])
+    free = F.col("_first") + F.col("_x") < F.least("_low", F.col("_first") + F.col("_z"))
+    timed = timed.select("g", "t", "slot", free.alias("_free"), (-F.least("_low", F.col("_first") + F.col("_y"))).alias("_idle"))
+    split = timed.select(
+        (F.col("g") * 2 + F.col("_free").cast("long")).alias("g"),
+        F.when(F.col("_free"), F.col("_idle") - 1).otherwise(F.col("t") - F.col("_idle")).alias("t"),
+        "slot",
+    )
+    idle = blocks.join(timed.select("g", (F.col("t") + 1).alias("t"), "_idle"), ["g", "t"], "left")
+    return _split(idle.withColumn("_idle", F.coalesce("_idle", F.lit(0))), early).select(blocks.columns), split
+
+
+def _split(blocks: DataFrame, early: Column) -> DataFrame:
+    half = F.floor(F.col("m") / 2)
+    moved = {
+        "g": F.col("g") * 2 + (~early).cast("long"),
+        "t": F.when(early, F.col("t") - F.col("_idle")).otherwise(F.col("_idle")),
+        "k": F.when(early, F.col("k")).otherwise(F.col("k") - half),
+        "m": F.when(early, half).otherwise(F.col("m") - half),
+    }
+    return blocks.withColumns(moved)
+
+
+def _halved_in_place(rows: DataFrame) -> DataFrame:
+    """One halving of small groups that lie in one task each; blocks (without slot) and slots are rows of one table."""
+    is_slot, early = F.col("slot").isNotNull(), F.col("k") < F.floor(F.col("m") / 2)
+    run = Window.partitionBy("_base", "g").orderBy("t", is_slot)
+    upto, before = run.rowsBetween(Window.unboundedPreceding, 0), run.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_x", F.sum(F.when(is_slot, -1).when(early, 1).otherwise(0)).over(upto))
+    free = is_slot & (F.col("_x") < F.least(F.min("_x").over(before), F.lit(0)))
+    rows = rows.withColumns({"_idle": -F.least(F.min("_x").over(upto), F.lit(0)), "_free": free})
+    half = F.floor(F.col("m") / 2)
+    late = F.when(is_slot, F.col("_free")).otherwise(~early)
+    return rows.select(
+        "_base",
+        (F.col("g") * 2 + late.cast("long")).alias("g"),
+        F.when(late, F.col("_idle") - is_slot.cast("long")).otherwise(F.col("t") - F.col("_idle")).alias("t"),
+        "slot",
+        F.when(early, F.col("k")).otherwise(F.col("k") - half).alias("k"),
+        F.when(early, half).otherwise(F.col("m") - half).alias("m"),
+        "nth", "parts", "source",
+    )
 
 
 def mix(docs: DataFrame, block_bytes: int = BLOCK_BYTES, parts: DataFrame | None = None) -> DataFrame:
