@@ -4,7 +4,7 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from tidemark import schemas
 from tidemark.functions import ids
@@ -263,3 +263,26 @@ def test_topic_options():
     one = sources.topic_options("host:1", "reddit", partition=0)
     assert one["assign"] == '{"reddit": [0]}' and one["startingOffsets"] == "latest"
     assert sources.topic_options("host:1", "reddit")["subscribe"] == "reddit"
+
+
+def test_released_ticks_are_numbered_in_one_call_a_key():
+    class State:
+        value, calls = (4,), 0
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.calls += 1
+            self.value = value
+
+    class Handle:
+        getValueState = staticmethod(lambda name, schema: sent)
+
+    sent, numbered = State(), replay._Numbered()
+    numbered.init(Handle)
+    ticks = [Row(_start=n, _n=2, _rows=f"rows of {n}") for n in (3, 1, 2)]
+    got = list(numbered.handleInputRows(("a",), iter(ticks), None))
+    assert [(r["_key"], r["_first"], r["_rows"]) for r in got] == [("a", 4, "rows of 1"), ("a", 6, "rows of 2"), ("a", 8, "rows of 3")]
+    assert sent.value == (10,) and sent.calls == 2

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
+from pyspark.sql.streaming.stateful_processor import TimerValues
 
 from tidemark.functions import ids
 from tidemark.operators import ingest as ing
@@ -41,63 +40,44 @@ def in_event_order(stream: DataFrame, key: str, ts: str, tie: str, delay: str, t
     """The rows of a stream with ``offset``, per ``key`` in the order of (``ts``, ``tie``) whatever order they come in.
 
     ``key`` is what order is asked within, as a topic keeps it within a partition; ``tie`` is a whole number. Rows
-    are held as state by ticks of ``tick_s`` seconds of event time. An event-time timer releases a tick once the watermark,
-    ``delay`` behind the newest row, has passed its end; ``offset`` counts the released rows of the key from 0. Rows later
-    than the watermark are dropped, as are rows without key or time; those of the last ticks stay held until newer rows come.
-    The state of a key is its held rows, so ``delay`` bounds it. Needs the RocksDB state store.
+    are held by ticks of ``tick_s`` seconds of event time, as the state of a windowed aggregate. A tick is released, sorted, once
+    the watermark, ``delay`` behind the newest row, has passed its end; ``offset`` counts the released rows of the key from 0,
+    and for that a key's released ticks are numbered by one call a batch, rows are not handed to Python one by one. Rows of a
+    tick that is already released are dropped, as are rows without key or time; those of the last ticks stay held until
+    newer rows come. The state of a key is its held rows, so ``delay`` bounds it. Needs the RocksDB state store.
     """
     rest = [c for c in stream.columns if c not in (key, ts)]
     kind = stream.schema[key].dataType.simpleString()
     formats = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
     known = stream.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).withWatermark(ts, delay)
-    rows = known.select(
-        F.col(key).alias("_key"), ts, F.unix_micros(ts).alias("_at"), F.coalesce(F.col(tie).cast("bigint"), F.lit(-1)).alias("_tie"),
-        F.to_json(F.struct(*rest), formats).alias("_row"),
-    )
-    released = rows.groupBy("_key").transformWithState(
-        _InOrder(tick_s), f"_key {kind}, _at BIGINT, _row STRING, offset BIGINT", "append", "EventTime"
+    row = F.struct(
+        F.unix_micros(ts).alias("_at"), F.coalesce(F.col(tie).cast("bigint"), F.lit(-1)).alias("_tie"), F.to_json(F.struct(*rest), formats).alias("_row")
     )
+    ticks = known.groupBy(F.col(key).alias("_key"), F.window(ts, f"{tick_s} seconds").alias("_tick")).agg(F.collect_list(row).alias("_rows"))
+    ticks = ticks.select("_key", F.unix_micros("_tick.start").alias("_start"), F.size("_rows").alias("_n"), F.to_json(F.array_sort("_rows")).alias("_rows"))
+    numbered = ticks.groupBy("_key").transformWithState(_Numbered(), f"_key {kind}, _first BIGINT, _rows STRING", "append", "None")
+    listed = F.from_json("_rows", "array<struct<_at: bigint, _row: string>>")
+    released = numbered.select("_key", "_first", F.posexplode(listed).alias("_place", "_x"))
     ddl = ", ".join(f"`{c}` {stream.schema[c].dataType.simpleString()}" for c in rest)
-    whole = released.select(F.col("_key").alias(key), F.timestamp_micros("_at").alias(ts), F.from_json("_row", ddl, formats).alias("_row"), "offset")
+    whole = released.select(
+        F.col("_key").alias(key), F.timestamp_micros("_x._at").alias(ts), F.from_json("_x._row", ddl, formats).alias("_row"),
+        (F.col("_first") + F.col("_place")).alias("offset"),
+    )
     return whole.select(*[F.col(c) if c in (key, ts) else F.col("_row")[c].alias(c) for c in stream.columns], "offset")
 
 
-class _InOrder(StatefulProcessor):
-    """Holds rows by tick until the timer of the tick; see :func:`in_event_order`."""
-
-    def __init__(self, tick_s: int) -> None:
-        self.tick = tick_s * 1_000_000
+class _Numbered(StatefulProcessor):
+    """Gives each released tick the number of rows of its key that were released before; see :func:`in_event_order`."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.held = handle.getMapState("held", "tick BIGINT, part BIGINT", "at ARRAY<BIGINT>, tie ARRAY<BIGINT>, body ARRAY<STRING>")
-        self.parts = handle.getMapState("parts", "tick BIGINT", "n BIGINT")
         self.sent = handle.getValueState("sent", "n BIGINT")
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
-        ticks = defaultdict(list)
-        for row in rows:
-            ticks[row["_at"] // self.tick].append((row["_at"], row["_tie"], row["_row"]))
-        for tick, found in ticks.items():
-            known = self.parts.containsKey((tick,))
-            part = self.parts.getValue((tick,))[0] if known else 0
-            self.held.updateValue((tick, part), tuple(map(list, zip(*found, strict=True))))
-            self.parts.updateValue((tick,), (part + 1,))
-            if not known:
-                self.handle.registerTimer((tick + 1) * self.tick // 1000)
-        return iter(())
-
-    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
-        tick = expiredTimerInfo.getExpiryTimeInMs() * 1000 // self.tick - 1
-        places = [(tick, part) for part in range(self.parts.getValue((tick,))[0])]
-        ready = sorted(row for place in places for row in zip(*self.held.getValue(place), strict=True))
-        first = self.sent.get()[0] if self.sent.exists() else 0
-        for place in places:
-            self.held.removeKey(place)
-        self.parts.removeKey((tick,))
-        self.sent.update((first + len(ready),))
-        for offset, (at, _, body) in enumerate(ready, first):
-            yield Row(_key=key[0], _at=at, _row=body, offset=offset)
+        first = (self.sent.get() or (0,))[0]
+        for row in sorted(rows, key=lambda r: r["_start"]):
+            yield Row(_key=key[0], _first=first, _rows=row["_rows"])
+            first += row["_n"]
+        self.sent.update((first,))
 
     def close(self) -> None:
         """Nothing is held beside the state."""
