@@ -4,6 +4,7 @@ import sys
 
 import numpy as np
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from tidemark.functions import vectors as vx
@@ -232,3 +233,38 @@ def test_word_vectors_are_the_leading_eigenvectors(spark):
     mine = np.array([got[w] for w in names])
     assert np.allclose(mine @ mine.T, basis[:, first] * np.abs(values[first]) @ basis[:, first].T, atol=1e-4)
     assert wv.word_vectors(tokens.limit(0), "words").count() == 0
+
+
+def test_vectors_do_not_depend_on_what_is_broadcast(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    tokens = spark.createDataFrame([([f"w{k}" for k in rng.zipf(1.5, 40) % 60],) for _ in range(80)], "words array<string>")
+    got = []
+    for frequent, entries in ((1_000, 1 << 23), (7, 100)):
+        monkeypatch.setattr(wv, "FREQUENT", frequent)
+        monkeypatch.setattr(wv, "BUCKET_ENTRIES", entries)
+        got.append({r["word"]: r["vector"] for r in wv.word_vectors(tokens, "words", 4, 1, 2, rounds=2).collect()})
+    assert len(got[0]) > 20 and got[0].keys() == got[1].keys()
+    assert all(np.allclose(got[0][w], got[1][w], atol=1e-9) for w in got[0])
+
+
+def test_matrix_is_not_moved_in_a_product(spark, tmp_path, monkeypatch):
+    plans = []
+    times = wv._times
+
+    def seen(*given):
+        plans.append(plan_of(times(*given)))
+        return times(*given)
+
+    monkeypatch.setattr(wv, "_times", seen)
+    monkeypatch.setattr(wv, "FREQUENT", 2)
+    tokens = spark.createDataFrame([(list("abcdeafbgch"),)] * 3, "words array<string>")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        wv.word_vectors(tokens, "words", 2, 1, 2, rounds=2).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plans
+    for plan in plans:
+        keys = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert len(keys) == 2 and sum("_key" in line for line in keys) == 1, plan  # the vectors and the sums
