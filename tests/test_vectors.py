@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import vectors as vx
 from tidemark.operators import clustering as cl, vectors as ve, word_vectors as wv
+from tidemark.session import estimated_bytes
 
 DIM = 6
 
@@ -179,6 +180,51 @@ def test_ward_rounds_search_again_only_for_clusters_that_lost_their_nearest(spar
     assert asked[0] == (160, 160) and len(asked) > 1 and all(a < n for a, n in asked[1:])
 
 
+def test_rounds_do_not_grow_the_estimates_of_the_plan(spark, monkeypatch):
+    """The estimates of a round are those of its stored rows and not products over all rounds."""
+    monkeypatch.setattr(cl, "AT_ONCE", 10)
+    sizes, search = [], cl.nearest
+
+    def seen(asking, clusters, threshold, n):
+        sizes.append(max(estimated_bytes(asking), estimated_bytes(clusters)))
+        found = search(asking, clusters, threshold, n)
+        sizes.append(estimated_bytes(found))
+        return found
+
+    monkeypatch.setattr(cl, "nearest", seen)
+    m = random_vectors(60, seed=3)
+    cl.agglomerative(frame(spark, m), "id", "v", 100.0).count()
+    assert len(sizes) >= 8 and max(sizes) < 1 << 20
+
+
+def test_ward_pairs_up_ties_all_over(monkeypatch):
+    """Points at equal distances merge in few rounds, not pair by pair; a point that is not a number stays alone."""
+    calls, search = [], cl._search
+    monkeypatch.setattr(cl, "_search", lambda *given: calls.append(1) or search(*given))
+    m = np.concatenate([np.eye(256), np.full((1, 256), np.nan)])
+    labels = cl.ward_labels(m, np.ones(257), 1.5)
+    sizes = np.bincount(labels)
+    assert sizes.sum() == 257 and sizes[labels[256]] == 1 and sizes[:-1].min() >= 2 and len(calls) < 128
+
+
+def test_search_finds_the_nearest_of_weighted_clusters():
+    """32-bit bounds and exact distances together give what 64-bit distances give, over weights of all sizes."""
+    rng = np.random.default_rng(8)
+    c = rng.normal(size=(300, 20))
+    c /= np.linalg.norm(c, axis=1, keepdims=True) * rng.uniform(1, 3, size=(300, 1))
+    c[200:250] = c[:50] + rng.normal(scale=1e-9, size=(50, 20))
+    w = np.floor(10 ** rng.uniform(0, 6, 300))
+    gap = ((c[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
+    d = np.sqrt(2 * w[:, None] * w / (w[:, None] + w) * gap)
+    np.fill_diagonal(d, np.inf)
+    ids = np.arange(300) * 3
+    limit = float(np.median(d[::2].min(axis=1)))
+    row, got, place, _ = cl._search(ids[::2], w[::2], c[::2], ids, w, c, limit)
+    want = np.flatnonzero(d[::2].min(axis=1) < limit)
+    assert len(want) == 75 and (row == want).all()
+    assert (place == d[::2].argmin(axis=1)[want]).all() and np.allclose(got, d[::2].min(axis=1)[want], atol=1e-12)
+
+
 def test_ward_in_one_place_over_nearly_equal_points():
     """Distances that differ by rounding alone end the chain; places of merged clusters are given up."""
     m = np.repeat(np.eye(3), 40, axis=0) + np.arange(120)[:, None] * 1e-17

@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-import builtins
-import types
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import vectors as vx
 from tidemark.operators import words as wd
 from tidemark.operators.ingest import chain_totals
-from tidemark.session import cut_lineage
+from tidemark.session import run_folder
 
-AT_ONCE = 8_192  # clusters that are merged in one place
-PIVOTS, BLOCK = 1_024, 512  # cells of a search for neighbours, centres of a block
-FEW_BLOCKS, WIDE_BLOCK = 16, 2_048  # up to so many blocks of so many centres are all compared
+AT_ONCE = 32_768  # clusters that are merged in one place
+BLOCK = 8_192  # centres of a block, about
+FEW_BLOCKS = 32  # up to so many blocks are a partition each; more of them share partitions
+STEP = 1 << 20  # distances at once
 
 
 def unit_vectors(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -78,165 +77,202 @@ def kmeans(features: DataFrame, key: str, column: str, k: int = 20, seed: int =
     return model, model.transform(data).select(key, "cluster")
 
 
+def _searcher():
+    """The search between two blocks of clusters, as a function that goes to the executors by value."""
+
+    def search(q, qw, qc, ids, w, c, threshold):
+        """(row, d, other, tie): for rows of q the place of the nearest of ``ids`` by Ward distance, if nearer than ``threshold``.
+
+        Products of 32-bit numbers give bounds from below; what they leave open is measured exactly, from both ends of a
+        pair alike. Of equal distances the lowest hash of the pair counts, so that ties pair up all over. ``ids`` are in order.
+        """
+        if not len(q) or not len(ids):
+            return np.empty(0, int), np.empty(0), np.empty(0, int), np.empty(0, int)
+        dim = c.shape[1]
+        square, squares = (qc * qc).sum(axis=1), (c * c).sum(axis=1)
+        good, bad = np.isfinite(square), ~np.isfinite(squares)
+        most = max(square.max(initial=0, where=good), squares.max(initial=0, where=~bad))
+        slack = 8 * (dim + 8) * 2.0**-24 * most  # twice what rounding can do to a squared gap
+        right = np.empty((dim + 2, len(ids)), "float32")
+        right[:dim], right[dim], right[dim + 1] = -2 * c.T, 1, squares - slack
+        right[:, bad], right[dim + 1, bad] = 0, np.inf
+        inverse, step = (1 / w).astype("float32"), max(1, STEP // len(ids))
+        products, shares = np.empty((step, len(ids)), "float32"), np.empty((step, len(ids)), "float32")
+        place = np.minimum(np.searchsorted(ids, q), len(ids) - 1)
+        own = ids[place] == q
+        pairs = []
+        for start in range(0, len(q), step):
+            x, weight = qc[start : start + step], qw[start : start + step]
+            n = len(x)
+            left = np.ones((n, dim + 2), "float32")
+            left[:, :dim], left[:, dim] = x, square[start : start + step]
+            low, share, row = np.matmul(left, right, out=products[:n]), shares[:n], np.arange(n)
+            np.multiply(weight[:, None].astype("float32"), inverse, out=share)
+            share += 1
+            low /= share  # d^2 / (2 * weight), or a little less
+            itself = own[start : start + n]
+            low[row[itself], place[start : start + n][itself]] = np.inf
+            low[~good[start : start + n]] = np.inf
+            at = low.argmin(axis=1)
+            least = low[row, at].astype("float64")
+            most = np.minimum(least + 2 * slack / share[row, at], threshold * threshold / 2 / weight)
+            hit = least <= most * (1 + 1e-6)
+            pairs.append((row[hit] + start, at[hit]))
+            low[row, at] = np.inf
+            for r in np.flatnonzero(hit & (low.min(axis=1) <= most * (1 + 1e-6))):
+                more = np.flatnonzero(low[r] <= most[r] * (1 + 1e-6))
+                pairs.append((np.full(len(more), r + start), more))
+        i, j = (np.concatenate(x) for x in zip(*pairs))
+        d = np.empty(len(i))
+        for start in range(0, len(i), STEP // 64):
+            a, b = i[start : start + STEP // 64], j[start : start + STEP // 64]
+            gap = qc[a] - c[b]
+            d[start : start + len(a)] = np.sqrt(2 * qw[a] * w[b] / (qw[a] + w[b]) * (gap * gap).sum(axis=1))
+        kept = d < threshold
+        i, j, d = i[kept], j[kept], d[kept]
+        low, high = np.minimum(q[i], ids[j]).astype("uint64"), np.maximum(q[i], ids[j]).astype("uint64")
+        tie = (low * np.uint64(0x9E3779B97F4A7C15)) ^ (high * np.uint64(0xC2B2AE3D27D4EB4F))
+        tie = (((tie ^ (tie >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(1)).astype("int64")
+        order = np.lexsort((j, tie, d, i))
+        first = order[np.r_[True, i[order][1:] != i[order][:-1]]] if len(order) else order
+        return i[first], d[first], j[first], tie[first]
+
+    return search
+
+
+_search = _searcher()
+
+
 def ward_labels(centres: np.ndarray, sizes: np.ndarray, threshold: float) -> np.ndarray:
     """Ward merging of weighted points until the next merge would reach ``threshold``.
 
-    Nearest-neighbour chain, as Ward distances are reducible: the closest pairs may be merged in
-    any chain order and cut at the threshold afterwards. Quadratic in the number of centres, which
-    the caller bounds.
+    Ward distances are reducible, so in each round all pairs that are nearest to each other merge at once, and only
+    clusters that are new or have lost their nearest one search again. Clusters without a near one are done. Memory is
+    in proportion to the points; their number, which the caller bounds, counts squared in time.
     """
     n = len(sizes)
-    centre, weight = centres.astype("float64").copy(), sizes.astype("float64").copy()
-    square = (centre * centre).sum(axis=1)
-    name, alive, parent, chain = np.arange(n), np.ones(n, dtype=bool), np.arange(n), []
-    merges: list[tuple[int, int, float]] = []
-    for left in range(n, 1, -1):
-        if 2 * left < len(name):  # places of clusters that are gone
-            kept = np.flatnonzero(alive)
-            chain = np.searchsorted(kept, chain).tolist()
-            centre, weight, square, name, alive = centre[kept], weight[kept], square[kept], name[kept], alive[kept]
-        while True:
-            if not chain:
-                chain.append(int(np.flatnonzero(alive)[0]))
-            a = chain[-1]
-            gap = np.maximum(square + square[a] - 2 * (centre @ centre[a]), 0.0)
-            distance = np.sqrt(2 * weight * weight[a] / (weight + weight[a]) * gap)
-            distance[~alive] = np.inf
-            distance[a] = np.inf
-            b = int(np.argmin(distance))
-            if len(chain) > 1 and distance[chain[-2]] <= distance[b] * (1 + 1e-9) + 1e-7:  # both ways differ by rounding
-                b = chain[-2]
-                chain = chain[:-2]
-                merges.append((int(name[a]), int(name[b]), float(distance[b])))
-                total = weight[a] + weight[b]
-                centre[b] = (weight[a] * centre[a] + weight[b] * centre[b]) / total
-                weight[b], alive[a], square[b] = total, False, centre[b] @ centre[b]
-                break
-            chain.append(b)
-    for a, b, height in merges:
-        if height < threshold:
-            parent[_find(parent, a)] = _find(parent, b)
-    roots = [_find(parent, i) for i in range(n)]
-    order = {root: label for label, root in enumerate(dict.fromkeys(roots))}
-    return np.array([order[root] for root in roots])
-
-
-def _find(parent: np.ndarray, i: int) -> int:
-    while parent[i] != i:
-        i = parent[i]
-    return int(i)
+    centre, weight = centres.astype("float64"), sizes.astype("float64")
+    name, parent = np.arange(n), np.arange(n)
+    other, best, asks = np.full(n, -1), np.full(n, np.inf), np.isfinite(centre).all(axis=1)
+    while True:
+        kept = asks | (other >= 0)
+        if not kept.all():
+            name, centre, weight, other, best, asks = name[kept], centre[kept], weight[kept], other[kept], best[kept], asks[kept]
+            other = np.where(other >= 0, np.cumsum(kept)[other] - 1, -1)
+        rows = np.flatnonzero(asks)
+        other[rows] = -1
+        row, gap, found, _ = _search(name[rows], weight[rows], centre[rows], name, weight, centre, threshold)
+        other[rows[row]], best[rows[row]] = found, gap
+        near = np.flatnonzero(other >= 0)
+        if not len(near):
+            break
+        a = near[(other[other[near]] == near) & (near < other[near])]
+        if not len(a):  # ties
+            closest = near[np.argmin(best[near])]
+            a = np.array([min(closest, other[closest])])
+            b = np.array([max(closest, other[closest])])
+        else:
+            b = other[a]
+        gone = np.zeros(len(name), dtype=bool)
+        gone[a] = gone[b] = True
+        total = weight[a] + weight[b]
+        centre[a] = (weight[a, None] * centre[a] + weight[b, None] * centre[b]) / total[:, None]
+        weight[a], parent[name[b]] = total, name[a]
+        asks = gone | ((other >= 0) & gone[other])
+        other[asks], asks[b] = -1, False
+    for i in range(n):  # a parent comes before its children
+        parent[i] = parent[parent[i]]
+    order = {root: label for label, root in enumerate(dict.fromkeys(parent.tolist()))}
+    return np.array([order[root] for root in parent.tolist()])
 
 
 CLUSTER = "id long, w double, c array<double>"
-BEST = "struct<d: double, low: bigint, high: bigint>"
-
+PACKED = "ids binary, w binary, c binary"
 
-def _gaps(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> np.ndarray:
-    """Ward distances between two blocks of weighted centres."""
-    square = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * (a @ b.T)
-    return np.sqrt(2 * wa[:, None] * wb[None, :] / (wa[:, None] + wb[None, :]) * np.maximum(square, 0.0))
 
+def _stored(rows: DataFrame) -> DataFrame:
+    """The rows, written to the shared folder and read back, with the size of the files as their estimate.
 
-def _closest(rows: DataFrame) -> DataFrame:
-    """(id, d, other) from pairs of blocks (q_ids, q_w, q_c, ids, w, c): the nearest centre of the other block.
-
-    Of equal distances the pair with the smaller ids comes first, seen from both of its ends.
+    A checkpoint keeps the estimate of its plan, which is a product for a join: over the rounds its digits double each
+    time, until such numbers fill the driver.
     """
+    path = run_folder(rows.sparkSession, "ward")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
-    def compare(batches: Iterator) -> Iterator:
-        import pandas as pd
 
-        for pdf in batches:
-            for r in pdf.itertuples():
-                q, x = np.asarray(r.q_ids), np.asarray(r.ids)
-                d = _gaps(np.asarray(r.q_c).reshape(len(q), -1), np.asarray(r.q_w), np.asarray(r.c).reshape(len(x), -1), np.asarray(r.w))
-                d[q[:, None] == x[None, :]] = np.inf
-                least = d.min(axis=1)
-                tied = np.where(d == least[:, None], x[None, :], np.iinfo(np.int64).max)
-                found = np.isfinite(least)
-                yield pd.DataFrame({"id": q[found], "d": least[found], "other": tied.min(axis=1)[found]})
+def _partitions(n: int) -> int:
+    return max(1, min(-(-n // BLOCK), FEW_BLOCKS))
 
-    pairs = rows.mapInPandas(_by_value(compare), "id long, d double, other long")
-    return pairs.groupBy("id").agg(F.min(F.struct("d", F.least("id", "other").alias("low"), F.greatest("id", "other").alias("high"))).alias("best"))
 
+def _packed(rows: DataFrame, n: int) -> DataFrame:
+    """(ids, w, c): blocks of clusters in the order of their ids, as bytes of 64-bit numbers; centres end to end."""
+    most = BLOCK
 
-def _by_value(function):
-    """The function with the helper it calls bound to it, as executors need not have this package."""
-    namespace = {"np": np, "_gaps": types.FunctionType(_gaps.__code__, {"np": np, "__builtins__": builtins})}
-    return types.FunctionType(function.__code__, namespace | {"__builtins__": builtins, "Iterator": Iterator}, function.__name__, None, function.__closure__)
+    def pack(batches: Iterator) -> Iterator:
+        import pandas as pd
 
+        parts = [(pdf["id"].to_numpy(), pdf["w"].to_numpy(), np.stack(pdf["c"])) for pdf in batches if len(pdf)]
+        if not parts:
+            return
+        ids, w, c = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(ids)
+        for some in np.array_split(order, max(1, round(len(order) / most))):
+            yield pd.DataFrame({"ids": [ids[some].tobytes()], "w": [w[some].tobytes()], "c": [c[some].tobytes()]})
 
-def _blocked(rows: DataFrame, blocks: Column | int, *by: str) -> DataFrame:
-    """(by, slot, ids, w, c): the clusters of each ``by``, dealt into ``blocks`` blocks by a hash of the id; centres end to end."""
-    fields = [F.collect_list("id").alias("ids"), F.collect_list("w").alias("w"), F.flatten(F.collect_list("c")).alias("c")]
-    return rows.withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(blocks) if isinstance(blocks, int) else blocks)).groupBy(*by, "slot").agg(*fields)
+    return rows.select("id", "w", "c").coalesce(_partitions(n)).mapInPandas(pack, PACKED)
 
 
 def nearest(asking: DataFrame, clusters: DataFrame, threshold: float, n: int) -> DataFrame:
-    """(id, best): each of ``asking`` with its nearest pair (d, low, high) in ``clusters``, where one is nearer than ``threshold``.
+    """(id, best): each of ``asking`` with its nearest pair (d, tie, low, high) in ``clusters``, where one is nearer than ``threshold``.
 
-    ``asking`` are some of the ``n`` clusters. Blocks of both are compared with one product of matrices: all of them, if
-    there are only a few; else those which :func:`_nearest_in_cells` can't rule out.
+    ``asking`` are some of the ``n`` clusters. Every block of the one meets every block of the other where both are read, without
+    a shuffle; a task holds two blocks and a bounded part of their distances, and sends one row a cluster.
     """
-    if n > FEW_BLOCKS * WIDE_BLOCK:
-        return _nearest_in_cells(asking, clusters, threshold, n)
-    blocks = _blocked(clusters, -(-n // WIDE_BLOCK))
-    asked = _blocked(asking, -(-n // BLOCK)).select(F.col("ids").alias("q_ids"), F.col("w").alias("q_w"), F.col("c").alias("q_c"))
-    return _closest(asked.crossJoin(blocks.drop("slot"))).where(F.col("best.d") < threshold)
-
-
-def _nearest_in_cells(asking: DataFrame, clusters: DataFrame, threshold: float, n: int) -> DataFrame:
-    """:func:`nearest` for many clusters.
 
-    At most PIVOTS of the centres are pivots, and every centre lies in the cell of its nearest pivot. The best of its
-    own cell bounds its distance; of the other cells only those are searched whose pivot, radius and least weight
-    leave room below that bound. Cells are cut into blocks.
-    """
-    wanted = min(PIVOTS, -(-n // BLOCK))
-    chosen = clusters.orderBy(F.xxhash64("id"), "id").limit(wanted).select("c").collect()
-    pivots = np.array([r["c"] for r in chosen])
+    def compare(batches: Iterator) -> Iterator:
+        import pandas as pd
 
-    def place(batches: Iterator) -> Iterator:
         for pdf in batches:
-            if len(pdf):
-                c = np.stack(pdf["c"])
-                d = np.sqrt(np.maximum((c * c).sum(axis=1)[:, None] + (pivots * pivots).sum(axis=1)[None, :] - 2 * (c @ pivots.T), 0.0))
-                yield pdf.assign(cell=d.argmin(axis=1), r=d.min(axis=1))
-
-    named = clusters.select("id", "w", "c").join(asking.select("id", F.lit(True).alias("asks")), "id", "left")
-    placed = cut_lineage(named.mapInPandas(place, f"{CLUSTER}, asks boolean, cell int, r double"))
-    cells = {r["cell"]: r for r in placed.groupBy("cell").agg(F.max("r").alias("r"), F.min("w").alias("w"), F.count("*").alias("n")).collect()}
-    counts = F.create_map(*[F.lit(x) for k, r in cells.items() for x in (k, -(-r["n"] // BLOCK))])
-    blocks = cut_lineage(_blocked(placed, counts[F.col("cell")], "cell"))
-    known = placed.where("asks")
-    asked = _blocked(known, counts[F.col("cell")], "cell").select("cell", *[F.col(c).alias(f"q_{c}") for c in ("ids", "w", "c")])
-    inside = cut_lineage(_closest(asked.join(blocks, "cell").drop("cell", "slot")))
-    at = np.array(sorted(cells))
-    radius, least = np.array([cells[k]["r"] for k in at]), np.array([cells[k]["w"] for k in at])
-    centres = pivots[at]
-
-    def reach(batches: Iterator) -> Iterator:
+            for r in pdf.itertuples():
+                q, ids = np.frombuffer(r.q_ids, "int64"), np.frombuffer(r.ids, "int64")
+                if len(q) and len(ids):
+                    qc, c = np.frombuffer(r.q_c).reshape(len(q), -1), np.frombuffer(r.c).reshape(len(ids), -1)
+                    i, d, j, tie = _search(q, np.frombuffer(r.q_w), qc, ids, np.frombuffer(r.w), c, threshold)
+                    yield pd.DataFrame({"id": q[i], "d": d, "tie": tie, "other": ids[j]})
+
+    blocks, asked = _packed(clusters, n).persist(), _packed(asking, n).persist()
+    for held in (blocks, asked):
+        held.count()
+    left = asked.select(*[F.col(c).alias(f"q_{c}") for c in ("ids", "w", "c")])
+    pairs = left.crossJoin(blocks.hint("shuffle_replicate_nl")).mapInPandas(compare, "id long, d double, tie long, other long")
+    best = F.min(F.struct("d", "tie", F.least("id", "other").alias("low"), F.greatest("id", "other").alias("high"))).alias("best")
+    found = _stored(pairs.groupBy("id").agg(best))
+    for held in (blocks, asked):
+        held.unpersist()
+    return found
+
+
+def _merged(rows: DataFrame, n: int) -> DataFrame:
+    """Clusters (id, w, c, asks) with those of one id put together; there are two at most."""
+
+    def merge(batches: Iterator) -> Iterator:
         import pandas as pd
 
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            c, w = np.stack(pdf["c"]), pdf["w"].to_numpy()
-            bound = np.minimum(pdf["d"].fillna(np.inf).to_numpy(), threshold)
-            gap = np.sqrt(np.maximum((c * c).sum(axis=1)[:, None] + (centres * centres).sum(axis=1)[None, :] - 2 * (c @ centres.T), 0.0))
-            gap = np.maximum(gap - radius[None, :], 0.0) * (1 - 1e-9) - 1e-7
-            low = np.sqrt(2 * w[:, None] * least[None, :] / (w[:, None] + least[None, :])) * gap
-            row, cell = np.nonzero((low <= bound[:, None]) & (at[None, :] != pdf["cell"].to_numpy()[:, None]))
-            for k in np.unique(cell):
-                own = row[cell == k]
-                yield pd.DataFrame({"cell": [int(at[k])], "q_ids": [pdf["id"].to_numpy()[own]], "q_w": [w[own]], "q_c": [c[own].ravel()]})
-
-    known = known.join(inside.select("id", F.col("best.d").alias("d")), "id", "left").select("id", "w", "c", "cell", "d")
-    asked = known.repartition("cell").sortWithinPartitions("cell", "id")
-    asked = asked.mapInPandas(reach, "cell int, q_ids array<long>, q_w array<double>, q_c array<double>")
-    outside = _closest(asked.join(blocks, "cell").drop("cell", "slot"))
-    both = inside.unionByName(outside).groupBy("id").agg(F.min("best").alias("best"))
-    return both.where(F.col("best.d") < threshold)
+        parts = [pdf for pdf in batches if len(pdf)]
+        if not parts:
+            return
+        held = pd.concat(parts, ignore_index=True).sort_values("id", ignore_index=True)
+        ids, w, asks, c = held["id"].to_numpy(), held["w"].to_numpy().copy(), held["asks"].to_numpy(), np.stack(held["c"])
+        second = np.flatnonzero(ids[1:] == ids[:-1]) + 1
+        total = w[second - 1] + w[second]
+        c[second - 1] = (w[second - 1, None] * c[second - 1] + w[second, None] * c[second]) / total[:, None]
+        w[second - 1] = total
+        kept = np.setdiff1d(np.arange(len(ids)), second)
+        for some in np.array_split(kept, -(-len(kept) // 4_096)):
+            yield pd.DataFrame({"id": ids[some], "w": w[some], "c": list(c[some]), "asks": asks[some]})
+
+    return rows.repartition(_partitions(n), "id").mapInPandas(merge, f"{CLUSTER}, asks boolean")
 
 
 def agglomerative(
@@ -257,18 +293,20 @@ def agglomerative(
         return units.select(key, F.lit(0).alias("cluster"))
     if micro is not None:
         return _condensed(units, key, threshold, micro, seed)
-    points = cut_lineage(units.groupBy(F.col("unit").alias("c")).agg(F.count("*").cast("double").alias("w")).withColumn("id", F.monotonically_increasing_id()))
+    points = _stored(units.groupBy(F.col("unit").alias("c")).agg(F.count("*").cast("double").alias("w")).withColumn("id", F.monotonically_increasing_id()))
     n = points.count()
-    clusters, merged = points.select("id", "w", "c", F.lit(None).cast(BEST).alias("best"), F.lit(True).alias("asks")), None
+    clusters, bests, merged = points.withColumn("asks", F.lit(True)), None, None
+    if n > AT_ONCE:
+        clusters = _stored(clusters.repartition(_partitions(n), "id"))
     while n > AT_ONCE:
-        found = nearest(clusters.where("asks").select("id", "w", "c"), clusters, threshold, n).withColumnRenamed("best", "_new")
-        clusters = cut_lineage(clusters.join(found, "id", "left").select("id", "w", "c", F.coalesce("best", "_new").alias("best")))
-        mutual = clusters.groupBy("best.low", "best.high").count().where("count = 2 AND low IS NOT NULL")
-        mutual = cut_lineage(mutual.select("low", "high"))
+        found = nearest(clusters.where("asks").select("id", "w", "c"), clusters, threshold, n)
+        bests = found if bests is None else _stored(bests.unionByName(found))
+        mutual = bests.groupBy("best.low", "best.high").count().where("count = 2")
+        mutual = _stored(mutual.select("low", "high"))
         pairs = mutual.count()
         if not pairs:
-            closest = clusters.agg(F.min("best").alias("best")).where("best IS NOT NULL")  # ties
-            mutual = cut_lineage(closest.select("best.low", "best.high"))
+            closest = bests.agg(F.min("best").alias("best")).where("best IS NOT NULL")  # ties
+            mutual = _stored(closest.select("best.low", "best.high"))
             pairs = mutual.count()
             if not pairs:
                 break
@@ -277,30 +315,28 @@ def agglomerative(
         # Merging brings no two clusters nearer than one of their parts was, so a nearest one that is left stays the nearest.
         other = F.when(F.col("id") == F.col("best.low"), F.col("best.high")).otherwise(F.col("best.low"))
         gone = mutual.select(F.explode(F.array("low", "high")).alias("_gone"))
-        joined = clusters.withColumn("_other", other).join(gone, F.col("_other") == F.col("_gone"), "left")
-        joined = joined.withColumn("asks", F.col("_gone").isNotNull()).withColumn("best", F.when(~F.col("asks"), F.col("best")))
-        joined = joined.join(steps, F.col("id") == F.col("key"), "left").withColumn("id", F.coalesce("next", "id"))
-        share = lambda x, y, total: F.zip_with(x["c"], y["c"], lambda a, b: (x["w"] * a + y["w"] * b) / total)
-        both = joined.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("w", "c", "best", "asks"))).alias("pair"))
-        x, y = F.get("pair", F.lit(0)), F.get("pair", F.lit(1))
-        total = x["w"] + y["w"]
-        alone = F.size("pair") == 1
-        weight, centre = F.when(alone, x["w"]).otherwise(total).alias("w"), F.when(alone, x["c"]).otherwise(share(x, y, total)).alias("c")
-        state = [F.when(alone, x["best"]).alias("best"), F.when(alone, x["asks"]).otherwise(True).alias("asks")]
-        clusters = cut_lineage(both.select("id", weight, centre, *state))
+        state = bests.withColumn("_other", other).join(gone, F.col("_other") == F.col("_gone"), "left")
+        state = _stored(state.join(steps, F.col("id") == F.col("key"), "left").select("id", "best", F.col("_gone").isNotNull().alias("asks"), "next"))
+        bests = state.where("NOT asks").select("id", "best")
+        changed = state.where("asks").select("id", "asks", "next")
+        moved = clusters.select("id", "w", "c").hint("merge").join(changed, "id", "left")
+        moved = moved.select(F.coalesce("next", "id").alias("id"), "w", "c", F.coalesce("asks", F.lit(False)).alias("asks"))
         n -= pairs
+        clusters = _stored(_merged(moved, n))
     if n <= AT_ONCE:
-        held = clusters.orderBy("id").collect()
-        labels = ward_labels(np.array([r["c"] for r in held]), np.array([r["w"] for r in held]), threshold)
-        last = units.sparkSession.createDataFrame([(r["id"], int(label)) for r, label in zip(held, labels, strict=True)], "last long, cluster long")
+        held = [[np.frombuffer(x, kind) for x, kind in zip(r, ("int64", "float64", "float64"), strict=True)] for r in _packed(clusters, n).collect()]
+        ids, w, c = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(ids)
+        labels = ward_labels(c.reshape(len(ids), -1)[order], w[order], threshold)
+        last = units.sparkSession.createDataFrame(list(zip(ids[order].tolist(), labels.tolist(), strict=True)), "last long, cluster long")
     else:
         last = clusters.select(F.col("id").alias("last"), F.col("id").alias("cluster"))
     roots = points.select(F.col("id").alias("last"), "c", F.col("id").alias("key"))
     if merged is not None:
         links = points.select(F.col("id").alias("key")).join(merged, "key", "left").withColumn("weight", F.lit(0))
-        roots = chain_totals(links, "ward-merges").select("key", "last").join(points.select(F.col("id").alias("key"), "c"), "key")
-    named = roots.join(last, "last").select(F.col("c").alias("unit"), "cluster")
-    return units.join(named, "unit").select(key, "cluster")
+        roots = points.select(F.col("id").alias("key"), "c").hint("merge").join(chain_totals(links, "ward-merges").select("key", "last"), "key")
+    named = roots.hint("merge").join(last, "last").select(F.col("c").alias("unit"), "cluster")
+    return units.join(named.hint("merge"), "unit").select(key, "cluster")
 
 
 def _condensed(units: DataFrame, key: str, threshold: float, micro: int, seed: int) -> DataFrame:
