@@ -314,3 +314,29 @@ def test_matrix_is_not_moved_in_a_product(spark, tmp_path, monkeypatch):
     for plan in plans:
         keys = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
         assert len(keys) == 2 and sum("_key" in line for line in keys) == 1, plan  # the vectors and the sums
+
+
+def test_words_with_one_hash_get_another(spark, monkeypatch):
+    """A seed under which two words share a number is not used, so every word keeps its own vector."""
+    hashed = F.xxhash64
+    monkeypatch.setattr(wv.F, "xxhash64", lambda c, *seed: F.lit(7).cast("long") if seed and str(seed[0]) == str(F.lit(0)) else hashed(c, *seed))
+    numbered, seed = wv.numbered_words(spark.createDataFrame([("a",), ("b",), ("c",)], "word string"))
+    assert seed == 1 and numbered.select("id").distinct().count() == 3
+
+
+def test_matrix_is_stored_as_few_rows_and_scanned_once_in_a_product(spark, monkeypatch):
+    plans, rows, times = [], [], wv._times
+
+    def seen(matrix, *given):
+        rows.append(matrix.count())
+        plans.append(plan_of(times(matrix, *given)))
+        return times(matrix, *given)
+
+    monkeypatch.setattr(wv, "_times", seen)
+    monkeypatch.setattr(wv, "FREQUENT", 9)
+    rng = np.random.default_rng(6)
+    tokens = spark.createDataFrame([([f"w{k}" for k in rng.integers(0, 90, 40)],) for _ in range(60)], "words array<string>")
+    assert wv.word_vectors(tokens, "words", 3, 1, 2, rounds=2).count() == 90
+    parts = 2 * spark.sparkContext.defaultParallelism
+    assert all(n <= parts for n in rows) and all(plan.count("word_matrix_") == plans[0].count("word_matrix_") for plan in plans)
+    assert sum("Scan" in line and "word_matrix_" in line for line in plans[0].splitlines()) == 1
